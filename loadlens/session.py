@@ -20,6 +20,7 @@ def build_session(master: str | None = None, app: str = "loadlens",
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("LOADLENS_DRIVER_MEM", "16g")))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

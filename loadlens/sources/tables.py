@@ -119,3 +119,20 @@ def reg_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("b").alias("model"), F.lit(50000.0).alias("predicted"))))
     return li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("actual"),
                      models.alias("m")).select("l_orderkey", "l_linenumber", "m.model", "actual", "m.predicted")
+
+
+def order_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configuration record per run: endpoints hit (the order's parts) and payload.
+
+    ``collect_list`` is per order, whose line count is bounded (1-7).
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    g = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.concat(F.lit("/api/part/"), F.col("l_partkey").cast("string"))))
+         .alias("api_endpoints"),
+        F.sum(F.floor("l_quantity").cast("bigint")).alias("_q"))
+    return g.select(
+        F.concat(F.lit("test_"), F.col("l_orderkey").cast("string")).alias("test_id"),
+        "api_endpoints",
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("_q") * 100)
+         .cast("bigint").alias("payload_size"))
