@@ -53,4 +53,4 @@ def register(key: str, sql: str | None = None, views: Sequence[str] = (), rnd: S
 
 def load_all() -> None:
     """Import every query module (each registers its keys)."""
-    from loadlens.plans import (q_features, q_runs)  # noqa: F401
+    from loadlens.plans import q_features, q_profile, q_runs  # noqa: F401

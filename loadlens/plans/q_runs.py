@@ -1 +1,217 @@
-"""Run-store queries (filters, recency, retention, summaries, rollups)."""
+"""Run-store queries: filters, recency, retention, summary, validation, rollups."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loadlens.operators import runs as RS
+from loadlens.plans.catalog import register
+from loadlens.sources.tables import order_runs, request_stats, table
+
+AS_OF = "1998-08-02 00:00:00"
+
+
+def _ts(c="timestamp"):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+@register("run_filter_eq_in", views=["order_runs"], sql="""
+SELECT test_id, test_type, network_condition, avg_response_time FROM order_runs
+WHERE test_type = 'frontend' AND network_condition IN ('wifi', '4g')""")
+def run_filter_eq_in(spark, sf):
+    r = order_runs(spark, sf)
+    return RS.filter_runs(r, {"test_type": "frontend", "network_condition": ["wifi", "4g"]}).select(
+        "test_id", "test_type", "network_condition", "avg_response_time")
+
+
+@register("run_topn", views=["order_runs"], sql="""
+SELECT test_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS run_ts, avg_response_time FROM order_runs
+WHERE status = 'success' ORDER BY ts DESC, test_id DESC LIMIT 100""")
+def run_topn(spark, sf):
+    """the 100 newest successful runs (top-N is the feature)."""
+    r = RS.get_results(order_runs(spark, sf), {"status": "success"}, limit=100)
+    return r.select("test_id", _ts().alias("run_ts"), "avg_response_time")
+
+
+@register("run_recent", views=["order_runs"], sql=f"""
+SELECT test_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS run_ts FROM order_runs
+WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1440 HOUR""")
+def run_recent(spark, sf):
+    """runs of the last 60 days before a fixed as-of time."""
+    r = RS.recent_runs(order_runs(spark, sf), hours=24 * 60, as_of=AS_OF)
+    return r.select("test_id", _ts().alias("run_ts"))
+
+
+@register("run_retention", views=["order_runs"], sql=f"""
+SELECT count(*) FILTER (WHERE NOT (ts < TIMESTAMP '{AS_OF}' - INTERVAL 1095 DAY)) AS kept_runs,
+       count(*) FILTER (WHERE ts < TIMESTAMP '{AS_OF}' - INTERVAL 1095 DAY) AS deleted_runs
+FROM order_runs""")
+def run_retention(spark, sf):
+    """rows kept and deleted by a 1095-day retention."""
+    kept, deleted = RS.retention_split(order_runs(spark, sf), days=1095, as_of=AS_OF)
+    both = kept.withColumn("_k", F.lit(1)).unionByName(deleted.withColumn("_k", F.lit(0)))
+    return both.agg(F.count_if(F.col("_k") == 1).alias("kept_runs"),
+                    F.count_if(F.col("_k") == 0).alias("deleted_runs"))
+
+
+@register("run_summary", views=["order_runs"], rnd=["avg_latency", "max_latency", "min_latency", "avg_error_rate", "avg_throughput", "success_rate"], sql="""
+SELECT count(*) AS total_tests, count(*) FILTER (WHERE status = 'success') AS successful_tests,
+  count(*) FILTER (WHERE status = 'error') AS failed_tests,
+  avg(avg_response_time) FILTER (WHERE status = 'success') AS avg_latency,
+  max(avg_response_time) FILTER (WHERE status = 'success') AS max_latency,
+  min(avg_response_time) FILTER (WHERE status = 'success') AS min_latency,
+  avg(error_rate) FILTER (WHERE status = 'success') AS avg_error_rate,
+  avg(requests_per_sec) FILTER (WHERE status = 'success') AS avg_throughput,
+  CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE status = 'success') / count(*) ELSE 0.0 END AS success_rate
+FROM order_runs""")
+def run_summary(spark, sf):
+    return RS.run_summary(order_runs(spark, sf))
+
+
+def _raw_batch(spark, sf):
+    """A raw batch of submitted runs: orders whose status has no test type lack it."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    return o.select(
+        F.concat(F.lit("order_"), F.col("o_orderkey").cast("string")).alias("test_id"),
+        F.when(F.col("o_orderstatus") == "F", "api").when(F.col("o_orderstatus") == "O", "frontend").alias("test_type"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+        (F.col("o_totalprice") / 100).alias("avg_response_time"))
+
+
+@register("run_valid_reject", sql="""
+SELECT concat('order_', CAST(o_orderkey AS VARCHAR)) AS test_id,
+  o_orderstatus IN ('F', 'O') AS is_valid,
+  CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'Missing required field: test_type' END AS reject_reason
+FROM orders""")
+def run_valid_reject(spark, sf):
+    """IO3: valid rows (with metadata) and rejects (with reason) of a raw batch."""
+    valid, rejects = RS.split_batch(_raw_batch(spark, sf))
+    v = valid.select("test_id", F.lit(True).alias("is_valid"), F.lit(None).cast("string").alias("reject_reason"))
+    return v.unionByName(rejects.select("test_id", F.lit(False).alias("is_valid"), "reject_reason"))
+
+
+@register("metadata_json", views=["order_runs"], rnd=["error_rate"], sql="""
+SELECT test_id, concurrent_users, error_rate, browser, 16 AS metadata_keys FROM order_runs""")
+def metadata_json(spark, sf):
+    """IO4 + SF6: pack non-identity fields to JSON and read them back."""
+    m = RS.pack_metadata(order_runs(spark, sf))
+    return m.select(
+        "test_id",
+        F.get_json_object("metadata", "$.concurrent_users").cast("bigint").alias("concurrent_users"),
+        F.get_json_object("metadata", "$.error_rate").cast("double").alias("error_rate"),
+        F.get_json_object("metadata", "$.browser").alias("browser"),
+        F.size(F.json_object_keys("metadata")).alias("metadata_keys"))
+
+
+@register("event_props_json", sql="""
+SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS events FROM events GROUP BY 1""")
+def event_props_json(spark, sf):
+    """SF6: decode the JSON property bag of each event."""
+    ev = table(spark, sf, "events").select("props")
+    return ev.select(F.from_json("props", "k INT").getField("k").alias("k")).groupBy("k").agg(
+        F.count("*").alias("events"))
+
+
+def _reports(spark, sf):
+    """Audit text reports, one per frontend run, generated from its scores."""
+    r = order_runs(spark, sf).where(F.col("test_type") == "frontend")
+    key = F.substring("test_id", 6, 20).cast("bigint")
+
+    def pct(c):
+        return F.floor(F.col(c) * 100).cast("bigint").cast("string")
+    lines = [F.concat(F.lit("Audit report for "), F.col("test_id")),
+             F.concat(F.lit("Performance score "), pct("performance_score")),
+             F.when(key % 3 == 0, F.concat(F.lit("Accessibility score: "), pct("accessibility_score")))
+              .otherwise(F.concat(F.lit("Accessibility SCORE "), pct("accessibility_score"))),
+             F.concat(F.lit("Best Practices score "), pct("best_practices_score")),
+             F.when(key % 5 == 0, F.lit("SEO score n/a")).otherwise(F.concat(F.lit("SEO score "), pct("seo_score"))),
+             F.when(key % 2 == 0, F.concat(F.lit("Performance score "),
+                                            (F.floor(F.col("performance_score") * 100).cast("bigint") - 1).cast("string")))
+              .otherwise(F.lit("Performance summary"))]
+    return r.select("test_id", F.concat_ws("\n", *lines).alias("text"))
+
+
+REPORTS_SQL = """
+rep AS (
+  SELECT test_id, concat_ws(chr(10),
+    concat('Audit report for ', test_id),
+    concat('Performance score ', CAST(CAST(floor(performance_score * 100) AS BIGINT) AS VARCHAR)),
+    CASE WHEN CAST(substr(test_id, 6) AS BIGINT) % 3 = 0
+         THEN concat('Accessibility score: ', CAST(CAST(floor(accessibility_score * 100) AS BIGINT) AS VARCHAR))
+         ELSE concat('Accessibility SCORE ', CAST(CAST(floor(accessibility_score * 100) AS BIGINT) AS VARCHAR)) END,
+    concat('Best Practices score ', CAST(CAST(floor(best_practices_score * 100) AS BIGINT) AS VARCHAR)),
+    CASE WHEN CAST(substr(test_id, 6) AS BIGINT) % 5 = 0 THEN 'SEO score n/a'
+         ELSE concat('SEO score ', CAST(CAST(floor(seo_score * 100) AS BIGINT) AS VARCHAR)) END,
+    CASE WHEN CAST(substr(test_id, 6) AS BIGINT) % 2 = 0
+         THEN concat('Performance score ', CAST(CAST(floor(performance_score * 100) AS BIGINT) - 1 AS VARCHAR))
+         ELSE 'Performance summary' END) AS text
+  FROM order_runs WHERE test_type = 'frontend')"""
+
+
+@register("audit_score_extract", views=["order_runs"], sql=f"""
+WITH {REPORTS_SQL},
+lines AS (SELECT test_id, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM rep),
+cat AS (SELECT test_id, pos,
+   CASE WHEN contains(line, 'Performance') AND contains(lower(line), 'score') THEN 'performance'
+        WHEN contains(line, 'Accessibility') AND contains(lower(line), 'score') THEN 'accessibility'
+        WHEN contains(line, 'Best Practices') AND contains(lower(line), 'score') THEN 'best_practices'
+        WHEN contains(line, 'SEO') AND contains(lower(line), 'score') THEN 'seo' END AS cat,
+   string_split_regex(trim(line), '\\s+') AS toks FROM lines),
+sc AS (SELECT test_id, cat, pos,
+   coalesce(TRY_CAST(CASE WHEN list_position(list_transform(toks, lambda t: lower(t)), 'score') > 0
+        THEN toks[list_position(list_transform(toks, lambda t: lower(t)), 'score') + 1] END AS DOUBLE), 0.0) AS score
+   FROM cat WHERE cat IS NOT NULL),
+last AS (SELECT test_id, cat, arg_max(score, pos) AS score FROM sc GROUP BY test_id, cat)
+SELECT r.test_id,
+  coalesce(max(CASE WHEN cat = 'performance' THEN score END), 0.0) AS performance_score,
+  coalesce(max(CASE WHEN cat = 'accessibility' THEN score END), 0.0) AS accessibility_score,
+  coalesce(max(CASE WHEN cat = 'best_practices' THEN score END), 0.0) AS best_practices_score,
+  coalesce(max(CASE WHEN cat = 'seo' THEN score END), 0.0) AS seo_score
+FROM rep r LEFT JOIN last l ON r.test_id = l.test_id GROUP BY r.test_id""")
+def audit_score_extract(spark, sf):
+    """IO9 + SF1: scores parsed from audit text reports."""
+    return RS.audit_scores(_reports(spark, sf))
+
+
+A1 = ["avg_response_time", "max_response_time", "min_response_time", "requests_per_sec", "error_rate"]
+
+
+@register("run_rollup_hourly", views=["request_stats"], rnd=A1, sql="""
+SELECT test_id, CAST(sum(request_count) AS BIGINT) AS total_requests, CAST(sum(failure_count) AS BIGINT) AS total_failures,
+  avg(avg_response_time) AS avg_response_time, max(max_response_time) AS max_response_time,
+  min(min_response_time) AS min_response_time, avg(requests_per_sec) AS requests_per_sec,
+  CASE WHEN sum(request_count) > 0 THEN sum(failure_count) / sum(request_count) ELSE 0.0 END AS error_rate,
+  'success' AS status
+FROM request_stats GROUP BY test_id""")
+def run_rollup_hourly(spark, sf):
+    """A1 (+IO8 shape): per-run rollup of request statistics rows."""
+    return RS.rollup_request_stats(request_stats(spark, sf))
+
+
+@register("union_error_rows", views=["order_runs"], sql="""
+SELECT test_id, status, NULL AS error, avg_response_time, concurrent_users FROM order_runs WHERE status = 'success'
+UNION ALL
+SELECT test_id, status, concat('Run failed: ', test_id) AS error, NULL AS avg_response_time, concurrent_users
+FROM order_runs WHERE status = 'error'""")
+def union_error_rows(spark, sf):
+    """Success rows and error rows (different columns) in one table."""
+    r = order_runs(spark, sf)
+    ok = r.where(F.col("status") == "success")
+    err = r.where(F.col("status") == "error").select(
+        "test_id", "test_type", "timestamp", "concurrent_users", "spawn_rate", "duration",
+        "network_condition", "status", F.concat(F.lit("Run failed: "), F.col("test_id")).alias("error"))
+    u = RS.union_results(ok, err)
+    return u.select("test_id", "status", "error", "avg_response_time", "concurrent_users")
+
+
+@register("config_join", views=["order_runs", "order_configs"], sql="""
+SELECT r.test_id, r.concurrent_users, len(c.api_endpoints) AS endpoints, c.payload_size
+FROM order_runs r JOIN order_configs c ON r.test_id = c.test_id""")
+def config_join(spark, sf):
+    """Runs joined to their configuration record on test_id."""
+    from loadlens.sources.tables import order_configs
+    r = order_runs(spark, sf).select("test_id", "concurrent_users")
+    c = order_configs(spark, sf)
+    return r.join(c, "test_id").select("test_id", "concurrent_users",
+                                       F.size("api_endpoints").alias("endpoints"), "payload_size")

@@ -83,4 +83,9 @@ def with_views(sql: str, *names: str) -> str:
     for n in names:
         add(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
-    return f"WITH {ctes}\n{sql}" if ordered else sql
+    if not ordered:
+        return sql
+    body = sql.lstrip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
