@@ -2,8 +2,8 @@
 
 Each Spark builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame
 (fitted constants may run small jobs while building).  Double outputs named
-in ``rnd`` are rounded to 6 digits on both sides with the same IEEE steps
-(``floor(x * 1e6 + 0.5) / 1e6``), so summation order does not decide the
+in ``rnd`` are rounded on both sides with the same IEEE steps
+(``floor(x * 2^20 + 0.5) / 2^20``), so summation order does not decide the
 comparison.
 """
 
@@ -18,13 +18,14 @@ from loadlens.plans.views import with_views
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
-DIGITS = 6
+# Rounding grid 2^-20 (~1e-6): decimal-valued data never sits exactly on a half step.
+SCALE = 1048576
 
 
 def _round_spark(df: DataFrame, rnd: Sequence[str]) -> DataFrame:
     if not rnd:
         return df
-    scale = float(10 ** DIGITS)
+    scale = float(SCALE)
     return df.withColumns({c: (F.floor(F.col(c).cast("double") * scale + 0.5).cast("double") / scale)
                            for c in rnd})
 
@@ -32,7 +33,7 @@ def _round_spark(df: DataFrame, rnd: Sequence[str]) -> DataFrame:
 def _round_sql(sql: str, rnd: Sequence[str]) -> str:
     if not rnd:
         return sql
-    scale = f"{10 ** DIGITS}.0E0"
+    scale = f"{SCALE}.0E0"
     rep = ", ".join(f"floor(CAST({c} AS DOUBLE) * {scale} + 0.5E0) / {scale} AS {c}" for c in rnd)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
