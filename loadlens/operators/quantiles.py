@@ -33,9 +33,16 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
                    by: Sequence[str] = (), approx: bool = False,
                    num_buckets: int | None = None) -> dict:
     """Fitted constants {(group..., column, p): value}; bounded by groups x columns x probs."""
-    by = list(by)
-    lv = long_values(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    keys = [*by, "column"]
+    lv = long_values(df, columns, by)
+    return long_quantiles(lv, [*by, "column"], "value", probs, approx, num_buckets)
+
+
+def long_quantiles(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                   approx: bool = False, num_buckets: int | None = None) -> dict:
+    """Quantiles of ``value`` per ``keys`` group of a long table: {(keys..., p): v}."""
+    keys = list(keys)
+    lv = (lv.select(*keys, F.col(value).cast("double").alias("value"))
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
     if approx:
         arr = F.percentile_approx("value", [float(p) for p in probs], 10000)
         out = {}
@@ -48,7 +55,7 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     # wanted 0-based ranks, and the bucket holding each
     want: dict[int, set] = {}
     plan = []   # (group key, p, lo_rank, hi_rank, frac)
-    for gi, (g, items) in enumerate(rb.groups):
+    for g, items in rb.groups:
         total = rb.totals[items[0][0]]
         for p in probs:
             pos = float(p) * (total - 1)
@@ -62,10 +69,9 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
                         break
     if not want:
         return {}
-    bucket = rb.bucket()
     w = (Window.partitionBy("_bk").orderBy("value")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sel = (vc.withColumn("_bk", bucket)
+    sel = (vc.withColumn("_bk", rb.bucket())
              .where(F.col("_bk").isin(list(want)))
              .withColumn("cum", F.sum("cnt").over(w) + rb.offset(F.col("_bk"))))
     # keep a distinct value only if one of its ranks [cum-cnt, cum-1] is wanted

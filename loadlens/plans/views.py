@@ -63,9 +63,11 @@ FROM lineitem GROUP BY l_orderkey""",
     "class_predictions": """
 SELECT doc_id, CAST(quality AS DOUBLE) AS actual, CAST(toxic AS DOUBLE) AS predicted FROM labels""",
     "reg_predictions": """
-SELECT l_orderkey, l_linenumber, 'a' AS model, l_extendedprice AS actual, 2100 * l_quantity AS predicted FROM lineitem
+SELECT l_orderkey, l_linenumber, l_shipdate, 'a' AS model, l_extendedprice AS actual, 2100 * l_quantity AS predicted
+FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber, 'b' AS model, l_extendedprice AS actual, 50000.0E0 AS predicted FROM lineitem""",
+SELECT l_orderkey, l_linenumber, l_shipdate, 'b' AS model, l_extendedprice AS actual, 50000.0E0 AS predicted
+FROM lineitem""",
 }
 
 # views that refer to other views

@@ -135,12 +135,14 @@ def class_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reg_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction log of two models over every line item (model a, model b)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                 F.col("l_shipdate").cast("timestamp").alias("l_shipdate"))
     models = F.explode(F.array(
         F.struct(F.lit("a").alias("model"), (2100 * F.col("l_quantity")).alias("predicted")),
         F.struct(F.lit("b").alias("model"), F.lit(50000.0).alias("predicted"))))
-    return li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("actual"),
-                     models.alias("m")).select("l_orderkey", "l_linenumber", "m.model", "actual", "m.predicted")
+    return li.select("l_orderkey", "l_linenumber", "l_shipdate", F.col("l_extendedprice").alias("actual"),
+                     models.alias("m")).select("l_orderkey", "l_linenumber", "l_shipdate", "m.model", "actual",
+                                               "m.predicted")
 
 
 def order_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
