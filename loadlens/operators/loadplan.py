@@ -294,5 +294,5 @@ def candidate_grid(spark: SparkSession, users=(10, 1000, 10), spawn=(0.5, 50.0,
     return (base.select("concurrent_users",
                         F.explode(F.sequence(F.lit(0), F.lit(n_spawn - 1))).alias("_s"))
                 .select("concurrent_users", (F.lit(spawn[0]) + F.col("_s") * spawn[2]).alias("spawn_rate"),
-                        F.explode(F.sequence(F.lit(duration[0]), F.lit(duration[1]), F.lit(duration[2])))
-                         .cast("long").alias("duration")))
+                        F.explode(F.sequence(F.lit(int(duration[0])), F.lit(int(duration[1])),
+                                             F.lit(int(duration[2]))).cast("array<bigint>")).alias("duration")))

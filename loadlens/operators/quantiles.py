@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +51,16 @@ def long_quantiles(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequen
             for p, v in zip(probs, r["q"]):
                 out[(*[r[k] for k in keys], float(p))] = v
         return out
-    vc = lv.groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
+    # distinct values with counts, read three times below: kept (memory, then disk)
+    # for the duration of the fit; lost blocks are recomputed from lineage
+    vc = lv.groupBy(*keys, "value").agg(F.count("*").alias("cnt")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select_ranks(vc, keys, probs, num_buckets)
+    finally:
+        vc.unpersist()
+
+
+def _select_ranks(vc: DataFrame, keys: list, probs: Sequence[float], num_buckets: int | None) -> dict:
     rb = RangeBuckets(vc, ["value"], keys, num_buckets, weight="cnt")
     # wanted 0-based ranks, and the bucket holding each
     want: dict[int, set] = {}

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.operators.ordering import row_index
@@ -40,7 +40,8 @@ def metric_trends(df: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS, time_
         F.stddev_samp("value").alias("std_value"),
         F.min(time_col).alias("start"), F.max(time_col).alias("end"))
     g = g.where(F.col("n") > min_points)
-    direction = (F.when(F.abs("slope") < 0.01 * F.col("_sd_pop"), "Stable")
+    # a zero-variance series is Stable (its fitted slope is float noise)
+    direction = (F.when((F.col("_var") == 0) | (F.abs("slope") < 0.01 * F.col("_sd_pop")), "Stable")
                   .when(F.col("slope") > 0, "Increasing").otherwise("Decreasing"))
     r2 = F.when(F.col("_var") == 0, F.lit(None).cast("double")).otherwise(F.col("r2_raw"))
     return g.select(

@@ -20,7 +20,7 @@ g AS (SELECT metric, count(*) AS n, regr_slope(value, x) AS slope, regr_intercep
         stddev_pop(value) AS sdp, avg(value) AS mean_value, stddev_samp(value) AS std_value,
         min(ts) AS s, max(ts) AS e FROM x GROUP BY metric HAVING count(*) > 10),
 t AS (SELECT metric, n, slope, intercept, r_squared,
-        CASE WHEN abs(slope) < 0.01 * sdp THEN 'Stable' WHEN slope > 0 THEN 'Increasing' ELSE 'Decreasing' END AS trend_direction,
+        CASE WHEN sdp = 0 OR abs(slope) < 0.01 * sdp THEN 'Stable' WHEN slope > 0 THEN 'Increasing' ELSE 'Decreasing' END AS trend_direction,
         CASE WHEN coalesce(r_squared > 0.3, false) THEN 'Significant' ELSE 'Weak' END AS trend_significance,
         mean_value, std_value,
         CASE WHEN mean_value <> 0 THEN slope * n / mean_value * 100 ELSE 0.0 END AS change_percentage,
