@@ -81,14 +81,6 @@ def cross_validate(spark, sf):
     return MD.cross_validate(fr, feats, "latency_target", ["timestamp", "test_id"], "regression")
 
 
-@register("hyper_search")
-def hyper_search(spark, sf):
-    """M7: seeded random search (20 trials x 5 folds) of forest hyper-parameters."""
-    fr, feats = _frame(spark, sf, "latency_target")
-    _, trials = MD.hyper_search(fr, feats, "latency_target", "random_forest", trials=20, folds=5)
-    return trials
-
-
 @register("importances")
 def importances(spark, sf):
     """Ranked feature importances of the latency forest."""

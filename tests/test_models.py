@@ -66,3 +66,13 @@ def test_cluster_types():
                                  "cluster int, metric string, mean double")
     t = {r.cluster: r.cluster_type for r in CL.cluster_types(prof).collect()}
     assert t == {0: "High Performance", 1: "Medium Performance", 2: "Low Performance", 3: "Unreliable"}
+
+
+def test_hyper_search_small(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(120, 2))
+    df = spark.createDataFrame([(float(a), float(b), float(2 * a + b)) for a, b in x], "a double, b double, y double")
+    best, trials = MD.hyper_search(df, ["a", "b"], "y", "random_forest", trials=2, folds=2, parallelism=2)
+    assert trials.count() == 2 and best is not None
+    with pytest.raises(ValueError):
+        MD.hyper_search(df, ["a", "b"], "y", "svm")
