@@ -84,36 +84,42 @@ def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N
                          sample_size: int = SAMPLE_SIZE, seed: int = 42) -> dict:
     """Trees per column, grown on hash-drawn samples of ``sample_size`` values.
 
-    ``long`` is (key, column, value).  Returns {column: [tree arrays]}.
+    ``long`` is (key, column, value).  Each (row, tree) pair is kept with
+    probability ~2*psi/n of its column (no explode of the table), the psi
+    smallest hashes per (column, tree) form the sample (a window bounded
+    by ~2*psi rows), and all trees of all columns grow in one
+    ``applyInPandas``.  Returns {column: {"psi", "trees"}}.
     """
     counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    trees = {}
+    if not counts:
+        return {}
     limit = int(math.ceil(math.log2(sample_size)))
-    for col_name, n in counts.items():
-        # keep each (row, tree) with probability ~2*psi/n, then the psi smallest hashes per tree
-        p = min(1.0, 2.0 * sample_size / max(n, 1))
-        thr = int(p * 2 ** 31)
-        tid = F.sequence(F.lit(0), F.lit(n_trees - 1))
-        h = lambda t: F.pmod(F.xxhash64(F.col(key).cast("string"), t, F.lit(seed)), F.lit(2 ** 31))
-        picked = (long.where(F.col("column") == col_name)
-                      .select("value", F.explode(F.filter(tid, lambda t: h(t) < thr)).alias("tree"),
-                              F.col(key).cast("string").alias("_k")))
-        picked = picked.withColumn("_h", F.xxhash64("_k", "tree", F.lit(seed)))
-        w = Window.partitionBy("tree").orderBy("_h")
-        picked = picked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
-
-        def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            t = int(pdf["tree"].iloc[0])
-            rng = np.random.default_rng(seed * 1000003 + t)
-            s, lft, rgt, sz, dp = _grow(pdf["value"].to_numpy(dtype=float), rng, limit)
-            return pd.DataFrame({"tree": [t], "split": [s.tolist()], "left": [lft.tolist()],
-                                 "right": [rgt.tolist()], "size": [sz.tolist()], "depth": [dp.tolist()]})
-        schema = ("tree int, split array<double>, left array<int>, right array<int>, "
-                  "size array<double>, depth array<double>")
-        rows = picked.groupBy("tree").applyInPandas(grow, schema).collect()
-        trees[col_name] = {"psi": min(sample_size, n),
-                           "trees": [tuple(np.array(r[c], dtype=float if c in ("split", "size", "depth") else int)
-                                           for c in ("split", "left", "right", "size", "depth")) for r in rows]}
+    thr_map = F.create_map(*[x for c, n in counts.items()
+                             for x in (F.lit(c), F.lit(int(min(1.0, 2.0 * sample_size / max(n, 1)) * 2 ** 31)))])
+    tid = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    k = F.col(key).cast("string")
+    picked = (long.withColumn("_thr", F.element_at(thr_map, F.col("column")))
+                  .select("column", "value", k.alias("_k"), F.explode(F.filter(
+                      tid, lambda t: F.pmod(F.xxhash64(k, t, F.lit(seed)), F.lit(2 ** 31)) < F.col("_thr"))).alias("tree")))
+    picked = picked.withColumn("_h", F.xxhash64("_k", "tree", F.lit(seed)))
+    w = Window.partitionBy("column", "tree").orderBy("_h", "_k")
+    picked = picked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = int(pdf["tree"].iloc[0])
+        rng = np.random.default_rng(seed * 1000003 + t)
+        s, lft, rgt, sz, dp = _grow(pdf["value"].to_numpy(dtype=float), rng, limit)
+        return pd.DataFrame({"column": [pdf["column"].iloc[0]], "tree": [t], "split": [s.tolist()],
+                             "left": [lft.tolist()], "right": [rgt.tolist()], "size": [sz.tolist()],
+                             "depth": [dp.tolist()]})
+    schema = ("column string, tree int, split array<double>, left array<int>, right array<int>, "
+              "size array<double>, depth array<double>")
+    rows = picked.groupBy("column", "tree").applyInPandas(grow, schema).collect()
+    trees = {c: {"psi": min(sample_size, n), "trees": []} for c, n in counts.items()}
+    for r in sorted(rows, key=lambda r: (r["column"], r["tree"])):
+        trees[r["column"]]["trees"].append(tuple(
+            np.array(r[c], dtype=float if c in ("split", "size", "depth") else int)
+            for c in ("split", "left", "right", "size", "depth")))
     return trees
 
 

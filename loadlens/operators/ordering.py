@@ -112,27 +112,40 @@ class RangeBuckets:
         self.num = bid
 
     def bucket(self) -> Column:
-        """Bucket id of a row (NULL only for a group never seen)."""
-        key = _key(self.order)
-
-        def tree(items, lo, hi):
+        """Bucket id of a row: one balanced tree over the composite (group, order) key.
+
+        Buckets of all groups are disjoint ranges of the composite key, so a
+        single search costs O(log buckets) comparisons whatever the number
+        of groups.
+        """
+        if not self.by:
+            items = self.groups[0][1] if self.groups else []
+            key = _key(self.order)
+            his = [(bid, hi) for bid, _, hi in items]
+            names = self.order
+        else:
+            key = F.struct(*[F.col(c) for c in [*self.by, *self.order]])
+            names = [*self.by, *self.order]
+            his = []
+            for g, items in self.groups:
+                for bid, _, hi in items:
+                    hv = tuple(hi) if len(self.order) > 1 else (hi,)
+                    his.append((bid, (*g, *hv)))
+            his.sort(key=lambda t: _sortable(t[1]))
+        if not his:
+            return F.lit(None).cast("int")
+
+        def lit_key(v):
+            if len(names) == 1:
+                return F.lit(v)
+            return F.struct(*[F.lit(x).alias(c) for x, c in zip(v, names)])
+
+        def tree(lo, hi):
             if lo == hi:
-                return F.lit(items[lo][0])
+                return F.lit(his[lo][0])
             mid = (lo + hi) // 2
-            return F.when(key <= _lit_key(items[mid][2], self.order), tree(items, lo, mid)) \
-                    .otherwise(tree(items, mid + 1, hi))
-
-        expr = None
-        for g, items in self.groups:
-            t = tree(items, 0, len(items) - 1)
-            if not self.by:
-                return t
-            cond = None
-            for c, v in zip(self.by, g):
-                e = F.col(c).eqNullSafe(F.lit(v))
-                cond = e if cond is None else cond & e
-            expr = F.when(cond, t) if expr is None else expr.when(cond, t)
-        return expr if expr is not None else F.lit(None).cast("int")
+            return F.when(key <= lit_key(his[mid][1]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return tree(0, len(his) - 1)
 
     def offset(self, bucket: Column) -> Column:
         """Rows (or weight) of the group before the bucket."""
