@@ -56,7 +56,7 @@ SELECT * REPLACE (avg_response_time * 1.5E0 AS avg_response_time)
 FROM order_runs WHERE ts >= TIMESTAMP '1999-01-01 00:00:00'""",
     "order_configs": """
 SELECT concat('test_', CAST(l_orderkey AS VARCHAR)) AS test_id,
-       list_sort(list(concat('/api/part/', CAST(l_partkey AS VARCHAR)))) AS api_endpoints,
+       list_sort(list(DISTINCT concat('/api/', lower(l_returnflag), '/', lower(l_linestatus)))) AS api_endpoints,
        CASE WHEN l_orderkey % 3 = 0 THEN NULL
             ELSE CAST(sum(CAST(floor(l_quantity) AS BIGINT)) * 100 AS BIGINT) END AS payload_size
 FROM lineitem GROUP BY l_orderkey""",
