@@ -322,3 +322,14 @@ def retrain_trigger(spark, sf):
     s = AN.statistical_flags(AN.metric_values(cur.select("test_id", "avg_response_time"), ["avg_response_time"]), th)
     log = s.where("statistical").join(cur.select("test_id", "timestamp"), "test_id")
     return DR.retrain_trigger(cur, bool(flag), log, AS_OF)
+
+
+@register("class_balance", views=["order_runs"], sql="""
+SELECT CAST(coalesce(avg_response_time < 1000, false) AS INTEGER) AS performance_target, count(*) AS runs
+FROM order_runs WHERE avg_response_time IS NOT NULL GROUP BY 1""")
+def class_balance(spark, sf):
+    """Class balance of the classification target (rows with a target)."""
+    from loadlens.operators import targets as TG
+    from loadlens.operators.filters import require_target
+    t = require_target(TG.create_targets(order_runs(spark, sf)), "avg_response_time")
+    return t.groupBy("performance_target").agg(F.count("*").alias("runs"))

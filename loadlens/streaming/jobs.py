@@ -90,3 +90,27 @@ def live_anomalies(events: DataFrame, thresholds: DataFrame, metric: str = "valu
     flag = (F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower"))
     return j.where(flag).select("event_id", "ts", "event_type", F.col(metric).alias("value"),
                                 (F.col(metric) > F.col("z_score_3")).alias("threshold_exceeded"))
+
+
+def alert_batches(flagged_counts: DataFrame, out_dir: str, checkpoint: str, alert_threshold: float = 0.1,
+                  available_now: bool = True):
+    """ST3 + AN5: per micro-batch anomaly rate per column -> alert rows appended to ``out_dir``.
+
+    ``flagged_counts`` is a stream with ``column`` and boolean ``is_anomaly``.
+    """
+    from loadlens.operators import anomaly as AN
+
+    def write_batch(batch: DataFrame, batch_id: int):
+        rates = batch.groupBy("column").agg(F.count_if("is_anomaly").alias("anomaly_count"),
+                                            (F.count_if("is_anomaly") / F.count("*")).alias("anomaly_rate"))
+        (AN.anomaly_alerts(rates, alert_threshold).withColumn("batch_id", F.lit(batch_id))
+           .write.mode("append").parquet(out_dir))
+    return _trigger(flagged_counts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint),
+                    available_now).start()
+
+
+def flag_events(events: DataFrame, thresholds: DataFrame, metric: str = "value") -> DataFrame:
+    """Every event with its AN1 flag (stream-static broadcast join), for alerting."""
+    j = events.join(F.broadcast(thresholds), "event_type", "inner")
+    return j.select(F.col("event_type").alias("column"),
+                    ((F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower"))).alias("is_anomaly"))

@@ -88,3 +88,13 @@ def test_recommendations_lines(spark):
     assert lines[-4:] == RP.GENERAL_RECOMMENDATIONS
     rep = RP.assemble_report("t", {"lines": RP.recommendations({}, None, None)}, generated_at="x").first().report
     assert json.loads(rep)["title"] == "t" and len(json.loads(rep)["lines"]) == 4
+
+
+def test_stream_alert_batches(spark, sf):
+    d = _dir()
+    th = spark.createDataFrame([("view", 0.0, -1.0), ("error", 1e9, -1.0)],
+                               "event_type string, z_score_3 double, iqr_lower double")
+    flagged = ST.flag_events(ST.event_stream(spark, f"{sf}/events.parquet"), th)
+    ST.alert_batches(flagged, d + "/alerts", d + "/ck").awaitTermination()
+    al = spark.read.parquet(d + "/alerts").collect()
+    assert {r.column for r in al} == {"view"} and all(r.severity == "high" for r in al)

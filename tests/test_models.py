@@ -76,3 +76,52 @@ def test_hyper_search_small(spark):
     assert trials.count() == 2 and best is not None
     with pytest.raises(ValueError):
         MD.hyper_search(df, ["a", "b"], "y", "svm")
+
+
+def test_registry_versions_and_summary(spark):
+    import datetime as dt
+    import tempfile
+    reg = tempfile.mkdtemp(prefix="loadlens-reg-", dir="/tmp")
+    rng = np.random.default_rng(11)
+    rows = [(f"t{i}", float(a), float(b), float(2 * a - b)) for i, (a, b) in enumerate(rng.normal(size=(80, 2)))]
+    df = spark.createDataFrame(rows, "test_id string, a double, b double, y double")
+    small = MD.retrain_model(df.limit(10), "m", "y", reg)
+    assert small == {"success": False, "error": "Insufficient data", "data_samples": 10}
+    r1 = MD.retrain_model(df, "m", "y", reg, now=dt.datetime(2024, 1, 1, 9, 0, 0))
+    r2 = MD.retrain_model(df, "m", "y", reg, now=dt.datetime(2024, 1, 2, 8, 0, 0))
+    assert r1["success"] and r2["version"] == "20240102_080000"
+    latest = MD.load_model(spark, reg, "m")
+    assert latest.stages[-1].getNumTrees == 100
+    cmp = MD.compare_versions(spark, reg, "m", ["20240101_090000", "20240102_080000", "missing"])
+    assert cmp.count() == 2
+    log = MD.registry(spark, reg).select(
+        "model_name", F.to_timestamp("training_date").alias("timestamp"), F.col("cv_mean").alias("cv_score"))
+    s = MD.retraining_summary(log, "2024-01-05 00:00:00").first()
+    assert s.total_retrainings == 2 and s.models_retrained == 1 and s.recent_retrainings == 2
+    assert s.retrainings_by_model == {"m": 2}
+
+
+def test_explanations_and_extensions(spark):
+    from loadlens import extensions as X
+    imp = spark.createDataFrame([("concurrent_users", 0.5, 1), ("network_condition_encoded", 0.3, 2),
+                                 ("duration", 0.2, 3)], "feature string, importance double, rank int")
+    lines = MD.explanation_summary(imp)
+    assert lines[0] == "'concurrent_users' is the most important feature (50.00%)"
+    assert len(lines) == 5
+    X.register_feature("double_a", lambda d: d.withColumn("a2", F.col("a") * 2))
+    out = X.apply_custom_features(spark.createDataFrame([(1.0,)], "a double")).first()
+    assert out.a2 == 2.0
+    X.register_model("regression", "my_lr", lambda: MD.LinearRegression(regParam=0.1))
+    assert "my_lr" in X.models_for("regression") and "random_forest" in X.models_for("regression")
+
+
+def test_recommendation_lines(spark):
+    from loadlens.operators import loadplan as LP
+    bp = spark.createDataFrame([(100, 5.0, 300, 800.0, 500.0)],
+                               "concurrent_users long, spawn_rate double, duration long, predicted_latency double, "
+                               "estimated_throughput double")
+    lines = [r.line for r in LP.recommendation_lines(bp).orderBy("line_no").collect()]
+    assert lines[0] == "Safe load: 80 users at 4.0 users/sec"
+    assert lines[2] == "Expected breaking point: 100 users"
+    rec = {r.kind: r for r in LP.load_recommendations(bp).collect()}
+    assert rec["safe_load"].concurrent_users == 80 and rec["stress_test"].concurrent_users == 110
