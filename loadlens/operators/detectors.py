@@ -185,7 +185,8 @@ def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, con
         thin = any(rb.counts[i] < halo for _, items in rb.groups if len(items) > 1 for i, _, _ in items)
         if not thin or (nb or 2) <= 1:
             break
-        nb = max(1, (nb or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))) // 2)
+        from loadlens.operators.ordering import auto_buckets
+        nb = max(1, (nb or auto_buckets(long)) // 2)
     b = long.withColumn("_bk", rb.bucket())
     w_up = Window.partitionBy("_bk").orderBy("value", key)
     w_dn = Window.partitionBy("_bk").orderBy(F.col("value").desc(), F.col(key).desc())

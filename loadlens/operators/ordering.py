@@ -32,6 +32,22 @@ BROADCAST_ROW_LIMIT = 2_000_000
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
+# Bucket sizing: about this many input bytes per bucket (Catalyst's size
+# estimate of the plan, no job), at most the shuffle partitions and at most
+# MAX_BUCKETS so the bucket search tree stays a compact expression.
+TARGET_BUCKET_BYTES = 64 * 1024 * 1024
+MAX_BUCKETS = 4096
+
+
+def auto_buckets(df: DataFrame) -> int:
+    cap = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw if isinstance(raw, int) else raw.toString())
+    except Exception:  # noqa: BLE001 - statistics unavailable: fall back to the cap
+        return cap
+    return max(1, min(cap, -(-size // TARGET_BUCKET_BYTES)))
+
 
 def size_checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Return ``broadcast(df)`` only when its row count is under ``limit``."""
@@ -81,7 +97,7 @@ class RangeBuckets:
     def __init__(self, df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                  num_buckets: int | None = None, weight: str | None = None):
         self.order, self.by = list(order), list(by)
-        n = num_buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        n = num_buckets or auto_buckets(df)
         keys = [*self.by, *self.order]
         w = F.sum(weight) if weight else F.count("*")
         stats = (df.select(*keys, *([weight] if weight else []))
