@@ -33,20 +33,22 @@ BROADCAST_ROW_LIMIT = 2_000_000
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
 # Bucket sizing: about this many input bytes per bucket (Catalyst's size
-# estimate of the plan, no job), at most the shuffle partitions and at most
-# MAX_BUCKETS so the bucket search tree stays a compact expression.
+# estimate of the plan, no job), at least one bucket per core of the
+# cluster, at most the shuffle partitions and at most MAX_BUCKETS so the
+# bucket search tree stays a compact expression.
 TARGET_BUCKET_BYTES = 64 * 1024 * 1024
 MAX_BUCKETS = 4096
 
 
 def auto_buckets(df: DataFrame) -> int:
     cap = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
+    low = max(1, min(cap, df.sparkSession.sparkContext.defaultParallelism))
     try:
         raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         size = int(raw if isinstance(raw, int) else raw.toString())
     except Exception:  # noqa: BLE001 - statistics unavailable: fall back to the cap
         return cap
-    return max(1, min(cap, -(-size // TARGET_BUCKET_BYTES)))
+    return max(low, min(cap, -(-size // TARGET_BUCKET_BYTES)))
 
 
 def size_checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -128,40 +130,38 @@ class RangeBuckets:
         self.num = bid
 
     def bucket(self) -> Column:
-        """Bucket id of a row: one balanced tree over the composite (group, order) key.
+        """Bucket id of a row in O(log groups + log buckets) scalar comparisons.
 
-        Buckets of all groups are disjoint ranges of the composite key, so a
-        single search costs O(log buckets) comparisons whatever the number
-        of groups.
+        A balanced tree on the group key picks the group, then a balanced
+        tree on the order key picks the bucket inside it.
         """
-        if not self.by:
-            items = self.groups[0][1] if self.groups else []
-            key = _key(self.order)
-            his = [(bid, hi) for bid, _, hi in items]
-            names = self.order
-        else:
-            key = F.struct(*[F.col(c) for c in [*self.by, *self.order]])
-            names = [*self.by, *self.order]
-            his = []
-            for g, items in self.groups:
-                for bid, _, hi in items:
-                    hv = tuple(hi) if len(self.order) > 1 else (hi,)
-                    his.append((bid, (*g, *hv)))
-            his.sort(key=lambda t: _sortable(t[1]))
-        if not his:
+        if not self.groups:
             return F.lit(None).cast("int")
+        okey = _key(self.order)
+
+        def value_tree(items, lo, hi):
+            if lo == hi:
+                return F.lit(items[lo][0])
+            mid = (lo + hi) // 2
+            return F.when(okey <= _lit_key(items[mid][2], self.order), value_tree(items, lo, mid)) \
+                    .otherwise(value_tree(items, mid + 1, hi))
+        if not self.by:
+            items = self.groups[0][1]
+            return value_tree(items, 0, len(items) - 1)
+        gkey = _key(self.by)
+        groups = sorted(self.groups, key=lambda t: _sortable(t[0] if len(self.by) > 1 else t[0][0]))
 
-        def lit_key(v):
-            if len(names) == 1:
-                return F.lit(v)
-            return F.struct(*[F.lit(x).alias(c) for x, c in zip(v, names)])
+        def gval(g):
+            return g if len(self.by) > 1 else g[0]
 
-        def tree(lo, hi):
+        def group_tree(lo, hi):
             if lo == hi:
-                return F.lit(his[lo][0])
+                g, items = groups[lo]
+                return value_tree(items, 0, len(items) - 1)
             mid = (lo + hi) // 2
-            return F.when(key <= lit_key(his[mid][1]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-        return tree(0, len(his) - 1)
+            return F.when(gkey <= _lit_key(gval(groups[mid][0]), self.by), group_tree(lo, mid)) \
+                    .otherwise(group_tree(mid + 1, hi))
+        return group_tree(0, len(groups) - 1)
 
     def offset(self, bucket: Column) -> Column:
         """Rows (or weight) of the group before the bucket."""
