@@ -138,7 +138,7 @@ def report_json(spark, sf):
     lab, _, _ = CL.cluster_runs(r, k=3)
     types = CL.cluster_types(CL.performance_profile(lab))
     recs = RP.recommendations({}, overall, types)
-    rep = RP.assemble_report("Performance ML Report", {
+    rep = RP.assemble_report("Load test report", {
         "data_summary": summary, "trends": tr.withColumns({"start": F.col("start").cast("string"),
                                                            "end": F.col("end").cast("string")}),
         "overall_trends": overall, "clusters": CL.cluster_sizes(lab).join(types, "cluster"),
