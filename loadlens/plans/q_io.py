@@ -156,3 +156,35 @@ def retrain_cycle(spark, sf):
     reg = scratch_path(spark, "registry")
     log = RP.improvement_cycle(cur, base, {"latency_model": "avg_response_time"}, reg, AS_OF)
     return MD.improvement_summary(log, AS_OF)
+
+
+@register("workflow_report")
+def workflow_report(spark, sf):
+    """RP3: one-row workflow report (per-phase counts and key insights) as JSON."""
+    from loadlens.operators import anomaly as ANM
+    from loadlens.operators import features as FE
+    from loadlens.operators import loadplan as LP
+    from loadlens.operators import targets as TG
+    from loadlens.plans.q_profile import KEY3
+    r = order_runs(spark, sf)
+    eng = TG.create_targets(FE.engineer_features(r))
+    derived = [c for c in eng.columns if c not in r.columns]
+    log = ANM.anomaly_log(ANM.detect(r, KEY3))
+    base = DR.profile_long(baseline_runs(spark, sf), NUMERIC)
+    drift = DR.data_drift(current_runs(spark, sf).select(*NUMERIC), base)
+    cand = r.select("test_id", "concurrent_users", "spawn_rate", "duration",
+                    F.col("avg_response_time").alias("predicted_latency"))
+    bp = LP.breaking_point(LP.best_candidate(cand.withColumn("objective", LP.load_objective()),
+                                             tie_break=("concurrent_users", "spawn_rate", "duration", "test_id")))
+    counts = r.agg(F.count("*").alias("runs"), F.count_if(F.col("status") == "success").alias("successful_runs"))
+    phases = {
+        "data_collection": counts,
+        "feature_engineering": spark.createDataFrame([(len(derived), len(eng.columns))],
+                                                     "derived_features int, total_columns int"),
+        "anomalies": log.agg(F.count("*").alias("anomalies_detected"),
+                             F.count_if("threshold_exceeded").alias("threshold_violations")),
+        "drift": drift.agg(F.first("significant_drift").alias("significant_drift"),
+                           F.first("drift_rate").alias("drift_rate")),
+        "load_search": bp,
+    }
+    return RP.assemble_report("Workflow report", phases, generated_at=AS_OF)
