@@ -65,3 +65,18 @@ def test_size_checked_broadcast(spark):
     big = spark.range(100)
     out = ordering.size_checked_broadcast(big, limit=50)
     assert out is big
+
+
+def test_hot_group_is_split_across_buckets(spark):
+    # one group holds a third of all rows: its rows must land in several buckets
+    n = 6000
+    rows = [("hot" if i % 3 == 0 else f"g{i % 50}", float(i % 997), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, v double, k long")
+    rb = ordering.RangeBuckets(df, ["v", "k"], ["g"], num_buckets=8)
+    hot = dict(rb.groups)[("hot",)]
+    sizes = [rb.counts[b] for b, _, _ in hot]
+    assert len(hot) >= 3 and max(sizes) < n // 3
+    # and the bucket expression assigns each hot row to one of them, with exact counts
+    got = {r["_bk"]: r["count"] for r in df.where("g = 'hot'").withColumn("_bk", rb.bucket())
+           .groupBy("_bk").count().collect()}
+    assert got == {b: rb.counts[b] for b, _, _ in hot}
