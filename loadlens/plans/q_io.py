@@ -9,7 +9,7 @@ from loadlens.operators import drift as DR
 from loadlens.operators import models as MD
 from loadlens.operators import report as RP
 from loadlens.operators import runs as RS
-from loadlens.operators.profile import thresholds
+from loadlens.operators.quantiles import long_quantiles
 from loadlens.plans.catalog import register
 from loadlens.plans.q_profile import NUMERIC
 from loadlens.plans.q_runs import AS_OF, _raw_batch
@@ -44,14 +44,14 @@ SELECT event_id, event_type, value, value > z3 AS threshold_exceeded
 FROM events JOIN th ON event_type = et WHERE value > z3 OR value < low""")
 def stream_anomalies(spark, sf):
     """ST3: event stream scored against thresholds fitted on the stored events (AN1)."""
-    ev = table(spark, sf, "events").select("event_type", "value")
-    types = [r.event_type for r in ev.select("event_type").distinct().collect()]
-    rows = []
-    for t in types:
-        th = thresholds(ev.where(F.col("event_type") == t), ["value"]).get("value")
-        if th:
-            rows.append((t, th["z_score_3"], th["iqr_lower"]))
-    tab = spark.createDataFrame(rows, "event_type string, z_score_3 double, iqr_lower double")
+    ev = table(spark, sf, "events").select("event_type", "value").where(F.col("value").isNotNull())
+    # thresholds per event type: one grouped aggregate + one grouped exact-quantile fit
+    mom = ev.groupBy("event_type").agg((F.avg("value") + 3 * F.stddev_pop("value")).alias("z_score_3"))
+    q = long_quantiles(ev, ["event_type"], "value", [0.25, 0.75])
+    low = spark.createDataFrame(
+        [(t, q[(t, 0.25)] - 1.5 * (q[(t, 0.75)] - q[(t, 0.25)])) for (t, p) in q if p == 0.25],
+        "event_type string, iqr_lower double")
+    tab = mom.join(low, "event_type")
     out, ck = scratch_path(spark, "stream_anom"), scratch_path(spark, "stream_anom_ck")
     q = ST.run_to_table(ST.live_anomalies(ST.event_stream(spark, f"{sf}/events.parquet"), tab), out, ck)
     q.awaitTermination()
