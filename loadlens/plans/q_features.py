@@ -113,7 +113,7 @@ def features_ratios(spark, sf):
 
 
 @register("features_time", views=["order_runs"], rnd=["duration_minutes"], sql="""
-SELECT test_id, hour(ts) AS hour_of_day, isodow(ts) - 1 AS day_of_week,
+SELECT test_id, CAST(hour(ts) AS INTEGER) AS hour_of_day, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
   CAST(isodow(ts) - 1 IN (5, 6) AS INTEGER) AS is_weekend,
   CAST(epoch(ts) AS BIGINT) AS time_since_epoch,
   CAST(hour(ts) >= 9 AND hour(ts) <= 17 AS INTEGER) AS is_business_hours,
@@ -191,7 +191,7 @@ def features_interaction(spark, sf):
 
 
 @register("features_complexity", views=["order_runs", "order_configs"], rnd=["payload_size_kb", "resource_complexity"], sql="""
-SELECT r.test_id, CASE WHEN api_endpoints IS NOT NULL THEN len(api_endpoints) ELSE 1 END AS endpoint_count,
+SELECT r.test_id, CAST(CASE WHEN api_endpoints IS NOT NULL THEN len(api_endpoints) ELSE 1 END AS INTEGER) AS endpoint_count,
   payload_size / 1024.0 AS payload_size_kb,
   CASE WHEN payload_size / 1024.0 > 0 AND payload_size / 1024.0 <= 1 THEN 'tiny'
        WHEN payload_size / 1024.0 > 1 AND payload_size / 1024.0 <= 10 THEN 'small'

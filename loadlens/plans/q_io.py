@@ -100,7 +100,7 @@ def runs_csv_export(spark, sf):
 
 
 @register("config_json_roundtrip", views=["order_runs", "order_configs"], sql="""
-SELECT r.test_id, r.test_type, len(c.api_endpoints) AS endpoints, c.payload_size
+SELECT r.test_id, r.test_type, CAST(len(c.api_endpoints) AS INTEGER) AS endpoints, c.payload_size
 FROM order_runs r JOIN order_configs c ON r.test_id = c.test_id""")
 def config_json_roundtrip(spark, sf):
     """IO7: configuration records saved as JSON and loaded with the enum-domain check."""
@@ -114,7 +114,7 @@ def config_json_roundtrip(spark, sf):
 
 
 @register("run_store_retention", views=["order_runs"], sql=f"""
-SELECT year(ts) AS year, count(*) AS runs FROM order_runs
+SELECT CAST(year(ts) AS INTEGER) AS year, count(*) AS runs FROM order_runs
 WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1095 DAY GROUP BY 1""")
 def run_store_retention(spark, sf):
     """IO2/IO3 + IO11 + F5: store runs by date, snapshot, apply retention, read back."""

@@ -149,8 +149,8 @@ WITH {TH_SQL},
 per AS (SELECT "column", count(*) AS anomalies,
           count(*) FILTER (WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR) AS r,
           count(*) FILTER (WHERE threshold_exceeded) AS v, sum(model_consensus) AS c FROM sc2 WHERE is_anomaly GROUP BY 1)
-SELECT "column", anomalies, sum(anomalies) OVER () AS total_anomalies, sum(r) OVER () AS recent_anomalies,
-  sum(v) OVER () AS threshold_violations, sum(c) OVER () / sum(anomalies) OVER () AS average_model_consensus FROM per""")
+SELECT "column", anomalies, CAST(sum(anomalies) OVER () AS BIGINT) AS total_anomalies,
+  CAST(sum(r) OVER () AS BIGINT) AS recent_anomalies, CAST(sum(v) OVER () AS BIGINT) AS threshold_violations, sum(c) OVER () / sum(anomalies) OVER () AS average_model_consensus FROM per""")
 def anomaly_summary(spark, sf):
     """Anomaly log summary (per column, totals, last 24 h before as-of)."""
     r = order_runs(spark, sf)

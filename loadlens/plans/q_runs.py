@@ -206,7 +206,7 @@ def union_error_rows(spark, sf):
 
 
 @register("config_join", views=["order_runs", "order_configs"], sql="""
-SELECT r.test_id, r.concurrent_users, len(c.api_endpoints) AS endpoints, c.payload_size
+SELECT r.test_id, r.concurrent_users, CAST(len(c.api_endpoints) AS INTEGER) AS endpoints, c.payload_size
 FROM order_runs r JOIN order_configs c ON r.test_id = c.test_id""")
 def config_join(spark, sf):
     """Runs joined to their configuration record on test_id."""
