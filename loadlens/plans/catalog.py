@@ -26,15 +26,20 @@ def _round_spark(df: DataFrame, rnd: Sequence[str]) -> DataFrame:
     if not rnd:
         return df
     scale = float(SCALE)
-    return df.withColumns({c: (F.floor(F.col(c).cast("double") * scale + 0.5).cast("double") / scale)
-                           for c in rnd})
+
+    def grid(c):
+        x = F.col(c).cast("double")
+        # |x| below 1e12 keeps x * 2^20 inside bigint (Spark's floor type); larger values stay as they are
+        return F.when(F.abs(x) < 1e12, F.floor(x * scale + 0.5).cast("double") / scale).otherwise(x)
+    return df.withColumns({c: grid(c) for c in rnd})
 
 
 def _round_sql(sql: str, rnd: Sequence[str]) -> str:
     if not rnd:
         return sql
     scale = f"{SCALE}.0E0"
-    rep = ", ".join(f"floor(CAST({c} AS DOUBLE) * {scale} + 0.5E0) / {scale} AS {c}" for c in rnd)
+    rep = ", ".join(f"CASE WHEN abs(CAST({c} AS DOUBLE)) < 1e12 THEN floor(CAST({c} AS DOUBLE) * {scale} + 0.5E0) / {scale} "
+                    f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in rnd)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 
