@@ -125,3 +125,11 @@ def test_recommendation_lines(spark):
     assert lines[2] == "Expected breaking point: 100 users"
     rec = {r.kind: r for r in LP.load_recommendations(bp).collect()}
     assert rec["safe_load"].concurrent_users == 80 and rec["stress_test"].concurrent_users == 110
+
+
+def test_scenario_membership(spark):
+    runs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "test_id string, v int")
+    train_ids = spark.createDataFrame([("a",), ("c",), ("c",)], "test_id string")
+    tr = MD.scenario_membership(runs, train_ids)
+    te = MD.scenario_membership(runs, train_ids, keep=False)
+    assert sorted(r.v for r in tr.collect()) == [1, 2, 4] and [r.v for r in te.collect()] == [3]
