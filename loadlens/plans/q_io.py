@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadlens.operators import anomaly as AN
 from loadlens.operators import drift as DR
 from loadlens.operators import models as MD
 from loadlens.operators import report as RP

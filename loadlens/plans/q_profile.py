@@ -9,7 +9,6 @@ from loadlens.operators import filters as FL
 from loadlens.operators import profile as PR
 from loadlens.operators import scaling as SC
 from loadlens.operators import selection as SE
-from loadlens.operators import targets as TG
 from loadlens.plans.catalog import register
 from loadlens.sources.tables import order_runs
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from loadlens.operators import anomaly as AN
 from loadlens.operators import drift as DR
 from loadlens.operators import evaluate as EV
-from loadlens.operators import features as FE
 from loadlens.plans.catalog import register
 from loadlens.plans.q_profile import KEY3, NUMERIC
 from loadlens.sources.tables import (baseline_runs, class_predictions, current_runs, order_runs,
