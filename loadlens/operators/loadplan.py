@@ -296,3 +296,8 @@ def candidate_grid(spark: SparkSession, users=(10, 1000, 10), spawn=(0.5, 50.0,
                 .select("concurrent_users", (F.lit(spawn[0]) + F.col("_s") * spawn[2]).alias("spawn_rate"),
                         F.explode(F.sequence(F.lit(int(duration[0])), F.lit(int(duration[1])),
                                              F.lit(int(duration[2]))).cast("array<bigint>")).alias("duration")))
+
+
+def config_counts(configs: DataFrame) -> DataFrame:
+    """Number of configurations per test type."""
+    return configs.groupBy("test_type").agg(F.count("*").alias("configs"))

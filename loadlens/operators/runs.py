@@ -166,3 +166,8 @@ def audit_scores(reports: DataFrame, key: str = "test_id", text: str = "text") -
     out = base.join(wide, key, "left")
     return out.select(key, *[F.coalesce(F.col(s), F.lit(0.0)).alias(f"{s}_score")
                              for _, s in AUDIT_CATEGORIES])
+
+
+def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows by a total order (deterministic sample for explanations)."""
+    return df.orderBy(*[F.col(c) for c in order]).limit(int(n))

@@ -56,3 +56,11 @@ def test_timeseries_folds(spark):
     f = [tuple(r) for r in LP.timeseries_folds(df, ["t", "id"]).collect()]
     # n=100, test size 16: train ends 20, 36, 52, 68, 84
     assert [(r[1], r[2]) for r in f] == [(20, 16), (36, 16), (52, 16), (68, 16), (84, 16)]
+
+
+def test_config_counts_and_first_rows(spark):
+    from loadlens.operators import runs as RS
+    counts = {r.test_type: r.configs for r in LP.config_counts(LP.config_grid(spark)).collect()}
+    assert counts == {"api": 105, "frontend": 18, "load": 5, "stress": 3}
+    first = [r.test_id for r in RS.first_rows(LP.config_grid(spark), 2, ["test_id"]).collect()]
+    assert first == sorted(first) and len(first) == 2 and first[0].startswith("api_100u")
