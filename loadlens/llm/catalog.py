@@ -2,10 +2,36 @@
 
 from __future__ import annotations
 
-from loadlens.llm import shingle_join, toxicity
+import corpus_pipeline
+from loadlens.llm import (conversations, decontaminate, language_model, mixing, near_vectors, repeats, secrets, shingle_join,
+                          token_counts, toxicity)
 from loadlens.llm.tables import table
 
 
+def op1_secret_novelty(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_chat_snapshots(spark, sf_dir):
+    return conversations.render(table(spark, sf_dir, "conversations"))
+
+
+def op3_suffix_repeats(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op4_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_recurrent_lm(spark, sf_dir):
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_unigram_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_shingle_jaccard_join(spark, sf_dir):
     return shingle_join.shingle_join(table(spark, sf_dir, "documents"))
 
@@ -14,8 +40,17 @@ def op8_toxicity_nnpu(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pfair_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op10_benchmark_alignment(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op7_shingle_jaccard_join, op8_toxicity_nnpu,
-)}
+    op1_secret_novelty, op2_chat_snapshots, op3_suffix_repeats, op4_near_vectors, op5_recurrent_lm, op6_unigram_token_counts,
+    op7_shingle_jaccard_join, op8_toxicity_nnpu, op9_pfair_mixing, op10_benchmark_alignment,
+)} | {"pipeline": corpus_pipeline.run}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_chat_snapshots": conversations.SQL}

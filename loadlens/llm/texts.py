@@ -130,3 +130,15 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, n: int = 5) -> list[np.ndarr
         else:
             out.append(np.zeros(0, _U))
     return out
+
+
+def planes(x: np.ndarray, width: int) -> bytes:
+    """Integers byte plane by byte plane, so that the unused high bytes compress away."""
+    return np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplanes(b: bytes, width: int) -> np.ndarray:
+    n = len(b) // width
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(b, np.uint8).reshape(width, n).T
+    return wide.view(np.int64).ravel()

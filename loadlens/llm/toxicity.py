@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loadlens.llm import texts as T
 from loadlens.llm.tables import crc_mod, store
@@ -159,23 +160,28 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``score`` for every row; one pass, no shuffle."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``keep`` columns and the score, as ``name``, for every row; one pass, no shuffle."""
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)  # 2 ** BITS floats
-    bias, names = model.bias, [c for c in keep if c != "text"]
+    bias = model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value.astype(np.float64)
         for t in T.slices(batches):
             z = np.array([w[f].sum() for f in features(*T.utf8(t["text"]))]) + bias
-            cols = [t[c].combine_chunks() for c in keep] + [pa.array(_sigmoid(z))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([t[c].combine_chunks() for c in keep] + [pa.array(_sigmoid(z))], names=[*keep, name])
 
-    source = docs.select(*names, "text")
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
+    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = StructType([source.schema[c] for c in keep] + [StructField(name, DoubleType())])
     return source.mapInArrow(run, schema)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score under 0.5."""
+    name = "_" + max([*docs.columns, "score"], key=len)         # no column of the documents has it
+    return score(docs, fit(*sample(docs, labels)), tuple(docs.columns), name).where(F.col(name) < 0.5).select(*docs.columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted."""
     model = fit(*sample(docs, labels))
