@@ -26,10 +26,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.operators.ordering import RangeBuckets
+from loadlens.operators.ordering import row_index, stored
 from loadlens.operators.quantiles import long_quantiles, long_values
 
 SAMPLE_SIZE = 256
+# Rows of a column whose LOF one task computes at a time.
+BLOCK_ROWS = 20_000
 N_TREES = 100
 
 
@@ -84,7 +86,8 @@ def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N
                          sample_size: int = SAMPLE_SIZE, seed: int = 42) -> dict:
     """Trees per column, grown on hash-drawn samples of ``sample_size`` values.
 
-    ``long`` is (key, column, value).  Each (row, tree) pair is kept with
+    ``long`` is (key, column, value).  Rows are numbered in value order, so
+    that rows with one key are drawn apart.  Each (row, tree) pair is kept with
     probability ~2*psi/n of its column (no explode of the table), the psi
     smallest hashes per (column, tree) form the sample (a window bounded
     by ~2*psi rows), and all trees of all columns grow in one
@@ -97,7 +100,8 @@ def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N
     thr_map = F.create_map(*[x for c, n in counts.items()
                              for x in (F.lit(c), F.lit(int(min(1.0, 2.0 * sample_size / max(n, 1)) * 2 ** 31)))])
     tid = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    k = F.col(key).cast("string")
+    k = F.col("_i")
+    long = row_index(long.select(key, "column", "value"), ["value", key], ["column"], name="_i")
     picked = (long.withColumn("_thr", F.element_at(thr_map, F.col("column")))
                   .select("column", "value", k.alias("_k"), F.explode(F.filter(
                       tid, lambda t: F.pmod(F.xxhash64(k, t, F.lit(seed)), F.lit(2 ** 31)) < F.col("_thr"))).alias("tree")))
@@ -147,11 +151,7 @@ def isolation_scores(long: DataFrame, forest: dict) -> DataFrame:
 def isolation_forest(long: DataFrame, key: str = "test_id", contamination: float = 0.1, seed: int = 42) -> DataFrame:
     """AN2a: scores and outlier flag (score above its (1-contamination) quantile)."""
     forest = fit_isolation_forest(long, key, seed=seed)
-    scored = isolation_scores(long, forest)
-    cut = long_quantiles(scored, ["column"], "iforest_score", [1 - contamination])
-    thr = F.element_at(F.create_map(*[x for (c, _), v in cut.items() for x in (F.lit(c), F.lit(v))]),
-                       F.col("column"))
-    return scored.withColumn("iforest_outlier", F.col("iforest_score") > thr)
+    return _flagged(stored(isolation_scores(long, forest), "forest-scores"), "iforest_score", "iforest_outlier", contamination)
 
 
 def _lof_block(values: np.ndarray, k: int) -> np.ndarray:
@@ -175,52 +175,38 @@ def _lof_block(values: np.ndarray, k: int) -> np.ndarray:
 
 
 def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, contamination: float = 0.1,
-                         num_buckets: int | None = None) -> DataFrame:
-    """AN2b: exact 1-D LOF per (key, column, value) with range buckets and halos."""
+                         block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """AN2b: exact 1-D LOF per (key, column, value).
+
+    The values of a column are numbered in order and cut into blocks of equal
+    length; a row also goes to the neighbouring block if it lies within 3k rows
+    of it, which is as far as a value's LOF can see.
+    """
     halo = 3 * k
-    nb = num_buckets
-    while True:
-        rb = RangeBuckets(long, ["value", key], ["column"], nb)
-        # every bucket of a multi-bucket column must be able to supply a full halo
-        thin = any(rb.counts[i] < halo for _, items in rb.groups if len(items) > 1 for i, _, _ in items)
-        if not thin or (nb or 2) <= 1:
-            break
-        from loadlens.operators.ordering import auto_buckets
-        nb = max(1, (nb or auto_buckets(long)) // 2)
-    b = long.withColumn("_bk", rb.bucket())
-    w_up = Window.partitionBy("_bk").orderBy("value", key)
-    w_dn = Window.partitionBy("_bk").orderBy(F.col("value").desc(), F.col(key).desc())
-    b = b.withColumn("_ru", F.row_number().over(w_up)).withColumn("_rd", F.row_number().over(w_dn))
-    # a bucket's first rows also go to the previous bucket of the same column, its last rows to the next
-    first_of = {}
-    last_of = {}
-    for _, items in rb.groups:
-        ids = [i for i, _, _ in items]
-        for a, c in zip(ids, ids[1:]):
-            first_of[c] = a      # rows of c are halo of a
-            last_of[a] = c       # rows of a are halo of c
-    prev = F.element_at(F.create_map(*[x for c, a in first_of.items() for x in (F.lit(c), F.lit(a))] or
-                                     [F.lit(-1), F.lit(-1)]), F.col("_bk"))
-    nxt = F.element_at(F.create_map(*[x for a, c in last_of.items() for x in (F.lit(a), F.lit(c))] or
-                                    [F.lit(-1), F.lit(-1)]), F.col("_bk"))
-    core = b.select(key, "column", "value", F.col("_bk").alias("_home"), F.lit(True).alias("_core"))
-    h1 = b.where((F.col("_ru") <= halo) & prev.isNotNull()).select(
-        key, "column", "value", prev.alias("_home"), F.lit(False).alias("_core"))
-    h2 = b.where((F.col("_rd") <= halo) & nxt.isNotNull()).select(
-        key, "column", "value", nxt.alias("_home"), F.lit(False).alias("_core"))
-    allrows = core.unionByName(h1).unionByName(h2)
+    rows = max(block_rows, halo)
+    at = F.col("_i") % rows
+    home = F.floor(F.col("_i") / rows).cast("long")
+    homes = F.filter(F.array(home, F.when(at < halo, home - 1), F.when(at >= rows - halo, home + 1)),
+                     lambda h: h.isNotNull() & (h >= 0))
+    numbered = row_index(long.select(key, "column", "value"), ["value", key], ["column"], name="_i")
+    dealt = numbered.select(key, "column", "value", "_i", home.alias("_own"), F.explode(homes).alias("_home"))
     ktype = dict(long.dtypes)[key]
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["value", key], kind="stable").reset_index(drop=True)
-        lof = _lof_block(pdf["value"].to_numpy(dtype=float), k)
-        pdf["lof"] = lof
-        return pdf[pdf["_core"]][[key, "column", "value", "lof"]]
-    scored = allrows.groupBy("_home").applyInPandas(score, f"`{key}` {ktype}, column string, value double, lof double")
-    cut = long_quantiles(scored, ["column"], "lof", [1 - contamination])
-    thr = F.element_at(F.create_map(*[x for (c, _), v in cut.items() for x in (F.lit(c), F.lit(v))]),
-                       F.col("column"))
-    return scored.withColumn("lof_outlier", F.col("lof") > thr)
+        pdf = pdf.sort_values("_i", kind="stable").reset_index(drop=True)
+        pdf["lof"] = _lof_block(pdf["value"].to_numpy(dtype=float), k)
+        return pdf[pdf["_own"] == pdf["_home"]][[key, "column", "value", "lof"]]
+    scored = stored(dealt.groupBy("column", "_home").applyInPandas(
+        score, f"`{key}` {ktype}, column string, value double, lof double"), "lof")
+    return _flagged(scored, "lof", "lof_outlier", contamination)
+
+
+def _flagged(scored: DataFrame, score: str, flag: str, contamination: float) -> DataFrame:
+    """``flag``: the score lies above the column's (1 - contamination) quantile."""
+    cut = long_quantiles(scored, ["column"], score, [1 - contamination])
+    pairs = [x for (c, _), v in cut.items() for x in (F.lit(c), F.lit(v))]
+    threshold = F.element_at(F.create_map(*pairs), F.col("column")) if pairs else F.lit(None).cast("double")
+    return scored.withColumn(flag, F.col(score) > threshold)
 
 
 def detector_votes(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamination: float = 0.1) -> DataFrame:

@@ -4,8 +4,9 @@ All features are Column expressions added with one ``withColumns`` per
 group, so the whole set is a single codegen'd projection.  A feature group
 is emitted only when its input columns exist (schema check, no job).  The
 few features that need a table-wide value (min/max users, min throughput,
-category codes, the users rank) are *fitted* first: one aggregate job and
-one distinct job whose results are small constants, inlined as literals.
+category codes, the users rank) are *fitted* first: one aggregate job whose
+results are inlined as literals, and a stored table of codes per category
+column that is joined by value.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.columns import cut, div, mean_of, sample_std_of
-from loadlens.operators.ordering import average_rank_pct, join_keys, size_checked_broadcast
+from loadlens.operators.ordering import average_rank_pct, join_keys, running, stored
 from loadlens.schema import BASE_FEATURES, SCORE_COLUMNS
 
 # Bin edges and labels of the categorical features.
@@ -28,9 +29,6 @@ PAYLOAD_BINS = ([0, 1, 10, 100, 1000, float("inf")], ["tiny", "small", "medium",
 # Nominal link speed in Mbps per network condition.
 NETWORK_SPEED_MBPS = {"wifi": 50.0, "4g": 20.0, "3g": 3.0, "slow_3g": 1.5}
 
-# Category sets up to this size become a literal map; larger ones a join.
-MAX_LITERAL_CATEGORIES = 10_000
-
 
 def _has(df: DataFrame, *cols: str) -> bool:
     names = set(df.columns)
@@ -44,7 +42,7 @@ class FeatureStats:
     max_users: float | None = None
     min_rps: float | None = None
     payload_any: bool = False
-    codes: dict = field(default_factory=dict)   # column -> {value: code} or None (too many)
+    codes: dict = field(default_factory=dict)   # column -> stored table (_cv, _code)
 
 
 def fit_feature_stats(df: DataFrame) -> FeatureStats:
@@ -61,33 +59,20 @@ def fit_feature_stats(df: DataFrame) -> FeatureStats:
         st.min_users, st.max_users = r.get("min_users"), r.get("max_users")
         st.min_rps = r.get("min_rps")
         st.payload_any = bool(r.get("payload_any", False))
-    cat_cols = [c for c in ("network_condition", "browser") if _has(df, c)]
-    if cat_cols:
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
-                                    for c in cat_cols])).alias("kv")
-        rows = (df.select(pairs).select("kv.k", "kv.v").where(F.col("v").isNotNull())
-                  .distinct().limit(MAX_LITERAL_CATEGORIES * len(cat_cols) + 1).collect())
-        for c in cat_cols:
-            vals = sorted(r["v"] for r in rows if r["k"] == c)
-            st.codes[c] = ({v: i for i, v in enumerate(vals)}
-                           if len(rows) <= MAX_LITERAL_CATEGORIES * len(cat_cols) else None)
+    for c in ("network_condition", "browser"):
+        if _has(df, c):
+            values = df.select(F.col(c).cast("string").alias("_cv")).where(F.col("_cv").isNotNull()).distinct()
+            codes = running(values, ["_cv"], (), {"_code": ("count", "_cv")})
+            st.codes[c] = stored(codes.select("_cv", (F.col("_code") - 1).cast("int").alias("_code")), "codes")
     return st
 
 
-def category_codes(df: DataFrame, column: str, out: str, codes: dict | None) -> DataFrame:
+def category_codes(df: DataFrame, column: str, out: str, codes: DataFrame | None) -> DataFrame:
     """Lexicographic category code from 0; NULL (or unseen) -> -1."""
-    if codes is not None:
-        if not codes:
-            return df.withColumn(out, F.lit(-1))
-        m = F.create_map(*[x for k, v in sorted(codes.items()) for x in (F.lit(k), F.lit(v))])
-        return df.withColumn(out, F.coalesce(F.element_at(m, F.col(column).cast("string")), F.lit(-1)))
-    # many categories: dense rank of the distinct values, joined back
-    from loadlens.operators.ordering import running
-    d = df.select(F.col(column).cast("string").alias("_cv")).where(F.col("_cv").isNotNull()).distinct()
-    d = running(d, ["_cv"], (), {"_code": ("count", "_cv")}).withColumn("_code", F.col("_code") - 1)
-    d = size_checked_broadcast(d)
-    j = join_keys(df.withColumn("_cv", F.col(column).cast("string")), d, ["_cv"], "left")
-    return j.withColumn(out, F.coalesce(F.col("_code"), F.lit(-1)).cast("int")).drop("_cv", "_code")
+    if codes is None:
+        return df.withColumn(out, F.lit(-1))
+    joined = join_keys(df.withColumn("_cv", F.col(column).cast("string")), codes, ["_cv"], "left")
+    return joined.withColumn(out, F.coalesce(F.col("_code"), F.lit(-1))).drop("_cv", "_code")
 
 
 def basic_features(df: DataFrame) -> DataFrame:
@@ -183,7 +168,7 @@ def network_features(df: DataFrame, st: FeatureStats) -> DataFrame:
     mbps = F.element_at(speeds, F.col("network_condition"))
     out = df.withColumns({"network_speed_mbps": mbps, "network_speed_kbps": mbps * 1000})
     out = category_codes(out, "network_condition", "network_condition_encoded",
-                         st.codes.get("network_condition", {}))
+                         st.codes.get("network_condition"))
     if _has(df, "avg_response_time"):
         out = out.withColumn("network_performance_impact",
                              F.col("avg_response_time") * F.col("network_speed_mbps") / 50)
@@ -202,7 +187,7 @@ def frontend_features(df: DataFrame, st: FeatureStats) -> DataFrame:
         new["frontend_consistency"] = sample_std_of(filled)
     out = df.withColumns(new) if new else df
     if _has(df, "browser"):
-        out = category_codes(out, "browser", "browser_encoded", st.codes.get("browser", {}))
+        out = category_codes(out, "browser", "browser_encoded", st.codes.get("browser"))
     return out
 
 

@@ -2,59 +2,60 @@
 
 A window with ``partitionBy(group).orderBy(x)`` puts a whole group in one
 task; with a group holding a third of all rows that task never finishes.
-Here the sort key space is cut into buckets instead:
-
-1. one pass range-partitions the rows on ``(group, order)`` and keeps, per
-   bucket, the smallest and largest key and the row count.  That table has
-   at most ``buckets + groups`` rows, so it is collected as fitted
-   constants;
-2. every row then finds its bucket by value with a balanced ``CASE`` tree
-   (``O(log buckets)`` comparisons, pure codegen).  Bucket ranges are
-   value-defined and disjoint, so recomputing a lost partition gives the
-   same answer - nothing needs to be materialised;
-3. a window per bucket (bounded by the bucket size) plus the bucket's
-   offset (a literal lookup) gives the group-wide running value.
-
-Public helpers: :class:`RangeBuckets`, :func:`running`, :func:`row_index`,
-:func:`value_ranks`, :func:`average_rank_pct`, :func:`join_keys`,
-:func:`size_checked_broadcast`.
+Here the rows are dealt into sorted ranges instead:
+
+1. Spark's range partitioner splits the rows on ``(group, order)`` into a
+   number of ranges that follows the counted rows; the rows are written once
+   to the shared folder with the number of their range, so that a lost
+   executor can't move a row to another range;
+2. a window per ``(range, group)`` gives the position inside the range;
+3. one row per range and group holds its totals; the totals of the earlier
+   ranges of the group (a window over those few rows) are joined back.
+
+Nothing is collected, and neither the number of ranges nor of groups is
+limited.  Null groups and null order keys are ordinary values (nulls first).
+
+Public helpers: :func:`ranged`, :func:`running`, :func:`row_index`,
+:func:`value_ranks`, :func:`average_rank_pct`, :func:`join_keys`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a side that is broadcast; above it a shuffle join is used.
-BROADCAST_ROW_LIMIT = 2_000_000
+from loadlens.session import scratch_path
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+_COMBINE = {"sum": lambda a, b: a + b, "count": lambda a, b: a + b, "min": F.least, "max": F.greatest}
+
+# Rows of one range; the number of ranges follows the rows counted.
+ROWS_PER_RANGE = 500_000
+RANGE = "_range"
+
 
-# Bucket sizing: about this many input bytes per bucket (Catalyst's size
-# estimate of the plan, no job), at least one bucket per core of the
-# cluster, at most the shuffle partitions and at most MAX_BUCKETS so the
-# bucket search tree stays a compact expression.
-TARGET_BUCKET_BYTES = 64 * 1024 * 1024
-MAX_BUCKETS = 4096
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def auto_buckets(df: DataFrame) -> int:
-    cap = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
-    low = max(1, min(cap, df.sparkSession.sparkContext.defaultParallelism))
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw if isinstance(raw, int) else raw.toString())
-    except Exception:  # noqa: BLE001 - statistics unavailable: fall back to the cap
-        return cap
-    return max(low, min(cap, -(-size // TARGET_BUCKET_BYTES)))
+def ranged(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+    """The stored rows with the number of their range of ``(by, order)`` in ``_range``.
+
+    Rows that tie on the whole order are told apart by an arbitrary number, so
+    that even they are spread over several ranges.
+    """
+    n = num_ranges or max(df.sparkSession.sparkContext.defaultParallelism, df.count() // ROWS_PER_RANGE + 1)
+    split = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *by, *order, "_tie")
+    return stored(split.drop("_tie").withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 
-def size_checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Return ``broadcast(df)`` only when its row count is under ``limit``."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+def _earlier(by: Sequence[str]):
+    return Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -79,163 +80,39 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(r, cond, how).drop(*[f"_rk_{c}" for c in keys])
 
 
-def _key(order: Sequence[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-
-
-def _lit_key(v, order: Sequence[str]) -> Column:
-    if len(order) == 1:
-        return F.lit(v)
-    return F.struct(*[F.lit(x).alias(c) for x, c in zip(v, order)])
-
-
-class RangeBuckets:
-    """Value-defined buckets over ``order`` inside each ``by`` group.
-
-    ``weight`` (a column name) makes the counts sums of that column, e.g.
-    for distinct values carrying a multiplicity.
-    """
-
-    def __init__(self, df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
-                 num_buckets: int | None = None, weight: str | None = None):
-        self.order, self.by = list(order), list(by)
-        n = num_buckets or auto_buckets(df)
-        keys = [*self.by, *self.order]
-        w = F.sum(weight) if weight else F.count("*")
-        stats = (df.select(*keys, *([weight] if weight else []))
-                   .repartitionByRange(n, *keys)
-                   .groupBy(F.spark_partition_id().alias("_p"), *self.by)
-                   .agg(F.min(_key(self.order)).alias("lo"), F.max(_key(self.order)).alias("hi"),
-                        w.alias("cnt"))
-                   .collect())
-        groups: dict[tuple, list] = {}
-        for r in stats:
-            g = tuple(r[c] for c in self.by)
-            groups.setdefault(g, []).append((r["lo"], r["hi"], int(r["cnt"] or 0)))
-        self.groups = []          # (group key, [(bucket id, lo, hi)])
-        self.offsets, self.totals, self.counts = [], [], []
-        bid = 0
-        for g, bs in groups.items():
-            bs.sort(key=lambda t: _sortable(t[0]))
-            acc, items = 0, []
-            total = sum(b[2] for b in bs)
-            for lo, hi, cnt in bs:
-                items.append((bid, lo, hi))
-                self.offsets.append(acc)
-                self.totals.append(total)
-                self.counts.append(cnt)
-                acc += cnt
-                bid += 1
-            self.groups.append((g, items))
-        self.num = bid
-
-    def bucket(self) -> Column:
-        """Bucket id of a row in O(log groups + log buckets) scalar comparisons.
-
-        A balanced tree on the group key picks the group, then a balanced
-        tree on the order key picks the bucket inside it.
-        """
-        if not self.groups:
-            return F.lit(None).cast("int")
-        okey = _key(self.order)
-
-        def value_tree(items, lo, hi):
-            if lo == hi:
-                return F.lit(items[lo][0])
-            mid = (lo + hi) // 2
-            return F.when(okey <= _lit_key(items[mid][2], self.order), value_tree(items, lo, mid)) \
-                    .otherwise(value_tree(items, mid + 1, hi))
-        if not self.by:
-            items = self.groups[0][1]
-            return value_tree(items, 0, len(items) - 1)
-        gkey = _key(self.by)
-        groups = sorted(self.groups, key=lambda t: _sortable(t[0] if len(self.by) > 1 else t[0][0]))
-
-        def gval(g):
-            return g if len(self.by) > 1 else g[0]
-
-        def group_tree(lo, hi):
-            if lo == hi:
-                g, items = groups[lo]
-                return value_tree(items, 0, len(items) - 1)
-            mid = (lo + hi) // 2
-            return F.when(gkey <= _lit_key(gval(groups[mid][0]), self.by), group_tree(lo, mid)) \
-                    .otherwise(group_tree(mid + 1, hi))
-        return group_tree(0, len(groups) - 1)
-
-    def offset(self, bucket: Column) -> Column:
-        """Rows (or weight) of the group before the bucket."""
-        return F.element_at(F.array(*[F.lit(int(o)) for o in self.offsets] or [F.lit(0)]), bucket + 1)
-
-    def total(self, bucket: Column) -> Column:
-        return F.element_at(F.array(*[F.lit(int(o)) for o in self.totals] or [F.lit(0)]), bucket + 1)
-
-
-def _sortable(v):
-    if v is None:
-        return (0,)
-    if isinstance(v, tuple) or hasattr(v, "__fields__"):
-        return tuple((x is not None, x) for x in v)
-    return (1, v)
-
-
 def running(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
             aggs: dict[str, tuple[str, str]] | None = None,
-            num_buckets: int | None = None) -> DataFrame:
+            num_ranges: int | None = None) -> DataFrame:
     """Running aggregates inside each ``by`` group in ``order`` order.
 
     ``aggs`` maps an output name to ``(fn, column)`` with fn in
     sum/min/max/count.  Ties in ``order`` are broken arbitrarily, so pass a
     unique order for a deterministic result.
     """
-    aggs = aggs or {}
-    rb = RangeBuckets(df, order, by, num_buckets)
-    out = df.withColumn("_bk", rb.bucket())
-    w_in = (Window.partitionBy("_bk").orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for name, (fn, c) in aggs.items():
-        src = F.lit(1) if fn == "count" else F.col(c)
-        out = out.withColumn(name, _AGG[fn](src).over(w_in))
-    prefix = {name: (fn, c) for name, (fn, c) in aggs.items() if fn in ("min", "max", "sum")}
-    if prefix:
-        # per-bucket totals (one small collect) -> prefix over earlier buckets
-        tot = (df.withColumn("_bk", rb.bucket()).groupBy("_bk")
-                 .agg(*[_AGG[fn](F.col(c)).alias(f"_t_{n}") for n, (fn, c) in prefix.items()])
-                 .collect())
-        per = {r["_bk"]: r for r in tot}
-        step = {"min": min, "max": max, "sum": lambda a, b: a + b}
-        for name, (fn, c) in prefix.items():
-            pre_vals = [None] * rb.num
-            for _, items in rb.groups:
-                acc = None
-                for bid, _, _ in items:
-                    pre_vals[bid] = acc
-                    v = per[bid][f"_t_{name}"] if bid in per else None
-                    if v is not None:
-                        acc = v if acc is None else step[fn](acc, v)
-            dtype = df.schema[c].dataType.simpleString()
-            arr = F.array(*[F.lit(v).cast(dtype) for v in pre_vals] or [F.lit(None).cast(dtype)])
-            prev = F.element_at(arr, F.col("_bk") + 1)
-            comb = {"min": F.least, "max": F.greatest, "sum": lambda a, b: a + b}[fn]
-            out = out.withColumn(name, F.when(prev.isNull(), F.col(name)).otherwise(comb(prev, F.col(name))))
-    for name, (fn, c) in aggs.items():
-        if fn == "count":
-            out = out.withColumn(name, F.col(name) + rb.offset(F.col("_bk")))
-    return out.drop("_bk")
+    aggs, by = aggs or {}, list(by)
+    rows = ranged(df, order, by, num_ranges)
+    source = {name: F.lit(1) if fn == "count" else F.col(c) for name, (fn, c) in aggs.items()}
+    totals = rows.groupBy(RANGE, *by).agg(*[_AGG[fn](source[name]).alias(f"_t_{name}") for name, (fn, _) in aggs.items()])
+    before = totals.select(RANGE, *by, *[_AGG["sum" if fn == "count" else fn](f"_t_{name}").over(_earlier(by)).alias(f"_b_{name}")
+                                         for name, (fn, _) in aggs.items()])
+    inside = Window.partitionBy(RANGE, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.withColumns({f"_in_{name}": _AGG[fn](source[name]).over(inside) for name, (fn, _) in aggs.items()})
+    out = join_keys(out, before, [RANGE, *by], "left")
+    for name, (fn, _) in aggs.items():
+        here, prior = F.col(f"_in_{name}"), F.col(f"_b_{name}")
+        out = out.withColumn(name, F.coalesce(_COMBINE[fn](prior, here), here, prior))
+    return out.drop(RANGE, *[p + name for name in aggs for p in ("_in_", "_b_")])
 
 
 def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
-              name: str = "row_idx", num_buckets: int | None = None) -> DataFrame:
+              name: str = "row_idx", num_ranges: int | None = None) -> DataFrame:
     """0-based position of each row inside its group in ``order`` order."""
-    rb = RangeBuckets(df, order, by, num_buckets)
-    w = Window.partitionBy("_bk").orderBy(*order)
-    return (df.withColumn("_bk", rb.bucket())
-              .withColumn(name, (F.row_number().over(w) - 1 + rb.offset(F.col("_bk"))).cast("long"))
-              .drop("_bk"))
+    return (running(df, order, by, {name: ("count", "")}, num_ranges)
+            .withColumn(name, (F.col(name) - 1).cast("long")))
 
 
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
-                num_buckets: int | None = None) -> DataFrame:
+                num_ranges: int | None = None) -> DataFrame:
     """Distinct non-null values with their row count and cumulative count.
 
     Output: by..., ``value``, ``cnt``, ``cum`` (rows with value <= this one),
@@ -243,29 +120,31 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
     (map-side combine), so a hot value is a single row.
     """
     by = list(by)
-    vc = (df.where(F.col(value).isNotNull())
-            .groupBy(*by, value).agg(F.count("*").alias("cnt")))
-    rb = RangeBuckets(vc, [value], by, num_buckets, weight="cnt")
-    w = (Window.partitionBy("_bk").orderBy(value)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bk = F.col("_bk")
-    return (vc.withColumn("_bk", rb.bucket())
-              .withColumn("cum", F.sum("cnt").over(w) + rb.offset(bk))
-              .withColumn("n", rb.total(bk).cast("long"))
-              .drop("_bk"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("cnt"))
+    rows = ranged(counted, [value], by, num_ranges)
+    inside = Window.partitionBy(RANGE, *by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = join_keys(rows.withColumn("cum", F.sum("cnt").over(inside)), range_totals(rows, by), [RANGE, *by])
+    return out.withColumn("cum", F.col("cum") + F.col("_before")).drop(RANGE, "_before", "_cnt")
+
+
+def range_totals(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per range and group of counted values: its count, the count before it, and the group's count ``n``."""
+    by = list(by)
+    totals = rows.groupBy(RANGE, *by).agg(F.sum("cnt").alias("_cnt"))
+    return totals.select(RANGE, *by, "_cnt", F.coalesce(F.sum("_cnt").over(_earlier(by)), F.lit(0)).alias("_before"),
+                         F.sum("_cnt").over(Window.partitionBy(*by)).cast("long").alias("n"))
 
 
 def average_rank_pct(df: DataFrame, value: str, out: str, by: Sequence[str] = (),
-                     num_buckets: int | None = None) -> DataFrame:
+                     num_ranges: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)``: average rank of ties / non-null count.
 
     NULL values get NULL.  The per-value table is joined back on the value;
-    it is broadcast only under a checked size, else AQE splits a hot value.
+    Spark picks the join by its size, and AQE splits a hot value.
     """
     by = list(by)
-    vr = value_ranks(df, value, by, num_buckets)
+    vr = value_ranks(df, value, by, num_ranges)
     vr = vr.select(*by, F.col(value).alias("_v"),
                    ((F.col("cum") - F.col("cnt") + (F.col("cnt") + 1) / 2.0)
                     / F.col("n")).alias(out))
-    vr = size_checked_broadcast(vr)
-    return join_keys(df, vr, by, "left", extra=lambda r: F.col(value) == r["_v"]).drop("_v")
+    return join_keys(df, stored(vr, "ranks"), by, "left", extra=lambda r: F.col(value) == r["_v"]).drop("_v")

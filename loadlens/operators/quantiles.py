@@ -2,10 +2,10 @@
 
 Spark's exact ``percentile`` merges a value->count map of the whole group in
 one task, which does not hold for continuous metrics at scale.  Here the
-distinct values are counted (map-side combined) and cut into value-defined
-range buckets (:class:`~loadlens.operators.ordering.RangeBuckets`); only the
-buckets that contain a requested rank are ranked (a window bounded by one
-bucket), and only the rows at those ranks are collected.  Same result as
+distinct values are counted (map-side combined) and dealt into stored ranges
+(:func:`~loadlens.operators.ordering.ranged`); the ranges' totals tell which of
+them hold a wanted rank, and only their rows are ranked.  What is collected
+is at most two rows per group and probability.  Same result as
 numpy ``percentile`` / DuckDB ``quantile_cont``.
 
 ``approx=True`` switches to ``percentile_approx`` (a bounded sketch).
@@ -13,14 +13,12 @@ numpy ``percentile`` / DuckDB ``quantile_cont``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.operators.ordering import RangeBuckets
+from loadlens.operators.ordering import RANGE, join_keys, range_totals, ranged
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -32,14 +30,14 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), approx: bool = False,
-                   num_buckets: int | None = None) -> dict:
+                   num_ranges: int | None = None) -> dict:
     """Fitted constants {(group..., column, p): value}; bounded by groups x columns x probs."""
     lv = long_values(df, columns, by)
-    return long_quantiles(lv, [*by, "column"], "value", probs, approx, num_buckets)
+    return long_quantiles(lv, [*by, "column"], "value", probs, approx, num_ranges)
 
 
 def long_quantiles(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                   approx: bool = False, num_buckets: int | None = None) -> dict:
+                   approx: bool = False, num_ranges: int | None = None) -> dict:
     """Quantiles of ``value`` per ``keys`` group of a long table: {(keys..., p): v}."""
     keys = list(keys)
     lv = (lv.select(*keys, F.col(value).cast("double").alias("value"))
@@ -51,68 +49,41 @@ def long_quantiles(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequen
             for p, v in zip(probs, r["q"]):
                 out[(*[r[k] for k in keys], float(p))] = v
         return out
-    # distinct values with counts, read three times below: kept (memory, then disk)
-    # for the duration of the fit; lost blocks are recomputed from lineage
-    vc = lv.groupBy(*keys, "value").agg(F.count("*").alias("cnt")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _select_ranks(vc, keys, probs, num_buckets)
-    finally:
-        vc.unpersist()
-
-
-def _select_ranks(vc: DataFrame, keys: list, probs: Sequence[float], num_buckets: int | None) -> dict:
-    rb = RangeBuckets(vc, ["value"], keys, num_buckets, weight="cnt")
-    # wanted 0-based ranks, and the bucket holding each
-    want: dict[int, set] = {}
-    plan = []   # (group key, p, lo_rank, hi_rank, frac)
-    for g, items in rb.groups:
-        total = rb.totals[items[0][0]]
-        for p in probs:
-            pos = float(p) * (total - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            plan.append((g, float(p), lo, hi, pos - lo))
-            for r in (lo, hi):
-                for bid, _, _ in items:
-                    start = rb.offsets[bid]
-                    if start <= r < start + rb.counts[bid]:
-                        want.setdefault(bid, set()).add(r)
-                        break
-    if not want:
-        return {}
-    w = (Window.partitionBy("_bk").orderBy("value")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sel = (vc.withColumn("_bk", rb.bucket())
-             .where(F.col("_bk").isin(list(want)))
-             .withColumn("cum", F.sum("cnt").over(w) + rb.offset(F.col("_bk"))))
-    # keep a distinct value only if one of its ranks [cum-cnt, cum-1] is wanted
-    ranks = F.array(*[F.lit(r) for rs in want.values() for r in sorted(rs)])
-    hit = sel.where(F.exists(ranks, lambda r: (F.col("cum") - F.col("cnt") <= r) & (r <= F.col("cum") - 1)))
-    rows = hit.select(*keys, "value", "cnt", "cum").collect()
-    by_group: dict[tuple, list] = {}
-    for r in rows:
-        by_group.setdefault(tuple(r[k] for k in keys), []).append((r["cum"] - r["cnt"], r["cum"] - 1, r["value"]))
-
-    def at(g, rank):
-        for a, b, v in by_group.get(g, []):
-            if a <= rank <= b:
-                return v
-        return None
+    return _select_ranks(lv.groupBy(*keys, "value").agg(F.count("*").alias("cnt")), keys, probs, num_ranges)
 
+
+def _wanted(n, probs: Sequence[float]):
+    """The 0-based ranks below and above each probability's position among ``n`` rows."""
+    return F.array(*[edge(F.lit(float(p)) * (n - 1)).cast("long") for p in probs for edge in (F.floor, F.ceil)])
+
+
+def _select_ranks(counted: DataFrame, keys: list, probs: Sequence[float], num_ranges: int | None) -> dict:
+    rows = ranged(counted, ["value"], keys, num_ranges)
+    first, last = F.col("_before"), F.col("_before") + F.col("_cnt") - 1
+    totals = range_totals(rows, keys).where(F.exists(_wanted(F.col("n"), probs), lambda r: (first <= r) & (r <= last)))
+    inside = Window.partitionBy(RANGE, *keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (join_keys(rows, totals, [RANGE, *keys])
+              .withColumn("cum", F.sum("cnt").over(inside) + F.col("_before")))
+    hit = ranked.where(F.exists(_wanted(F.col("n"), probs), lambda r: (F.col("cum") - F.col("cnt") <= r) & (r < F.col("cum"))))
+    found: dict[tuple, list] = {}
+    for r in hit.select(*keys, "value", "cnt", "cum", "n").collect():
+        found.setdefault(tuple(r[k] for k in keys), []).append(r)
     out = {}
-    for g, p, lo, hi, frac in plan:
-        vlo, vhi = at(g, lo), at(g, hi)
-        if vlo is None or vhi is None:
-            continue
-        out[(*g, p)] = vlo + (vhi - vlo) * frac
+    for g, hits in found.items():
+        for p in map(float, probs):
+            pos = p * (hits[0]["n"] - 1)
+            low, high = (next(r["value"] for r in hits if r["cum"] - r["cnt"] <= rank < r["cum"])
+                         for rank in (int(pos // 1), int(-(-pos // 1))))
+            out[(*g, p)] = low + (high - low) * (pos - pos // 1)
     return out
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), approx: bool = False,
-              num_buckets: int | None = None) -> DataFrame:
+              num_ranges: int | None = None) -> DataFrame:
     """Quantiles of each column as a small DataFrame (by..., column, p, value)."""
     by = list(by)
-    tab = quantile_table(df, columns, probs, by, approx, num_buckets)
+    tab = quantile_table(df, columns, probs, by, approx, num_ranges)
     spark = df.sparkSession
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by]
                        + ["column string", "p double", "value double"])

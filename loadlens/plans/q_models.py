@@ -143,7 +143,8 @@ def load_model_search(spark, sf):
     d = FE.category_codes(r, "network_condition", "network_condition_encoded", st.codes["network_condition"])
     model, _ = MD.train_regression(d, d.limit(0), LOAD_FEATURES, "avg_response_time",
                                    MD.RandomForestRegressor(numTrees=50, seed=MD.SEED))
-    cand = LP.candidate_grid(spark).withColumn("network_condition_encoded", F.lit(st.codes["network_condition"].get("wifi", 0)))
+    cand = FE.category_codes(LP.candidate_grid(spark).withColumn("network_condition", F.lit("wifi")), "network_condition",
+                             "network_condition_encoded", st.codes["network_condition"]).drop("network_condition")
     scored = model.transform(cand).withColumnRenamed("prediction", "predicted_latency")
     scored = scored.drop("features").withColumn("objective", LP.load_objective())
     return LP.breaking_point(LP.best_candidate(scored))

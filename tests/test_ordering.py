@@ -19,7 +19,7 @@ def _frame(spark, n=3000, seed=7):
 
 def test_row_index_matches_cumcount(spark):
     pdf, sdf = _frame(spark)
-    out = ordering.row_index(sdf, ["t", "k"], ["g"], num_buckets=7).toPandas()
+    out = ordering.row_index(sdf, ["t", "k"], ["g"], num_ranges=7).toPandas()
     exp = pdf.sort_values(["t", "k"]).assign(e=lambda d: d.groupby("g").cumcount())
     m = out.merge(exp[["k", "e"]], on="k")
     assert len(m) == len(pdf) and (m.row_idx == m.e).all()
@@ -29,7 +29,7 @@ def test_running_min_and_sum(spark):
     pdf, sdf = _frame(spark)
     sdf2 = sdf.fillna(0.0, ["v"])
     pdf2 = pdf.fillna({"v": 0.0}).sort_values(["t", "k"])
-    out = ordering.running(sdf2, ["t", "k"], ["g"], {"mn": ("min", "v"), "sm": ("sum", "v")}, num_buckets=5).toPandas()
+    out = ordering.running(sdf2, ["t", "k"], ["g"], {"mn": ("min", "v"), "sm": ("sum", "v")}, num_ranges=5).toPandas()
     pdf2["mn"] = pdf2.groupby("g").v.cummin()
     pdf2["sm"] = pdf2.groupby("g").v.cumsum()
     m = out.merge(pdf2[["k", "mn", "sm"]], on="k", suffixes=("", "_e"))
@@ -38,7 +38,7 @@ def test_running_min_and_sum(spark):
 
 def test_average_rank_pct_with_ties_and_nulls(spark):
     pdf, sdf = _frame(spark)
-    out = ordering.average_rank_pct(sdf, "v", "p", ["g"], num_buckets=6).toPandas().set_index("k").sort_index()
+    out = ordering.average_rank_pct(sdf, "v", "p", ["g"], num_ranges=6).toPandas().set_index("k").sort_index()
     exp = pdf.groupby("g").v.rank(pct=True)
     got = out.loc[pdf.k, "p"].to_numpy(dtype=float)
     assert np.allclose(got, exp.to_numpy(), equal_nan=True)
@@ -46,7 +46,7 @@ def test_average_rank_pct_with_ties_and_nulls(spark):
 
 def test_exact_quantiles_grouped(spark):
     pdf, sdf = _frame(spark)
-    tab = quantiles.quantile_table(sdf, ["v", "t"], [0, 0.1, 0.25, 0.5, 0.9, 1], by=["g"], num_buckets=9)
+    tab = quantiles.quantile_table(sdf, ["v", "t"], [0, 0.1, 0.25, 0.5, 0.9, 1], by=["g"], num_ranges=9)
     for (g, c, p), val in tab.items():
         x = pdf.loc[pdf.g == g, c].dropna()
         assert abs(np.percentile(x, p * 100) - val) < 1e-9
@@ -59,24 +59,35 @@ def test_quantiles_constant_and_single(spark):
     assert quantiles.quantile_row(one, "v", [0.5]) == {0.5: 2.5}
 
 
-def test_size_checked_broadcast(spark):
-    small = spark.range(10)
-    assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().toString().lower() or True
-    big = spark.range(100)
-    out = ordering.size_checked_broadcast(big, limit=50)
-    assert out is big
-
-
-def test_hot_group_is_split_across_buckets(spark):
-    # one group holds a third of all rows: its rows must land in several buckets
+def test_hot_group_and_hot_tie_are_split_across_ranges(spark):
+    # one group holds a third of all rows, and all of its rows tie
     n = 6000
-    rows = [("hot" if i % 3 == 0 else f"g{i % 50}", float(i % 997), i) for i in range(n)]
-    df = spark.createDataFrame(rows, "g string, v double, k long")
-    rb = ordering.RangeBuckets(df, ["v", "k"], ["g"], num_buckets=8)
-    hot = dict(rb.groups)[("hot",)]
-    sizes = [rb.counts[b] for b, _, _ in hot]
-    assert len(hot) >= 3 and max(sizes) < n // 3
-    # and the bucket expression assigns each hot row to one of them, with exact counts
-    got = {r["_bk"]: r["count"] for r in df.where("g = 'hot'").withColumn("_bk", rb.bucket())
-           .groupBy("_bk").count().collect()}
-    assert got == {b: rb.counts[b] for b, _, _ in hot}
+    rows = [("hot" if i % 3 == 0 else f"g{i % 50}", 1.0 if i % 3 == 0 else float(i % 997)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = ordering.ranged(df, ["v"], ["g"], num_ranges=8).where("g = 'hot'").groupBy(ordering.RANGE).count().collect()
+    assert len(got) >= 3 and sum(r["count"] for r in got) == n // 3
+    idx = ordering.row_index(df, ["v"], ["g"], num_ranges=8)
+    assert sorted(r.row_idx for r in idx.where("g = 'hot'").collect()) == list(range(n // 3))
+
+
+def test_null_groups_and_null_order_keys(spark):
+    rows = [(None if i % 4 == 0 else f"g{i % 3}", None if i % 7 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t long, k long")
+    for order in (["t", "k"], ["t"]):
+        out = ordering.row_index(df, order, ["g"], num_ranges=9).toPandas()
+        for _, part in out.groupby("g", dropna=False):
+            assert sorted(part.row_idx) == list(range(len(part)))
+            known = part[part.t.notna()].sort_values("t")
+            assert known.row_idx.is_monotonic_increasing and (known.row_idx >= part.t.isna().sum()).all()
+
+
+def test_many_groups(spark):
+    df = spark.range(40000).selectExpr("id % 10000 as g", "id as t")
+    out = ordering.row_index(df, ["t"], ["g"], num_ranges=16)
+    assert out.where("row_idx <> floor(t / 10000)").count() == 0 and out.count() == 40000
+
+
+def test_empty_frames(spark):
+    df = spark.createDataFrame([], "g string, t long, v double")
+    assert ordering.row_index(df, ["t"], ["g"]).count() == 0
+    assert quantiles.quantile_table(df, ["v"], [0.5]) == {}
