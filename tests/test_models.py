@@ -17,13 +17,13 @@ def planted(spark):
     return spark.createDataFrame(rows, "test_id string, column string, value double")
 
 
-def test_lof_buckets_equal_single_block(spark, planted):
-    dist = {r.test_id: r.lof for r in DT.local_outlier_factor(planted, num_buckets=6).collect()}
+def test_lof_blocks_equal_single_block(spark, planted):
+    dist = {r.test_id: r.lof for r in DT.local_outlier_factor(planted, block_rows=250).collect()}
     pdf = planted.toPandas().sort_values(["value", "test_id"], kind="stable").reset_index(drop=True)
     exp = DT._lof_block(pdf["value"].to_numpy(), 20)
     got = np.array([dist[t] for t in pdf["test_id"]])
     assert np.allclose(got, exp)
-    out = {r.test_id for r in DT.local_outlier_factor(planted, num_buckets=6).where("lof_outlier").collect()}
+    out = {r.test_id for r in DT.local_outlier_factor(planted, block_rows=250).where("lof_outlier").collect()}
     assert {"r01500", "r01501", "r01502"} <= out
 
 
@@ -105,7 +105,7 @@ def test_explanations_and_extensions(spark):
     from loadlens import extensions as X
     imp = spark.createDataFrame([("concurrent_users", 0.5, 1), ("network_condition_encoded", 0.3, 2),
                                  ("duration", 0.2, 3)], "feature string, importance double, rank int")
-    lines = MD.explanation_summary(imp)
+    lines = [r.line for r in MD.explanation_summary(imp).orderBy("line_no").collect()]
     assert lines[0] == "'concurrent_users' is the most important feature (50.00%)"
     assert len(lines) == 5
     X.register_feature("double_a", lambda d: d.withColumn("a2", F.col("a") * 2))
