@@ -6,8 +6,8 @@ a sensitive word in the 48 characters before it is compressed with zstandard
 behind the text around it, under a dictionary of usual identifiers.  The bytes
 by which it lengthens the compressed surroundings are its novelty; natural
 words and repeats of the surroundings cost little, random keys cost about
-their entropy.  Strings of at least ``NOVEL`` marginal bytes per character that
-overlap no base span are reported.
+their entropy.  Strings of mixed characters with at least ``NOVEL`` marginal
+bytes per character that overlap no base span are reported.
 
 Spans are in code points, end exclusive.  A null text is an empty one and has
 no spans; doc_id may be null; repeated rows give repeated rows.
@@ -38,7 +38,9 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?\b|pwd|secret|token|api[_-]?key|credential|bearer|private[_ -]?key|auth|signature", re.I | re.A)
 BEFORE, AROUND = 48, 256
 #: Marginal compressed bytes per character from which a string counts as incompressible.
-NOVEL = 0.6
+NOVEL = 0.9
+#: Keys mix letters with digits, or the cases of letters; a lone word does not.
+MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|[a-z][A-Z]")
 
 # Usual identifiers that prime the compressor.
 IDENTIFIERS = """
@@ -86,7 +88,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
             reach = end
             if any(a < end and start < b for a, _, b in base):
                 continue
-            if novelty.of(text, start, end) >= NOVEL:
+            if MIXED.search(text[start:end]) and novelty.of(text, start, end) >= NOVEL:
                 out.append((start, 3, end))
     return out
 

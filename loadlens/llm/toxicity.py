@@ -33,7 +33,7 @@ from loadlens.llm.tables import crc_mod, store
 #: Bits of a feature index; the weights are 2 ** BITS floats (1 MB).
 BITS = 18
 #: Word beginnings that count as features, in bytes; 0 is the whole word.
-PIECES = (0, 5, 6, 7)
+PIECES = (0, 4, 5, 6, 7)
 #: Bound of the training sample (rows with the least hash of their id).
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 _U = np.uint64
@@ -107,8 +107,8 @@ def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return total[off[1:]] - total[off[:-1]]
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.02,
-        decay: float = 1e-3) -> Model:
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 1000, rate: float = 0.05,
+        decay: float = 1.0) -> Model:
     """Full-batch non-negative PU learning with the sigmoid loss and Adam steps, from a log-ratio start.
 
     Only features that are clearly more frequent among the positive texts than
@@ -143,7 +143,7 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int =
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
         step = rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
-        v = v - step[:-1]
+        v = np.maximum(v - step[:-1], 0)                        # a chosen feature never speaks against the class
         bias -= step[-1]
     w[keep] = v
     return Model(w.astype(np.float32), float(bias))
