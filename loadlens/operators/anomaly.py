@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.operators.profile import thresholds
+from loadlens.operators import detectors
 from loadlens.operators.quantiles import long_quantiles, long_values, quantile_table
 
 # Alert recommendations.
@@ -24,6 +25,10 @@ ALERT_RECOMMENDATIONS = [
 ]
 
 
+# A column needs this many values for its detectors to vote.
+MIN_VALUES = 10
+
+
 def _by_column(mapping: dict, key: str) -> Column:
     """Literal lookup column -> value (bounded by the number of columns)."""
     pairs = [x for c, v in mapping.items() if v is not None for x in (F.lit(c), F.lit(float(v)))]
@@ -32,9 +37,9 @@ def _by_column(mapping: dict, key: str) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("column"))
 
 
-def metric_values(df: DataFrame, columns: Sequence[str], key: str = "test_id") -> DataFrame:
-    """(key, column, value) rows for non-null values."""
-    return long_values(df, columns, [key]).where(F.col("value").isNotNull())
+def metric_values(df: DataFrame, columns: Sequence[str], key: str = "test_id", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carried columns, column, value) rows for non-null values."""
+    return long_values(df, columns, [key, *carry]).where(F.col("value").isNotNull())
 
 
 def statistical_flags(long: DataFrame, th: dict) -> DataFrame:
@@ -91,14 +96,32 @@ def vote(long: DataFrame, votes: Sequence[str]) -> DataFrame:
                              "is_anomaly": (mean_vote < 0.5) | F.col("statistical")})
 
 
-def detect(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamination: float = 0.1) -> DataFrame:
-    """Fit and apply the deterministic detectors; one row per (key, column, value).
+def ensemble(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamination: float = 0.1,
+             carry: Sequence[str] = ()) -> DataFrame:
+    """AN2 + AN3: isolation forest, local outlier factor and robust envelope vote; OR the statistical rule.
+
+    One frame, a row per value, without joins on the key (keys may repeat).
+    Columns with fewer than 10 values are skipped.
+    """
+    long = metric_values(df, columns, key, carry)
+    counts = {r["column"]: r["count"] for r in long.groupBy("column").count().collect()}
+    columns = [c for c in columns if counts.get(c, 0) >= MIN_VALUES]
+    long = long.where(F.col("column").isin(columns)) if columns else long.limit(0)
+    scored = detectors.isolation_forest(detectors.local_outlier_factor(long, key, contamination=contamination), key, contamination)
+    scored = robust_distance(statistical_flags(scored, thresholds(df, columns)), fit_robust(df, columns, contamination))
+    flags = {"v_forest": "iforest_outlier", "v_lof": "lof_outlier", "v_envelope": "robust_outlier"}
+    return vote(scored.withColumns({v: (~F.col(f)).cast("int") for v, f in flags.items()}), list(flags))
+
+
+def detect(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamination: float = 0.1,
+           carry: Sequence[str] = ()) -> DataFrame:
+    """The same vote from detectors that SQL can express; one row per (key, column, value).
 
     Votes: robust envelope (AN2c), IQR fence and 3-sigma z-score.
     """
     th = thresholds(df, columns)
     fit = fit_robust(df, columns, contamination)
-    long = metric_values(df, columns, key)
+    long = metric_values(df, columns, key, carry)
     long = robust_distance(statistical_flags(long, th), fit)
     mean = _by_column({c: t["mean"] for c, t in th.items()}, "column")
     std = _by_column({c: t["std"] for c, t in th.items()}, "column")

@@ -25,9 +25,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loadlens.operators.ordering import row_index, stored
-from loadlens.operators.quantiles import long_quantiles, long_values
+from loadlens.operators.quantiles import long_quantiles, long_values  # noqa: F401  long_values is part of the interface
 
 SAMPLE_SIZE = 256
 # Rows of a column whose LOF one task computes at a time.
@@ -176,7 +177,7 @@ def _lof_block(values: np.ndarray, k: int) -> np.ndarray:
 
 def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, contamination: float = 0.1,
                          block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """AN2b: exact 1-D LOF per (key, column, value).
+    """AN2b: exact 1-D LOF of each row of ``long``, whose other columns are kept.
 
     The values of a column are numbered in order and cut into blocks of equal
     length; a row also goes to the neighbouring block if it lies within 3k rows
@@ -188,16 +189,16 @@ def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, con
     home = F.floor(F.col("_i") / rows).cast("long")
     homes = F.filter(F.array(home, F.when(at < halo, home - 1), F.when(at >= rows - halo, home + 1)),
                      lambda h: h.isNotNull() & (h >= 0))
-    numbered = row_index(long.select(key, "column", "value"), ["value", key], ["column"], name="_i")
-    dealt = numbered.select(key, "column", "value", "_i", home.alias("_own"), F.explode(homes).alias("_home"))
-    ktype = dict(long.dtypes)[key]
+    numbered = row_index(long, ["value", key], ["column"], name="_i")
+    dealt = numbered.select(*long.columns, "_i", home.alias("_own"), F.explode(homes).alias("_home"))
+    kept = list(long.columns)
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i", kind="stable").reset_index(drop=True)
         pdf["lof"] = _lof_block(pdf["value"].to_numpy(dtype=float), k)
-        return pdf[pdf["_own"] == pdf["_home"]][[key, "column", "value", "lof"]]
+        return pdf[pdf["_own"] == pdf["_home"]][[*kept, "lof"]]
     scored = stored(dealt.groupBy("column", "_home").applyInPandas(
-        score, f"`{key}` {ktype}, column string, value double, lof double"), "lof")
+        score, StructType([*long.schema.fields, StructField("lof", DoubleType())])), "lof")
     return _flagged(scored, "lof", "lof_outlier", contamination)
 
 
@@ -207,13 +208,3 @@ def _flagged(scored: DataFrame, score: str, flag: str, contamination: float) ->
     pairs = [x for (c, _), v in cut.items() for x in (F.lit(c), F.lit(v))]
     threshold = F.element_at(F.create_map(*pairs), F.col("column")) if pairs else F.lit(None).cast("double")
     return scored.withColumn(flag, F.col(score) > threshold)
-
-
-def detector_votes(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamination: float = 0.1) -> DataFrame:
-    """AN2: the two model votes (normal=1) per (key, column, value)."""
-    long = long_values(df, columns, [key]).where(F.col("value").isNotNull())
-    iso = isolation_forest(long, key, contamination)
-    lof = local_outlier_factor(long, key, contamination=contamination)
-    j = iso.join(lof.select(key, "column", "lof", "lof_outlier"), [key, "column"])
-    return j.withColumns({"v_iforest": (~F.col("iforest_outlier")).cast("int"),
-                          "v_lof": (~F.col("lof_outlier")).cast("int")})

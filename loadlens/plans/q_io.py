@@ -124,6 +124,25 @@ def run_store_retention(spark, sf):
     return IO.read_runs(spark, table_dir).groupBy(F.year("timestamp").alias("year")).agg(F.count("*").alias("runs"))
 
 
+@register("run_store_mixed_batches", views=["order_runs"], sql="""
+SELECT test_type, count(*) AS runs, CASE WHEN test_type = 'frontend' THEN 0 ELSE count(concurrent_users) END AS with_users,
+  CASE WHEN test_type = 'frontend' THEN 0 ELSE count(*) END AS with_note, CAST(0 AS BIGINT) AS replayed
+FROM order_runs GROUP BY test_type""")
+def run_store_mixed_batches(spark, sf):
+    """IO2/IO3: batches with other columns meet in the fixed schema; a replayed batch replaces itself."""
+    table_dir = scratch_path(spark, "mixed_batches")
+    r = order_runs(spark, sf)
+    front, rest = r.where("test_type = 'frontend'").drop("concurrent_users"), r.where("test_type <> 'frontend'")
+    for _ in range(2):
+        IO.store_runs(front, table_dir, batch="front")
+        IO.store_runs(rest.withColumn("note", F.lit("kept in the metadata")), table_dir, batch="rest")
+    runs = IO.read_runs(spark, table_dir)
+    return runs.groupBy("test_type").agg(
+        F.count("*").alias("runs"), F.count("concurrent_users").alias("with_users"),
+        F.count(F.get_json_object("metadata", "$.note")).alias("with_note"),
+        (F.count("*") - F.count_distinct("test_id")).alias("replayed"))
+
+
 @register("report_json")
 def report_json(spark, sf):
     """RP1 + RP2 + IO10: comprehensive report (summary, trends, clusters, recommendations) as JSON."""

@@ -12,7 +12,7 @@ from loadlens.plans.q_profile import KEY3, NUMERIC
 from loadlens.sources.tables import (baseline_runs, class_predictions, current_runs, order_runs,
                                      reg_predictions, table)
 
-AS_OF = "1998-08-02 00:00:00"
+AS_OF = "2001-08-01 12:00:00"
 REG = ["mae", "rmse", "r2", "mape"]
 REG_SQL = """avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) ^ 2)) AS rmse,
   1 - sum((predicted - actual) ^ 2) / nullif(var_pop(actual) * count(actual), 0) AS r2,
@@ -143,6 +143,14 @@ def anomaly_vote(spark, sf):
     return AN.anomaly_log(scored)
 
 
+@register("anomaly_ensemble")
+def anomaly_ensemble(spark, sf):
+    """AN2 + AN3: forest, LOF and envelope vote on every run's key metrics."""
+    scored = AN.ensemble(order_runs(spark, sf), KEY3)
+    return scored.select("test_id", "column", "value", "v_forest", "v_lof", "v_envelope", "model_consensus",
+                         "threshold_exceeded", "is_anomaly")
+
+
 @register("anomaly_summary", views=["order_runs"], rnd=["average_model_consensus"], sql=f"""
 WITH {TH_SQL},
 per AS (SELECT "column", count(*) AS anomalies,
@@ -153,8 +161,7 @@ SELECT "column", anomalies, CAST(sum(anomalies) OVER () AS BIGINT) AS total_anom
 def anomaly_summary(spark, sf):
     """Anomaly log summary (per column, totals, last 24 h before as-of)."""
     r = order_runs(spark, sf)
-    scored = AN.detect(r.select("test_id", "timestamp", *KEY3), KEY3)
-    scored = scored.join(r.select("test_id", "timestamp"), "test_id")
+    scored = AN.detect(r.select("test_id", "timestamp", *KEY3), KEY3, carry=["timestamp"])
     log = AN.anomaly_log(scored, time_col="timestamp")
     return AN.anomaly_summary(log, as_of=AS_OF)
 
@@ -258,14 +265,16 @@ def _grouped_drift(spark, sf):
 
 @register("drift_summary", views=["baseline_runs", "current_runs"], rnd=["average_drift_rate"], sql=f"""
 WITH d AS ({_drift_sql('test_type')}),
-log AS (SELECT test_type, any_value(drift_rate) AS drift_rate, any_value(significant_drift) AS significant_drift
-        FROM d GROUP BY test_type)
+log AS (SELECT test_type, any_value(drift_rate) AS drift_rate, any_value(significant_drift) AS significant_drift,
+          (SELECT max(ts) FROM current_runs c WHERE c.test_type = d.test_type) AS checked_at FROM d GROUP BY test_type)
 SELECT count(*) AS total_drift_checks, count(*) FILTER (WHERE significant_drift) AS significant_drift_events,
-  count(*) FILTER (WHERE TIMESTAMP '{AS_OF}' > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY) AS recent_drift_checks,
-  avg(drift_rate) AS average_drift_rate, 'initial' AS baselines_used FROM log""")
+  count(*) FILTER (WHERE checked_at > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY) AS recent_drift_checks,
+  avg(drift_rate) AS average_drift_rate, string_agg('baseline_' || test_type, ',' ORDER BY test_type) AS baselines_used FROM log""")
 def drift_summary(spark, sf):
-    """Drift log (one check per test type) summarised."""
-    log = DR.drift_checks(_grouped_drift(spark, sf), ["test_type"], "initial", AS_OF)
+    """Drift log (one check per test type, when its last run came in) summarised."""
+    last = current_runs(spark, sf).groupBy("test_type").agg(F.max("timestamp").alias("last_run"))
+    log = DR.drift_checks(_grouped_drift(spark, sf), ["test_type"], F.concat(F.lit("baseline_"), F.col("test_type")), AS_OF)
+    log = log.join(last, "test_type", "left").withColumn("checked_at", F.col("last_run"))
     return DR.drift_summary(log, AS_OF)
 
 
@@ -310,17 +319,19 @@ th AS (SELECT avg(avg_response_time) + 3 * stddev_pop(avg_response_time) AS z3,
          quantile_cont(avg_response_time, 0.25) - 1.5 * (quantile_cont(avg_response_time, 0.75)
            - quantile_cont(avg_response_time, 0.25)) AS low FROM current_runs),
 an AS (SELECT count(*) AS n FROM current_runs, th
-       WHERE (avg_response_time > z3 OR avg_response_time < low) AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR)
-SELECT (SELECT f FROM flag) AS model_drift_detected, (SELECT count(*) FROM current_runs) >= 100 AS sufficient_new_data,
-  true AS significant_time_passed, (SELECT n FROM an) > 10 AS high_anomaly_rate, true AS should_retrain""")
+       WHERE (avg_response_time > z3 OR avg_response_time < low) AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR),
+t AS (SELECT (SELECT f FROM flag) AS model_drift_detected, (SELECT count(*) FROM current_runs) >= 100 AS sufficient_new_data,
+  TIMESTAMP '{AS_OF}' - (SELECT max(ts) FROM baseline_runs) > INTERVAL 7 DAY AS significant_time_passed,
+  (SELECT n FROM an) > 10 AS high_anomaly_rate)
+SELECT *, model_drift_detected OR sufficient_new_data OR significant_time_passed OR high_anomaly_rate AS should_retrain FROM t""")
 def retrain_trigger(spark, sf):
     """DR5: retraining trigger from drift, data volume, time and recent anomalies."""
     cur, base = current_runs(spark, sf), baseline_runs(spark, sf)
     flag = DR.mean_shift(cur, base, columns=NUMERIC).select("model_needs_retraining").first()[0]
     th = AN.thresholds(cur, ["avg_response_time"])
-    s = AN.statistical_flags(AN.metric_values(cur.select("test_id", "avg_response_time"), ["avg_response_time"]), th)
-    log = s.where("statistical").join(cur.select("test_id", "timestamp"), "test_id")
-    return DR.retrain_trigger(cur, bool(flag), log, AS_OF)
+    s = AN.statistical_flags(AN.metric_values(cur, ["avg_response_time"], carry=["timestamp"]), th)
+    last = base.agg(F.max("timestamp").cast("string")).first()[0]
+    return DR.retrain_trigger(cur, bool(flag), s.where("statistical"), AS_OF, last_update=last)
 
 
 @register("class_balance", views=["order_runs"], sql="""
@@ -330,5 +341,5 @@ def class_balance(spark, sf):
     """Class balance of the classification target (rows with a target)."""
     from loadlens.operators import targets as TG
     from loadlens.operators.filters import require_target
-    t = require_target(TG.create_targets(order_runs(spark, sf)), "avg_response_time")
+    t = require_target(TG.create_targets(order_runs(spark, sf), wanted=["performance_target"]), "avg_response_time")
     return t.groupBy("performance_target").agg(F.count("*").alias("runs"))

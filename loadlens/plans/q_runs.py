@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from loadlens.operators import runs as RS
 from loadlens.plans.catalog import register
+from loadlens.session import scratch_path
+from loadlens.sources import runstore as IO
 from loadlens.sources.tables import order_runs, request_stats, table
 
-AS_OF = "1998-08-02 00:00:00"
+# after the last run of the data (orders are dated at midnight)
+AS_OF = "2001-08-01 12:00:00"
 
 
 def _ts(c="timestamp"):
@@ -37,8 +40,10 @@ def run_topn(spark, sf):
 SELECT test_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS run_ts FROM order_runs
 WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1440 HOUR""")
 def run_recent(spark, sf):
-    """runs of the last 60 days before a fixed as-of time."""
-    r = RS.recent_runs(order_runs(spark, sf), hours=24 * 60, as_of=AS_OF)
+    """runs of the last 60 days before a fixed as-of time, from the months of the run store that hold them."""
+    table_dir = scratch_path(spark, "recent_runs")
+    IO.store_runs(order_runs(spark, sf), table_dir)
+    r = IO.recent_runs(spark, table_dir, hours=24 * 60, as_of=AS_OF)
     return r.select("test_id", _ts().alias("run_ts"))
 
 

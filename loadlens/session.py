@@ -23,7 +23,7 @@ def build_session(master: str | None = None, app: str = "loadlens",
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.driver.memory", os.environ.get("LOADLENS_DRIVER_MEM", "16g")))
+          .config("spark.driver.memory", os.environ.get("LOADLENS_DRIVER_MEM", "12g")))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
@@ -58,7 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh folder is made.
+    as is, and it is an error if none is set.  A fresh folder is made only for
+    a local master, where driver and executors are one process.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="loadlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,78 +1,96 @@
 """Run-store sinks and readers (IO1-IO12) on parquet/CSV/JSON/text files.
 
-The run table is parquet partitioned by ``month`` (``yyyy-MM``) so recency
-and retention prune partitions while runs of a day (few) do not make tiny
-files; rows are range-partitioned on (month, test_id) before the write,
-so a hot month is split over several tasks.  Batches are appended (never
-rewritten); retention drops whole old months and rewrites only the cutoff
-month (dynamic partition overwrite).
+The run table is parquet with a fixed schema, partitioned by ``month``
+(``yyyy-MM``) and ``batch``, so recency and retention prune partitions while
+runs of a day (few) do not make tiny files; rows are range-partitioned on
+(month, test_id) before the write, so a hot month is split over several tasks.
+A batch is written as a whole: writing it again (a replayed micro-batch)
+replaces it.  Retention drops whole months and rewrites only the batches of
+the cutoff month that lose some of their rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.operators import runs as RS
 from loadlens.schema import BROWSERS, CONFIG_SCHEMA, LOAD_STATS_SCHEMA, NETWORK_CONDITIONS, RUN_SCHEMA, TEST_TYPES
+from loadlens.session import scratch_path
 
+PARTITION, BATCH = "month", "batch"
+STORE_SCHEMA = T.StructType([*RUN_SCHEMA.fields, T.StructField("metadata", T.StringType()), T.StructField("date", T.DateType()),
+                             T.StructField(PARTITION, T.StringType()), T.StructField(BATCH, T.StringType())])
 
-PARTITION = "month"
 
+def conform(df: DataFrame, batch: str) -> DataFrame:
+    """The columns of the store: missing ones are null, others live on in the metadata alone."""
+    derived = {"date": F.to_date("timestamp"), PARTITION: F.date_format("timestamp", "yyyy-MM"), BATCH: F.lit(batch)}
+    names = set(df.columns)
+    return df.select(*[(derived[f.name] if f.name in derived else F.col(f.name) if f.name in names else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in STORE_SCHEMA])
 
-def with_partition(df: DataFrame) -> DataFrame:
-    return df.withColumns({"date": F.to_date("timestamp"), PARTITION: F.date_format("timestamp", "yyyy-MM")})
 
-
-def write_partitioned(df: DataFrame, table_dir: str, mode: str = "append") -> None:
+def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None) -> None:
+    """Write one batch; a batch of the same name is replaced."""
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    (with_partition(df).repartitionByRange(n, PARTITION, "test_id")
-       .write.mode(mode).partitionBy(PARTITION).parquet(table_dir))
+    (conform(df, batch or uuid.uuid4().hex).repartitionByRange(n, PARTITION, "test_id")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(table_dir))
 
 
-def store_runs(df: DataFrame, table_dir: str, reject_dir: str | None = None) -> dict:
-    """IO2/IO3: validate a batch, append valid rows by month, rejects aside."""
+def store_runs(df: DataFrame, table_dir: str, reject_dir: str | None = None, batch: str | None = None) -> dict:
+    """IO2/IO3: validate a batch, write valid rows by month, rejects aside."""
     valid, rejects = RS.split_batch(df)
-    write_partitioned(valid, table_dir)
+    write_partitioned(valid, table_dir, batch)
     if reject_dir:
         rejects.write.mode("append").parquet(reject_dir)
     return {"reject_dir": reject_dir}
 
 
 def read_runs(spark: SparkSession, table_dir: str) -> DataFrame:
-    """IO1: the stored run table (filters on ``date``/``timestamp`` prune partitions)."""
-    return spark.read.parquet(table_dir)
+    """IO1: the stored run table (filters on ``month`` prune partitions)."""
+    return spark.read.schema(STORE_SCHEMA).parquet(table_dir)
+
+
+def recent_runs(spark: SparkSession, table_dir: str, hours: float, as_of) -> DataFrame:
+    """F4 on the store: only the months since the cutoff are read."""
+    cutoff = _dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(hours=float(hours))
+    runs = read_runs(spark, table_dir).where(F.col(PARTITION) >= cutoff.strftime("%Y-%m"))
+    return RS.recent_runs(runs, hours, as_of)
 
 
 def apply_retention(spark: SparkSession, table_dir: str, days: int, as_of) -> int:
     """delete rows older than ``as_of - days``; returns the deleted count.
 
-    Months before the cutoff month hold only deleted rows and are removed
-    whole; the cutoff month is rewritten with its kept rows (dynamic
-    partition overwrite touches nothing else).
+    Months after the cutoff month are not read.  Batches of which nothing is
+    kept are removed as folders; those of the cutoff month that keep some rows
+    are rewritten by way of a copy in the shared folder, removed afterwards.
     """
-    runs = read_runs(spark, table_dir)
+    cutoff = _dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(days=int(days))
+    runs = read_runs(spark, table_dir).where(F.col(PARTITION) <= cutoff.strftime("%Y-%m"))
     kept, deleted = RS.retention_split(runs, days, as_of)
-    n = deleted.count()
-    if not n:
-        return 0
-    cutoff_ts = _dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(days=int(days))
-    cut_month = cutoff_ts.strftime("%Y-%m")
-    old = [r[PARTITION] for r in deleted.select(PARTITION).distinct().collect() if r[PARTITION] < cut_month]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    if deleted.where(F.col(PARTITION) == cut_month).limit(1).count():
-        tmp = f"{table_dir.rstrip('/')}_retention_{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
-        kept.where(F.col(PARTITION) == cut_month).drop(PARTITION).write.parquet(tmp)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (spark.read.parquet(tmp).withColumn(PARTITION, F.lit(cut_month))
-              .write.mode("overwrite").partitionBy(PARTITION).parquet(table_dir))
-    for m in old:
-        p = jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/{PARTITION}={m}")
-        p.getFileSystem(conf).delete(p, True)
-    return n
+    gone = (deleted.groupBy(PARTITION, BATCH).agg(F.count("*").alias("n"))
+            .join(kept.groupBy(PARTITION, BATCH).agg(F.count("*").alias("left")), [PARTITION, BATCH], "left").collect())
+    part = [r[BATCH] for r in gone if r["left"]]
+    if part:
+        copy = scratch_path(spark, "retention")
+        kept.where((F.col(PARTITION) == cutoff.strftime("%Y-%m")) & F.col(BATCH).isin(part)).write.parquet(copy)
+        (spark.read.schema(STORE_SCHEMA).parquet(copy).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(PARTITION, BATCH).parquet(table_dir))
+        _delete(spark, copy)
+    for r in gone:
+        if not r["left"]:
+            _delete(spark, f"{table_dir.rstrip('/')}/{PARTITION}={r[PARTITION]}/{BATCH}={r[BATCH]}")
+    return sum(r["n"] for r in gone)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
@@ -127,6 +145,3 @@ def snapshot(df: DataFrame, base_path: str, now: _dt.datetime | None = None) ->
     df.write.mode("errorifexists").parquet(path)
     return path
 
-
-def empty_runs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RUN_SCHEMA)

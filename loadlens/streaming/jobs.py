@@ -1,13 +1,13 @@
 """Structured Streaming versions of the run-store operators.
 
 * ST1 ingest: a file stream of raw runs is validated per micro-batch; valid
-  rows (with packed metadata) are appended to the date-partitioned run
-  table, rejects to a reject table (``foreachBatch``, idempotent per batch
-  id through the checkpoint).
+  rows (with packed metadata) are written to the month-partitioned run
+  table, rejects to a reject table (``foreachBatch``; a batch has partitions
+  of its own, so a replayed one replaces itself).
 * ST2 live rollup: request events -> hourly run rows with a watermark, so
   late events beyond it are dropped and closed windows are emitted once.
 * ST3 live anomalies: stream-static join with a small, frozen thresholds
-  table (broadcast) and the AN1 rule; flagged values are appended.
+  table and the AN1 rule; flagged values are appended.
 
 All jobs take a checkpoint location in the shared checkpoint folder and can
 run continuously or with ``availableNow`` (drain what exists, then stop).
@@ -32,15 +32,19 @@ def _trigger(writer, available_now: bool, interval: str = "1 minute"):
 
 
 def ingest_runs(spark: SparkSession, source: str, schema: T.StructType, table_dir: str, reject_dir: str,
-                checkpoint: str, fmt: str = "json", available_now: bool = True):
-    """ST1: continuous ingest of run files into the run table (IO3 per micro-batch)."""
+                checkpoint: str, fmt: str = "json", available_now: bool = True, name: str = "stream"):
+    """ST1: continuous ingest of run files into the run table (IO3 per micro-batch).
+
+    A batch is stored under ``name`` and its number, so a replayed one replaces itself.
+    """
     stream = spark.readStream.schema(schema).format(fmt).load(source)
 
     def write_batch(batch: DataFrame, batch_id: int):
         from loadlens.sources.runstore import write_partitioned
         valid, rejects = RS.split_batch(batch)
-        write_partitioned(valid, table_dir)
-        rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(reject_dir)
+        write_partitioned(valid, table_dir, f"{name}-{batch_id}")
+        (rejects.withColumn("batch", F.lit(f"{name}-{batch_id}")).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(reject_dir))
     q = _trigger(stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint),
                  available_now).start()
     return q
@@ -80,13 +84,11 @@ def run_to_table(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "appe
 
 
 def live_anomalies(events: DataFrame, thresholds: DataFrame, metric: str = "value") -> DataFrame:
-    """ST3: events flagged by the frozen AN1 thresholds (stream-static broadcast join).
+    """ST3: events flagged by the frozen AN1 thresholds (stream-static join; Spark picks its kind by size).
 
-    ``thresholds`` has one row per (event_type) with ``z_score_3`` and
-    ``iqr_lower`` - a small, fixed table.
+    ``thresholds`` has one row per (event_type) with ``z_score_3`` and ``iqr_lower``.
     """
-    th = F.broadcast(thresholds)
-    j = events.join(th, "event_type", "inner")
+    j = events.join(thresholds, "event_type", "inner")
     flag = (F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower"))
     return j.where(flag).select("event_id", "ts", "event_type", F.col(metric).alias("value"),
                                 (F.col(metric) > F.col("z_score_3")).alias("threshold_exceeded"))
@@ -94,7 +96,7 @@ def live_anomalies(events: DataFrame, thresholds: DataFrame, metric: str = "valu
 
 def alert_batches(flagged_counts: DataFrame, out_dir: str, checkpoint: str, alert_threshold: float = 0.1,
                   available_now: bool = True):
-    """ST3 + AN5: per micro-batch anomaly rate per column -> alert rows appended to ``out_dir``.
+    """ST3 + AN5: per micro-batch anomaly rate per column -> alert rows in ``out_dir``, by batch (a replayed one replaces itself).
 
     ``flagged_counts`` is a stream with ``column`` and boolean ``is_anomaly``.
     """
@@ -104,13 +106,13 @@ def alert_batches(flagged_counts: DataFrame, out_dir: str, checkpoint: str, aler
         rates = batch.groupBy("column").agg(F.count_if("is_anomaly").alias("anomaly_count"),
                                             (F.count_if("is_anomaly") / F.count("*")).alias("anomaly_rate"))
         (AN.anomaly_alerts(rates, alert_threshold).withColumn("batch_id", F.lit(batch_id))
-           .write.mode("append").parquet(out_dir))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
     return _trigger(flagged_counts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint),
                     available_now).start()
 
 
 def flag_events(events: DataFrame, thresholds: DataFrame, metric: str = "value") -> DataFrame:
-    """Every event with its AN1 flag (stream-static broadcast join), for alerting."""
-    j = events.join(F.broadcast(thresholds), "event_type", "inner")
+    """Every event with its AN1 flag (stream-static join), for alerting."""
+    j = events.join(thresholds, "event_type", "inner")
     return j.select(F.col("event_type").alias("column"),
                     ((F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower"))).alias("is_anomaly"))

@@ -98,3 +98,46 @@ def test_stream_alert_batches(spark, sf):
     ST.alert_batches(flagged, d + "/alerts", d + "/ck").awaitTermination()
     al = spark.read.parquet(d + "/alerts").collect()
     assert {r.column for r in al} == {"view"} and all(r.severity == "high" for r in al)
+
+
+def test_retention_removes_a_cutoff_month_that_is_wholly_old(spark):
+    d = _dir() + "/runs"
+    rows = [(f"jan{i}", "api", dt.datetime(2024, 1, 5 + i % 10)) for i in range(20)]
+    rows += [(f"mar{i}", "api", dt.datetime(2024, 3, 5)) for i in range(5)]
+    IO.store_runs(spark.createDataFrame(rows, "test_id string, test_type string, timestamp timestamp"), d)
+    assert IO.apply_retention(spark, d, 30, "2024-02-28 00:00:00") == 20
+    assert sorted(r.test_id for r in IO.read_runs(spark, d).collect()) == [f"mar{i}" for i in range(5)]
+    assert IO.apply_retention(spark, d, 30, "2024-02-28 00:00:00") == 0
+
+
+def test_retention_keeps_the_young_part_of_the_cutoff_month(spark):
+    d = _dir() + "/runs"
+    make = lambda n, day: spark.createDataFrame(
+        [(f"{n}{i}", "api", dt.datetime(2024, 1, day)) for i in range(4)], "test_id string, test_type string, timestamp timestamp")
+    IO.store_runs(make("a", 3).unionByName(make("b", 28)), d, batch="one")
+    IO.store_runs(make("c", 4), d, batch="two")
+    IO.store_runs(make("d", 29), d, batch="three")
+    assert IO.apply_retention(spark, d, 10, "2024-01-30 00:00:00") == 8
+    assert sorted(r.test_id[0] for r in IO.read_runs(spark, d).collect()) == ["b"] * 4 + ["d"] * 4
+
+
+def test_batches_with_other_columns_and_replays(spark):
+    d = _dir() + "/runs"
+    first = spark.createDataFrame([("a", "api", dt.datetime(2024, 1, 1))], "test_id string, test_type string, timestamp timestamp")
+    IO.store_runs(first, d, batch="1")
+    second = first.withColumns({"test_id": F.lit("b"), "concurrent_users": F.lit(7), "other": F.lit("x")})
+    for _ in range(2):
+        IO.store_runs(second, d, batch="2")
+    got = {r.test_id: r for r in IO.read_runs(spark, d).collect()}
+    assert len(got) == 2 and IO.read_runs(spark, d).count() == 2
+    assert got["a"].concurrent_users is None and got["b"].concurrent_users == 7
+    assert json.loads(got["b"].metadata)["other"] == "x" and "other" not in got["b"].asDict()
+
+
+def test_recent_runs_read_only_their_months(spark):
+    d = _dir() + "/runs"
+    rows = [(f"r{m}", "api", dt.datetime(2024, m, 1)) for m in range(1, 7)]
+    IO.store_runs(spark.createDataFrame(rows, "test_id string, test_type string, timestamp timestamp"), d)
+    recent = IO.recent_runs(spark, d, 24 * 40, "2024-06-02 00:00:00")
+    assert sorted(r.test_id for r in recent.collect()) == ["r5", "r6"]
+    assert "PartitionFilters: [isnotnull(month" in recent._jdf.queryExecution().toString()
