@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.operators.ordering import row_index, running
 
@@ -51,37 +52,46 @@ def meets_targets(target_latency: float = 1000, target_throughput: float = 100,
             & (estimated_error_rate(users, spawn) <= max_error))
 
 
+def _ordered(df: DataFrame) -> list[str]:
+    """The columns that have an order (maps and model vectors have none)."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DatetimeType))]
+
+
 def best_candidate(scored: DataFrame, objective: str = "objective",
                    tie_break: Sequence[str] = ("concurrent_users", "spawn_rate", "duration")) -> DataFrame:
     """LC5: the row with the smallest objective (ties: smaller load first).
 
     ``min_by`` over a struct is an algebraic aggregate: one pass, partial
-    results per task, no sort of the candidates.
+    results per task, no sort of the candidates.  All other columns break the
+    remaining ties.
     """
     cols = scored.columns
-    order = F.struct(F.col(objective), *[F.col(c) for c in tie_break])
+    order = F.struct(*dict.fromkeys([objective, *tie_break, *_ordered(scored)]))
     row = F.struct(*[F.col(c) for c in cols])
     return scored.agg(F.min_by(row, order).alias("b")).select("b.*")
 
 
-def first_breach(scored: DataFrame, latency: str = "predicted_latency") -> DataFrame:
-    """LC5 ``mode='first_breach'``: lightest load whose latency or error breaks a limit."""
+def first_breach(scored: DataFrame, latency: str = "predicted_latency", tie_break: Sequence[str] = ()) -> DataFrame:
+    """LC5 ``mode='first_breach'``: lightest load whose latency or error breaks a limit.
+
+    Equal loads are told apart by ``tie_break`` and then by all other columns.
+    """
     breach = (F.col(latency) > LATENCY_LIMIT_MS) | (estimated_error_rate() > ERROR_LIMIT)
     cand = scored.where(breach)
-    order = F.struct((F.col("concurrent_users") * F.col("spawn_rate")), F.col("concurrent_users"),
-                     F.col("spawn_rate"), F.col("duration"))
+    order = F.struct((F.col("concurrent_users") * F.col("spawn_rate")).alias("load"),
+                     *dict.fromkeys(["concurrent_users", "spawn_rate", "duration", *tie_break, *_ordered(scored)]))
     return cand.agg(F.min_by(F.struct(*[F.col(c) for c in scored.columns]), order).alias("b")).select("b.*")
 
 
 def breaking_point(best: DataFrame, latency: str = "predicted_latency", objective: str = "objective") -> DataFrame:
-    """LC5 record: load, predicted latency, throughput, error and the breaking flag."""
+    """LC5 record: load, predicted latency, throughput, error (rounded) and the breaking flag (on exact values)."""
     err = estimated_error_rate()
     return best.select(
         F.col("concurrent_users").cast("long").alias("concurrent_users"),
-        F.col("spawn_rate").alias("spawn_rate"), F.col("duration").cast("long").alias("duration"),
-        F.col(latency).alias("predicted_latency"),
-        (F.col("concurrent_users") * F.col("spawn_rate")).alias("estimated_throughput"),
-        err.alias("estimated_error_rate"), F.col(objective).alias("objective_value"),
+        F.round("spawn_rate", 2).alias("spawn_rate"), F.col("duration").cast("long").alias("duration"),
+        F.round(latency, 2).alias("predicted_latency"),
+        F.round(F.col("concurrent_users") * F.col("spawn_rate"), 2).alias("estimated_throughput"),
+        F.round(err, 4).alias("estimated_error_rate"), F.round(objective, 2).alias("objective_value"),
         ((F.col(latency) > LATENCY_LIMIT_MS) | (err > ERROR_LIMIT)).alias("is_breaking_point"))
 
 
@@ -90,10 +100,10 @@ def load_recommendations(bp: DataFrame) -> DataFrame:
     def plan(kind, f_load, f_lat):
         return F.struct(F.lit(kind).alias("kind"),
                         (F.col("concurrent_users") * f_load).cast("long").alias("concurrent_users"),
-                        (F.col("spawn_rate") * f_load).alias("spawn_rate"),
+                        F.round(F.col("spawn_rate") * f_load, 2).alias("spawn_rate"),
                         F.col("duration").alias("duration"),
-                        (F.col("predicted_latency") * f_lat).alias("expected_latency"),
-                        (F.col("estimated_throughput") * f_load).alias("expected_throughput"))
+                        F.round(F.col("predicted_latency") * f_lat, 2).alias("expected_latency"),
+                        F.round(F.col("estimated_throughput") * f_load, 2).alias("expected_throughput"))
     return bp.select(F.explode(F.array(plan("safe_load", 0.8, 0.7), plan("stress_test", 1.1, 1.2))).alias("p")).select("p.*")
 
 

@@ -74,9 +74,9 @@ def _bp_sql(order, where="TRUE", obj=OBJ_SQL):
     return f"""
 WITH s AS (SELECT *, {obj} AS objective FROM order_runs WHERE {where}),
 b AS (SELECT * FROM s ORDER BY {order} LIMIT 1)
-SELECT CAST(concurrent_users AS BIGINT) AS concurrent_users, spawn_rate, CAST(duration AS BIGINT) AS duration,
-  avg_response_time AS predicted_latency, concurrent_users * spawn_rate AS estimated_throughput,
-  {ERR_SQL} AS estimated_error_rate, objective AS objective_value,
+SELECT CAST(concurrent_users AS BIGINT) AS concurrent_users, round(spawn_rate, 2) AS spawn_rate, CAST(duration AS BIGINT) AS duration,
+  round(avg_response_time, 2) AS predicted_latency, round(concurrent_users * spawn_rate, 2) AS estimated_throughput,
+  round({ERR_SQL}, 4) AS estimated_error_rate, round(objective, 2) AS objective_value,
   avg_response_time > 2000.0 OR {ERR_SQL} > 0.05 AS is_breaking_point FROM b"""
 
 
@@ -95,10 +95,7 @@ def load_search(spark, sf):
 def load_first_breach(spark, sf):
     """LC5 (mode first_breach): lightest run load that breaks a limit."""
     c = _candidates(spark, sf).withColumn("objective", LP.load_objective())
-    breach = (F.col("predicted_latency") > LP.LATENCY_LIMIT_MS) | (LP.estimated_error_rate() > LP.ERROR_LIMIT)
-    order = F.struct(F.col("concurrent_users") * F.col("spawn_rate"), "concurrent_users", "spawn_rate",
-                     "duration", "test_id")
-    best = c.where(breach).agg(F.min_by(F.struct(*[F.col(x) for x in c.columns]), order).alias("b")).select("b.*")
+    best = LP.first_breach(c, tie_break=["test_id"])
     return LP.breaking_point(best)
 
 
@@ -110,27 +107,27 @@ TGT_OBJ = """avg_response_time + greatest(0, avg_response_time - 1000) * 10
 @register("target_search", views=["order_runs"], rnd=["predicted_latency", "predicted_throughput", "predicted_error_rate", "objective"], sql=f"""
 WITH s AS (SELECT *, {TGT_OBJ} AS objective FROM order_runs)
 SELECT test_id, CAST(concurrent_users AS BIGINT) AS concurrent_users, spawn_rate, CAST(duration AS BIGINT) AS duration,
-  avg_response_time AS predicted_latency, concurrent_users * spawn_rate AS predicted_throughput,
-  {ERR_SQL} AS predicted_error_rate, objective,
+  round(avg_response_time, 2) AS predicted_latency, round(concurrent_users * spawn_rate, 2) AS predicted_throughput,
+  round({ERR_SQL}, 4) AS predicted_error_rate, objective,
   avg_response_time <= 1000 AND concurrent_users * spawn_rate >= 100 AND {ERR_SQL} <= 0.01 AS meets_targets
 FROM s ORDER BY objective, concurrent_users, spawn_rate, duration, test_id LIMIT 1""")
 def target_search(spark, sf):
     """LC4: best run for latency < 1000 ms, throughput > 100/s, error < 1 %."""
     c = _candidates(spark, sf).withColumn("objective", LP.target_objective())
     b = LP.best_candidate(c, tie_break=("concurrent_users", "spawn_rate", "duration", "test_id"))
-    return b.select("test_id", "concurrent_users", "spawn_rate", "duration", "predicted_latency",
-                    (F.col("concurrent_users") * F.col("spawn_rate")).alias("predicted_throughput"),
-                    LP.estimated_error_rate().alias("predicted_error_rate"), "objective",
+    return b.select("test_id", "concurrent_users", "spawn_rate", "duration", F.round("predicted_latency", 2).alias("predicted_latency"),
+                    F.round(F.col("concurrent_users") * F.col("spawn_rate"), 2).alias("predicted_throughput"),
+                    F.round(LP.estimated_error_rate(), 4).alias("predicted_error_rate"), "objective",
                     LP.meets_targets().alias("meets_targets"))
 
 
 @register("load_recommendations", views=["order_runs"], rnd=["spawn_rate", "expected_latency", "expected_throughput"], sql=f"""
 WITH bp AS ({_bp_sql('objective, concurrent_users, spawn_rate, duration, test_id')})
-SELECT 'safe_load' AS kind, CAST(trunc(concurrent_users * 0.8E0) AS BIGINT) AS concurrent_users, spawn_rate * 0.8E0 AS spawn_rate,
-  duration, predicted_latency * 0.7E0 AS expected_latency, estimated_throughput * 0.8E0 AS expected_throughput FROM bp
+SELECT 'safe_load' AS kind, CAST(trunc(concurrent_users * 0.8E0) AS BIGINT) AS concurrent_users, round(spawn_rate * 0.8E0, 2) AS spawn_rate,
+  duration, round(predicted_latency * 0.7E0, 2) AS expected_latency, round(estimated_throughput * 0.8E0, 2) AS expected_throughput FROM bp
 UNION ALL
-SELECT 'stress_test', CAST(trunc(concurrent_users * 1.1E0) AS BIGINT), spawn_rate * 1.1E0, duration,
-  predicted_latency * 1.2E0, estimated_throughput * 1.1E0 FROM bp""")
+SELECT 'stress_test', CAST(trunc(concurrent_users * 1.1E0) AS BIGINT), round(spawn_rate * 1.1E0, 2), duration,
+  round(predicted_latency * 1.2E0, 2), round(estimated_throughput * 1.1E0, 2) FROM bp""")
 def load_recommendations(spark, sf):
     """LC6: safe and stress loads around the found point."""
     return LP.load_recommendations(load_search(spark, sf))
