@@ -37,15 +37,15 @@ def recommendations(top_features: Mapping[str, str], overall: DataFrame | None,
     base = len(lines)
     if overall is not None:
         d = F.col("overall_performance_direction")
-        t = overall.select(F.explode(F.filter(F.array(
+        t = overall.select(F.posexplode(F.filter(F.array(
             F.when(d == "Degrading", F.lit("Performance is degrading - investigate recent changes and consider "
                                            "immediate optimization"))
              .when(d == "Improving", F.lit("Performance is improving - continue current optimization strategies")),
             F.when(F.col("degrading_metrics") != "",
                    F.concat(F.lit("Focus on improving: "),
                             F.array_join(F.split("degrading_metrics", ","), ", ")))), lambda x: x.isNotNull()))
-            .alias("line"))
-        parts.append(t.select((F.lit(base) + F.monotonically_increasing_id() % 2).cast("int").alias("line_no"), "line"))
+            .alias("at", "line"))
+        parts.append(t.select((F.lit(base) + F.col("at")).cast("int").alias("line_no"), "line"))
         base += 2
     if cluster_types is not None:
         low = cluster_types.where(F.col("cluster_type").contains("Low") | F.col("cluster_type").contains("Unreliable"))

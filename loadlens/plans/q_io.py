@@ -84,7 +84,7 @@ def load_stats_csv(spark, sf):
     st = request_stats(spark, sf).drop("window_start", "event_type")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     st.repartitionByRange(n, "test_id").write.partitionBy("test_id").option("header", True).csv(path)
-    return RS.rollup_request_stats(IO.read_load_stats(spark, f"{path}/*/*.csv"))
+    return RS.rollup_request_stats(IO.read_load_stats(spark, path))
 
 
 @register("runs_csv_export", views=["order_runs"], sql="""

@@ -116,10 +116,10 @@ def load_configs(spark: SparkSession, path: str, multiline: bool = False):
     return df.where(ok), df.where(~F.coalesce(ok, F.lit(False)))
 
 
-def read_load_stats(spark: SparkSession, path_glob: str, id_pattern: str = r"test_id=([^/]+)") -> DataFrame:
-    """IO8: load-generator statistics CSVs; the run id comes from the file path."""
-    df = spark.read.schema(LOAD_STATS_SCHEMA).option("header", True).csv(path_glob)
-    return df.withColumn("test_id", F.regexp_extract(F.input_file_name(), id_pattern, 1))
+def read_load_stats(spark: SparkSession, path: str) -> DataFrame:
+    """IO8: load-generator statistics CSVs; the run id comes from the folder ``test_id=..`` (decoded by partition discovery)."""
+    schema = T.StructType([*LOAD_STATS_SCHEMA.fields, T.StructField("test_id", T.StringType())])
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def read_audit_reports(spark: SparkSession, path_glob: str, id_pattern: str = r"([^/]+)\.txt$") -> DataFrame:

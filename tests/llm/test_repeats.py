@@ -47,7 +47,7 @@ def corpus(seed, n=50):
 @pytest.mark.parametrize("heavy", [0, 3, 256])
 def test_equals_brute_force(docs, monkeypatch, heavy):
     monkeypatch.setattr(R, "HEAVY", heavy)                      # 0: all open anchors are dealt string by string
-    monkeypatch.setattr(R, "SORTED", 200)
+    monkeypatch.setattr(R, "ROWS", 20)
     rows = corpus(heavy) + [(None, "n" * 80), (900, None), (901, ""), (902, "n" * 80)]
     got = sorted((tuple(r)[:5] for r in R.remove_repeats(docs(rows)).collect()), key=str)
     assert got == brute(rows)
