@@ -40,12 +40,14 @@ from loadlens.llm import texts as T
 from loadlens.llm.tables import store, text_bytes
 
 SPAN, GRAM = 50, 20
+#: Text bytes that a task works on at once.
+SLICE = 1 << 20
 #: Text bytes for a bucket of the sieve.
 BUCKET_BYTES = 16 << 20
 #: Different regions of one anchor beyond which its strings are dealt singly.
 HEAVY = 256
-#: Strings that a sorting step holds (56 bytes each, and their order).
-SORTED = 200_000
+#: Regions that a sorting step takes on (some 15 strings each).
+ROWS = 10_000
 WHOLE, LIGHT, SINGLE = 1, 2, 3
 _U = np.uint64
 
@@ -58,23 +60,32 @@ def _window_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:span - width], x[width - span:]) if span < width else x
 
 
+def _grams(rolling: T.RollingHash) -> np.ndarray:
+    """Hash of the gram at every place."""
+    sums = rolling.sums
+    g = (sums[GRAM:] - sums[:-GRAM]) * T.powers(len(sums))[1][:len(sums) - GRAM]
+    g ^= g >> _U(32)
+    g *= _U(0xD6E8FEB86659FD93)
+    g ^= g >> _U(29)
+    return g
+
+
 def regions(data: np.ndarray, off: np.ndarray):
     """First and last string start, anchor hash and region hash of each region, and its text's number."""
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
         return none, none, none.astype(_U), none.astype(_U), none
     rolling = T.RollingHash(data)
-    at = np.arange(len(data) - GRAM + 1)
-    low = _window_min(rolling.ranges(at, at + GRAM), SPAN - GRAM + 1)
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[:len(low)]
-    start = np.flatnonzero(np.arange(len(low)) + SPAN <= off[doc + 1])
-    if not len(start):
-        return none, none, none.astype(_U), none.astype(_U), none
-    new = np.ones(len(start), bool)
-    new[1:] = (low[start[1:]] != low[start[:-1]]) | (start[1:] != start[:-1] + 1) | (doc[start[1:]] != doc[start[:-1]])
-    first = start[new]
-    last = start[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
-    return first, last, low[first], rolling.ranges(first, last + SPAN), doc[first]
+    low = _window_min(_grams(rolling), SPAN - GRAM + 1)
+    ok = np.zeros(len(low), bool)
+    for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+        ok[a:max(a, b - SPAN + 1)] = True                       # strings that end within their text
+    change = low[1:] != low[:-1]
+    begins, ends = ok.copy(), ok.copy()
+    begins[1:] &= change | ~ok[:-1]
+    ends[:-1] &= change | ~ok[1:]
+    first, last = np.flatnonzero(begins), np.flatnonzero(ends)
+    return first, last, low[first], rolling.ranges(first, last + SPAN), np.searchsorted(off, first, "right") - 1
 
 
 def _delta(x: np.ndarray) -> bytes:
@@ -89,29 +100,32 @@ REPLY = "doc_id long, th int, marks binary"
 SIEVE = "bucket int, whole boolean, doc_id long, th int, marks binary, h binary, r binary, doc binary, ths binary, at binary, size binary"
 
 
-def _marks(at: np.ndarray, size: np.ndarray, code: np.ndarray) -> bytes:
-    """Packed (first string start, number of strings, code)."""
-    return np.stack([at, size, code], axis=1).astype(np.uint32).tobytes()
-
-
 def _unmark(marks: bytes) -> np.ndarray:
     return np.frombuffer(marks, np.uint32).reshape(-1, 3).astype(np.int64)
 
 
 def _by_doc(ids, th, at, size, code):
-    """``(doc_id, th, marks)`` of each document among aligned arrays."""
+    """doc_id, th and marks, packed (first string start, number of strings, code), of each document among aligned arrays."""
     order = np.lexsort((at, th, ids))
-    ids, th, at, size, code = (x[order] for x in (ids, th, at, size, code))
+    ids, th = ids[order], th[order]
+    marks = np.stack([at[order], size[order], code[order]], axis=1).astype(np.uint32)
     edge = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (th[1:] != th[:-1]))) if len(ids) else np.zeros(0, int)
     stop = np.append(edge[1:], len(ids))
-    return ids[edge], th[edge], [_marks(at[a:b], size[a:b], code[a:b]) for a, b in zip(edge.tolist(), stop.tolist())]
+    return ids[edge], th[edge], [marks[a:b].tobytes() for a, b in zip(edge.tolist(), stop.tolist())]
+
+
+def _reply(ids, th, at) -> pa.RecordBatch:
+    """Replies that remove the strings at the given places."""
+    d, s, m = _by_doc(ids, th, at, np.ones(len(at), np.int64), np.full(len(at), WHOLE))
+    return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s.astype(np.int32)), pa.array(m, pa.binary())],
+                                      names=["doc_id", "th", "marks"])
 
 
 def _sieve(docs: DataFrame, buckets: int) -> DataFrame:
     """Packed regions by bucket; those that a smaller document of the same slice holds are answered at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in T.slices(batches, limit=4 << 20):
+        for t in T.slices(batches, limit=SLICE):
             data, off = T.utf8(t["text"])
             ids_of, th_of = t["doc_id"].to_numpy(), t["th"].to_numpy().astype(np.int64)
             first, last, h, r, doc = regions(data, off)
@@ -214,86 +228,97 @@ def _strings(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     return rows.view(">u8").astype(_U)
 
 
+def _open(t: pa.Table, code: int):
+    """Bytes of the slice's texts, and text number, place there, absolute place and number of strings of the marks with a code."""
+    data, off = T.utf8(t["text"])
+    marks = [_unmark(m) for m in t["marks"].to_pylist()]
+    row = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
+    m = np.concatenate(marks)
+    keep = m[:, 2] == code
+    row, at, size = row[keep], m[keep, 0], m[keep, 1]
+    return data, row, at, off[row] + at, size
+
+
+def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, .. of each row, end to end."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _binary(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def _light(touched: DataFrame, buckets: int) -> DataFrame:
     """Strings of open regions that also start in a smaller document, as replies."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, ids, ths, ats, parts = [], [], [], [], []
-            for i, (text, marks) in enumerate(zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist())):
-                data = text.encode()
-                for at, size, code in _unmark(marks).tolist():
-                    if code == LIGHT:
-                        part = data[at:at + size - 1 + SPAN]
-                        one = np.frombuffer(part[:SPAN], np.uint8)
-                        g = np.arange(SPAN - GRAM + 1)
-                        k = int(np.argmin(T.RollingHash(one).ranges(g, g + GRAM)))
-                        grams.append(part[k:k + GRAM])
-                        ids.append(batch.column("doc_id")[i].as_py())
-                        ths.append(batch.column("th")[i].as_py())
-                        ats.append(at)
-                        parts.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), pa.array(ids, pa.int64()), pa.array(ths, pa.int32()),
-                                              pa.array(ats, pa.int64()), pa.array(parts, pa.binary())], names=["gram", "doc_id", "th", "at", "part"])
-
-    def compare(rows: list[tuple]) -> pa.RecordBatch:
-        data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        size = np.array([len(r[4]) for r in rows])
-        begin = np.cumsum(size) - size
-        n = size - SPAN + 1
-        row = np.repeat(np.arange(len(rows)), n)
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        ids = np.array([r[1] for r in rows], np.int64)
-        order, new = multikey_order(_strings(data, begin[row] + inside))
-        edge = np.flatnonzero(new)
-        least = np.minimum.reduceat(ids[row[order]], edge)[np.cumsum(new) - 1]
-        gone = order[ids[row[order]] > least]
-        at = np.array([r[3] for r in rows], np.int64)[row[gone]] + inside[gone]
-        th = np.array([r[2] for r in rows], np.int64)[row[gone]]
-        d, s, m = _by_doc(ids[row[gone]], th, at, np.ones(len(at), np.int64), np.full(len(at), WHOLE))
-        return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s.astype(np.int32)), pa.array(m, pa.binary())], names=["doc_id", "th", "marks"])
+        for t in T.slices(batches, limit=SLICE):
+            data, row, at, place, size = _open(t, LIGHT)
+            if not len(row):
+                continue
+            last = place + size - 1                             # all strings of a region have its anchor, so its last one does
+            anchor = last + sliding_window_view(_grams(T.RollingHash(data)), SPAN - GRAM + 1)[last].argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([
+                _binary(sliding_window_view(data, GRAM)[anchor], np.full(len(row), GRAM)), t["doc_id"].combine_chunks().take(pa.array(row)),
+                t["th"].combine_chunks().take(pa.array(row)), pa.array(at), _binary(data[_each(place, size + SPAN - 1)], size + SPAN - 1)],
+                names=["gram", "doc_id", "th", "at", "part"])
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        data, off = _bytes(t["part"])
+        n = np.diff(off) - SPAN + 1
+        row = np.repeat(np.arange(len(n)), n)
+        place = _each(off[:-1], n)
+        ids = t["doc_id"].to_numpy()[row]
+        order, new = multikey_order(_strings(data, place))
+        least = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        gone = order[ids[order] > least]
+        at = t["at"].to_numpy()[row[gone]] + place[gone] - off[row[gone]]
+        return _reply(ids[gone], t["th"].to_numpy()[row[gone]].astype(np.int64), at)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for x in zip(*(batch.column(c).to_pylist() for c in ("gram", "doc_id", "th", "at", "part"))):
-                if size > SORTED and x[0] != held[-1][0]:
-                    yield compare(held)
-                    held, size = [], 0
-                held.append(x)
-                size += len(x[4]) - SPAN + 1
+            for k in range(0, batch.num_rows, ROWS):
+                held.append(batch.slice(k, ROWS))
+                t = pa.Table.from_batches(held)
+                # whole anchors go; the last one waits for its further rows
+                waits = pc.index(t["gram"], t["gram"][-1]).as_py()
+                if waits and t.num_rows > ROWS:
+                    yield compare(t.slice(0, waits))
+                    t = t.slice(waits)
+                held = t.to_batches()
         if held:
-            yield compare(held)
+            yield compare(pa.Table.from_batches(held))
 
     cuts = touched.select("doc_id", "th", "text", "marks").mapInArrow(cut, "gram binary, doc_id long, th int, at long, part binary")
     return cuts.repartitionByRange(buckets, "gram").sortWithinPartitions("gram").mapInArrow(sort, REPLY)
 
 
+def _bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    column = column.combine_chunks().cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
+
+
 def _single(touched: DataFrame) -> DataFrame:
     """The same for anchors with very many regions: string by string."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, (text, marks) in enumerate(zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist())):
-                m = _unmark(marks)
-                m = m[m[:, 2] == SINGLE]
-                if not len(m):
-                    continue
-                data = text.encode()
-                at = [a for first, size, _ in m.tolist() for a in range(first, first + size)]
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array([data[a:a + SPAN] for a in at], pa.binary()), pa.array([batch.column("doc_id")[i].as_py()] * n, pa.int64()),
-                                                  pa.array([batch.column("th")[i].as_py()] * n, pa.int32()), pa.array(at, pa.int64())], names=["s", "doc_id", "th", "at"])
+        for t in T.slices(batches, limit=SLICE):
+            data, row, at, place, size = _open(t, SINGLE)
+            if len(row):
+                each, place = np.repeat(row, size), _each(place, size)
+                yield pa.RecordBatch.from_arrays([
+                    _binary(sliding_window_view(data, SPAN)[place], np.full(len(each), SPAN)), t["doc_id"].combine_chunks().take(pa.array(each)),
+                    t["th"].combine_chunks().take(pa.array(each)), pa.array(_each(at, size))], names=["s", "doc_id", "th", "at"])
 
     cuts = store(touched.select("doc_id", "th", "text", "marks").mapInArrow(cut, "s binary, doc_id long, th int, at long"), "single-strings")
     least = store(cuts.groupBy("s").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("s", "low"), "least-strings")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("at").to_numpy()
-            d, s, m = _by_doc(batch.column("doc_id").to_numpy(), batch.column("th").to_numpy().astype(np.int64), at, np.ones(len(at), np.int64), np.full(len(at), WHOLE))
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s.astype(np.int32)), pa.array(m, pa.binary())], names=["doc_id", "th", "marks"])
+            yield _reply(*(batch.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "th", "at")))
 
     return cuts.join(least, "s").where("doc_id > low").select("doc_id", "th", "at").mapInArrow(pack, REPLY)
 
