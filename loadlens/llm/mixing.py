@@ -31,6 +31,8 @@ from loadlens.llm.tables import store
 
 #: Rows per block, and about how many blocks a full cycle has.
 BLOCK, CYCLE = 8, 200
+#: Columns that the mix adds; a document's columns of these names are replaced.
+RESULT = ("mix_block", "mix_slot", "mix_place")
 #: Rows for a bucket of the hashed order.
 BUCKET_ROWS = 1000
 
@@ -112,7 +114,9 @@ def plans(sources: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, cycle: int = CYCLE) -> DataFrame:
     """Every row of ``docs`` with ``mix_block`` (block within its source), ``mix_slot`` (the block's place in the
     mix) and ``mix_place`` (the row's place in the block); ordered by slot and place, the rows are the mix."""
-    placed, sizes = _numbered(docs)
+    # the documents' own columns travel as one, so that none can clash with the names used here
+    packed = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_document"))
+    placed, sizes = _numbered(packed)
     sizes = sizes.withColumn("blocks", F.ceil(F.col("rows") / F.lit(block)).cast("long"))
     sources = store(_quotas(sizes, weights, cycle), "mix-sources")
     plan = store(plans(sources), "mix-plan")
@@ -126,4 +130,4 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
             .withColumn("mix_k", F.col("mix_block") % F.col("quota")))
     return (rows.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("mix_first") == F.col("first")) & (F.col("mix_k") == F.col("k")))
             .withColumn("mix_slot", F.col("slot0") + (F.col("mix_cycle") - F.col("first")) * F.col("slots") + F.col("at"))
-            .select(*[placed[c] for c in docs.columns], "mix_block", "mix_slot", "mix_place"))
+            .select(*[F.col("mix_document")[c].alias(c) for c in docs.columns if c not in RESULT], *RESULT))

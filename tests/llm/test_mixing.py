@@ -75,3 +75,12 @@ def test_empty_and_tiny_tables(docs):
     assert M.mix(docs([])).count() == 0
     got = M.mix(docs([(1, "a", "s"), (1, "a", "s"), (None, None, None)])).collect()
     assert len(got) == 3 and sorted({r.mix_slot for r in got}) == [0, 1]
+
+
+def test_columns_that_clash_are_kept(spark):
+    names = ["s", "b", "n", "start", "first", "k", "at", "slots", "slot0", "quota", "mix_row", "mix_slot"]
+    df = spark.createDataFrame([(i, f"src{i % 2}", *[f"{c}{i}" for c in names]) for i in range(40)],
+                               "doc_id long, source string, " + ", ".join(f"{c} string" for c in names))
+    got = M.mix(df, block=4).collect()
+    assert sorted((r.doc_id, r.s, r.mix_row) for r in got) == [(i, f"s{i}", f"mix_row{i}") for i in range(40)]
+    assert sorted({r.mix_slot for r in got}) == list(range(10))
