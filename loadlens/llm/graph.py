@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +24,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where(F.col("u") > F.col("v")).distinct())
     e = store(e, "links")
-    seen = None
     while True:
         both = store(e.union(e.select(F.col("v"), F.col("u"))), "both")
         low = _stars(both, "u", "v", "large")
@@ -40,30 +38,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("x"))
              .select("x.u", "x.v").where(F.col("u") > F.col("v")).distinct())
         e = store(e, "small-star")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
+        # done when every node has one lesser neighbour and that one has none
+        rows, nodes = e.agg(F.count("*"), F.count_distinct("u")).first()
+        if rows == nodes and e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
             break
-        seen = now
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-
-
-class Forest:
-    """Union-find over 0..n-1 inside one task; ``root`` is the least index of a set."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def find(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x == y:
-            return False
-        self.up[max(x, y)] = min(x, y)
-        return True
