@@ -43,7 +43,7 @@ SPAN, GRAM = 50, 20
 #: Text bytes that a task works on at once.
 SLICE = 1 << 20
 #: Text bytes for a bucket of the sieve.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 #: Different regions of one anchor beyond which its strings are dealt singly.
 HEAVY = 256
 #: Regions that a sorting step takes on (some 15 strings each).
@@ -170,11 +170,12 @@ def _answer(t: pa.Table) -> pa.Table:
     out = whole.select(["doc_id", "th", "marks"]).cast(pa.schema([("doc_id", pa.int64()), ("th", pa.int32()), ("marks", pa.binary())]))
     if not t.num_rows:
         return out
-    col = {c: t[c].to_pylist() for c in ("h", "r", "doc", "ths", "at", "size")}
-    del t
-    h = np.concatenate([T.unplanes(x, 4) for x in col.pop("h")]).astype(np.uint32)
-    r = np.concatenate([T.unplanes(x, 5) for x in col.pop("r")])
-    ids = np.concatenate([_undelta(x) for x in col.pop("doc")])
+    def column(name, read, kind):
+        return np.concatenate([read(x.as_py()).astype(kind) for x in t[name]])
+
+    h = column("h", lambda x: T.unplanes(x, 4), np.uint32)
+    r = column("r", lambda x: T.unplanes(x, 5), np.int64)
+    ids = column("doc", _undelta, np.int64)
     order = np.lexsort((ids, r, h))
     hs, rs, ds = h[order], r[order], ids[order]
     del h, r, ids
@@ -191,9 +192,8 @@ def _answer(t: pa.Table) -> pa.Table:
     code[open_] = np.where(kinds[open_] > HEAVY, SINGLE, LIGHT)
     told = code > 0
     order, code = order[told], code[told]
-    th = np.concatenate([_undelta(x) for x in col["ths"]])[order]
-    at = np.concatenate([T.unplanes(x, 4) for x in col["at"]])[order]
-    size = np.concatenate([T.unplanes(x, 4) for x in col["size"]])[order]
+    th = column("ths", _undelta, np.int32)[order].astype(np.int64)
+    at, size = (column(c, lambda x: T.unplanes(x, 4), np.uint32)[order].astype(np.int64) for c in ("at", "size"))
     d, s, m = _by_doc(ds[told], th, at, size, code)
     return pa.concat_tables([out, pa.table({"doc_id": pa.array(d), "th": pa.array(s.astype(np.int32)), "marks": pa.array(m, pa.binary())})])
 
