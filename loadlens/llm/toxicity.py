@@ -98,10 +98,6 @@ def sample(docs: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVE, un
             toxic / n if n else 0.0)
 
 
-def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return (np.concatenate(rows) if rows else np.zeros(0, np.int32)), np.cumsum([0] + [len(r) for r in rows])
-
-
 def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(values)])
     return total[off[1:]] - total[off[:-1]]
@@ -118,8 +114,7 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int =
     p = min(max(prior, 1e-6), 0.5)
     if not pos or not unl:
         return Model(w.astype(np.float32), float(np.log(p / (1 - p))))
-    cp = np.bincount(np.concatenate(pos), minlength=len(w))
-    cu = np.bincount(np.concatenate(unl), minlength=len(w))
+    cp, cu = _rows_with(pos), _rows_with(unl)
     expected = cu * (len(pos) / len(unl))
     keep = np.flatnonzero((cp >= 3) & (cp - expected > 3 * np.sqrt(expected + 0.5)) & (cp > 2 * expected))
     place = np.full(len(w), -1)
@@ -149,11 +144,18 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int =
     return Model(w.astype(np.float32), float(bias))
 
 
+def _rows_with(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each feature occurs (a row's features are distinct)."""
+    n = np.zeros(1 << BITS, np.int64)
+    for f in rows:
+        n[f] += 1
+    return n
+
+
 def _chosen(rows: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The kept features of each row, end to end, and the rows' offsets."""
-    f, off = _flat(rows)
-    at = place[f]
-    return at[at >= 0], np.concatenate([[0], np.cumsum(at >= 0)])[off]
+    kept = [at[at >= 0] for at in (place[f] for f in rows)]
+    return np.concatenate(kept), np.cumsum([0] + [len(k) for k in kept])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
