@@ -34,7 +34,7 @@ from loadlens.llm.tables import crc_mod, store
 #: Words that the recurrent model knows one by one (and one id for all others).
 SHORTLIST = 2047
 SLICE = 4 << 20
-#: Parameter sets that are averaged in one step.
+#: Parameter sets that are averaged, and word lists that are merged, in one step.
 FAN = 16
 _U = np.uint64
 END = int(T.mix(np.array([0xE4D], _U))[0])
@@ -76,7 +76,7 @@ def _id_array(b: bytes) -> pa.Array:
     return pa.array(np.frombuffer(b[n:], np.int64), mask=flag == 0)
 
 
-COUNTED = "slice long, bucket int, totals binary, n long, v long, top array<long>, top_n array<long>"
+COUNTED = "slice long, bucket int, totals binary, n long, v long, top binary, top_n binary"
 
 
 def _count(slices: DataFrame, buckets: int) -> DataFrame:
@@ -100,25 +100,50 @@ def _count(slices: DataFrame, buckets: int) -> DataFrame:
         total = np.bincount(place, np.concatenate([T.unplanes(c, 4) for c in t["counts"].to_pylist()]), len(words)).astype(np.int64)
         edge = np.cumsum([0] + [len(p) for p in parts])
         replies = [T.planes(total[place[a:b]], 5) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
-        best = np.lexsort((words, -total))[:SHORTLIST]
-        best = best[total[best] > 0]
+        best = _most(words, total)
         k = t.num_rows
         return pa.table({
             "slice": pa.array(t["slice"].to_pylist() + [-1], pa.int64()), "bucket": pa.array(t["bucket"].to_pylist() + [t["bucket"][0].as_py()], pa.int32()),
             "totals": pa.array(replies + [None], pa.binary()), "n": pa.array([0] * k + [int(total.sum())]), "v": pa.array([0] * k + [int((total > 0).sum())]),
-            "top": pa.array([None] * k + [words[best].view(np.int64).tolist()], pa.list_(pa.int64())),
-            "top_n": pa.array([None] * k + [total[best].tolist()], pa.list_(pa.int64()))})
+            "top": pa.array([None] * k + [words[best].tobytes()], pa.binary()),
+            "top_n": pa.array([None] * k + [total[best].tobytes()], pa.binary())})
 
     dealt = slices.select("slice", "words", "counts").mapInArrow(deal, "slice long, bucket int, words binary, counts binary")
     return store(dealt.groupBy("bucket").applyInArrow(add, COUNTED), "lm-counts")
 
 
-def _resolve(slices: DataFrame, counted: DataFrame, n: int, v: int, short: list) -> DataFrame:
+def _most(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of the SHORTLIST most frequent words; ties by hash."""
+    best = np.lexsort((words, -counts))[:SHORTLIST]
+    return best[counts[best] > 0]
+
+
+def _merge(tops) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words of several lists of (different) words and counts."""
+    words = np.concatenate([np.frombuffer(t["top"], _U) for t in tops] or [np.zeros(0, _U)])
+    counts = np.concatenate([np.frombuffer(t["top_n"], np.int64) for t in tops] or [np.zeros(0, np.int64)])
+    best = _most(words, counts)
+    return words[best], counts[best]
+
+
+def _shortlist(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words of the corpus and their counts: a tree of merges, FAN buckets at a time."""
+    def merge(t: pa.Table) -> pa.Table:
+        words, counts = _merge(t.to_pylist())
+        return pa.table({"bucket": t["bucket"][:1], "top": pa.array([words.tobytes()], pa.binary()), "top_n": pa.array([counts.tobytes()], pa.binary())})
+
+    tops, width = counted.where("slice < 0").select("bucket", "top", "top_n"), 1
+    while tops.count() > FAN:
+        width *= FAN
+        tops = store(tops.groupBy(F.floor(F.col("bucket") / width).alias("g")).applyInArrow(merge, "bucket int, top binary, top_n binary"), "lm-shortlist")
+    return _merge([r.asDict() for r in tops.collect()])
+
+
+def _resolve(slices: DataFrame, counted: DataFrame, n: int, v: int, keys: np.ndarray, key_counts: np.ndarray) -> DataFrame:
     """Slices with model word ids, and each document's base score, known tokens and share of the other words."""
-    keys = np.array([r.word for r in short], np.int64).view(_U)
     order = np.argsort(keys)
     shared = slices.sparkSession.sparkContext.broadcast((keys[order], order + 1))   # SHORTLIST words
-    base, rest = np.log10(n + v + 1), np.log10(n + v + 1 - sum(r.c + 1 for r in short))
+    base, rest = np.log10(n + v + 1), np.log10(n + v + 1 - int((key_counts + 1).sum()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ids = shared.value
@@ -190,13 +215,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
     slices = _slices(d)
     counted = _count(slices, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    short = (counted.where("slice < 0").select(F.explode(F.arrays_zip("top", "top_n")).alias("x"))
-             .select(F.col("x.top").alias("word"), F.col("x.top_n").alias("c")).orderBy(F.desc("c"), "word").limit(SHORTLIST).collect())
-    resolved = _resolve(slices, counted, n, v, short)
+    short, short_n = _shortlist(counted)
+    resolved = _resolve(slices, counted, n, v, short, short_n)
     words = len(short) + 1
-    ends = [k + 1 for k, r in enumerate(short) if r.word == np.array([END], _U).view(np.int64)[0]]
-    end = ends[0] if ends else 0
-    counts = np.array([n - sum(r.c for r in short)] + [r.c for r in short], np.float64)
+    end = next((k + 1 for k in np.flatnonzero(short == _U(END)).tolist()), 0)
+    counts = np.append(n - short_n.sum(), short_n).astype(np.float64)
     shared = spark.sparkContext.broadcast(_fit(resolved, words, counts, end))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
