@@ -51,7 +51,7 @@ SHARE = (75, 100)
 #: So many shingles, those most often repeated within slices, are ordered last (8 MB; the order changes cost, not results).
 FREQUENT = 1_000_000
 #: Shared keys that a pair of scanned sets needs in its own prefixes, where these are long enough.
-KEYS = 4
+KEYS = 2
 #: Rows that a scanned inverted list costs for each row that it is emitted with (cost of the boundary).
 SCAN_COST = 5.0
 #: Share of the smaller set's size that a member has to share in keys with the hub to be compared first.
