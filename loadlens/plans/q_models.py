@@ -33,7 +33,10 @@ def _frame(spark, sf, target):
     return fr, feats
 
 
-@register("group_split")
+@register("group_split", views=["order_runs"], sql="""
+SELECT CASE WHEN ('0x' || substr(md5(test_id || ':42'), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS side,
+  count(*) AS "rows", count(DISTINCT test_id) AS scenarios
+FROM order_runs GROUP BY 1""")
 def group_split(spark, sf):
     """M2: scenario split; one row per side with its size and distinct scenarios."""
     tr, te = MD.scenario_split(order_runs(spark, sf))
