@@ -1,12 +1,15 @@
-"""Operator 10: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 10: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 Test items are cut into segments of at most 64 words.  Every 3-word gram of a
-segment is counted over all documents; the rarer half of a segment's own grams
-are its seeds, so a segment keeps seeds however often it was copied.  Seeds
-found in a document fix windows of its text around the segment's place there,
-and a local alignment of words (match +1, mismatch and gap -1) scores each
-window.  A document matches an item when an alignment scores 0.4 of the
-segment's words and at least 8 (or all words of a shorter segment).
+segment is a seed, so a copy is led to by any three neighbouring words that it
+keeps; choosing seeds by their counts would lose an edited copy when the grams
+it lacks are the rarer ones, as beside an exact copy.  Seeds
+found in a document fix windows of its text around the segment's place there.
+The segment's words that a window holds are a bound of its score, so windows
+that hold too few go unaligned; a local alignment of words (match +1, mismatch
+and gap -1) scores the others.  A document matches an item when an alignment
+scores 0.4 of the segment's words and at least 8 (or all words of a shorter
+segment).
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered and ASCII punctuation at
 their ends taken off.  Items of under five words are no evidence and match
@@ -93,27 +96,12 @@ def _member(sorted_keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sorted_keys[at] == x, at
 
 
-def gram_counts(docs: DataFrame, grams: np.ndarray) -> np.ndarray:
-    """In how many documents each gram of a block occurs, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = shared.value
-        total = np.zeros(len(keys), np.int64)
-        for t in T.slices(batches):
-            h, rows = word_rows(t["text"])
-            g, at = _doc_grams(h, rows)
-            hit, k = _member(keys, g)
-            doc = np.searchsorted(rows, at[hit], "right") - 1
-            pairs = np.unique(doc * len(keys) + k[hit])
-            total += np.bincount(pairs % len(keys), minlength=len(keys))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["k", "n"])
-
-    out = np.zeros(len(grams), np.int64)
-    for r in docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        out[r.k] = r.n                                          # one row per gram of the block
-    return out
+def held(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """How many words of each row of ``items`` the same row of ``windows`` holds anywhere: no alignment scores more."""
+    n = np.zeros(len(items), np.int64)
+    for i in range(items.shape[1]):
+        n += (windows == items[:, i:i + 1]).any(axis=1)
+    return n
 
 
 def align(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -142,23 +130,15 @@ class Block:
 
     def __init__(self, ids: np.ndarray, words: list[np.ndarray]):
         self.ids, self.words = ids, words
+        self.size = np.array([len(w) for w in words])
+        self.need = np.maximum(MIN_SHARE * self.size, np.minimum(MIN_SCORE, self.size))
         grams = [_grams(w) for w in words]
-        self.all = np.unique(np.concatenate(grams))
-        self.place = [(np.full(len(g), i), np.arange(len(g)), g) for i, g in enumerate(grams)]
-
-    def seed(self, counts: np.ndarray) -> None:
-        """Keep the rarer half of each segment's grams (with ties)."""
-        rows = []
-        for seg, pos, g in self.place:
-            n = counts[np.searchsorted(self.all, g)]
-            rare = n <= np.median(n)
-            rows.append((seg[rare], pos[rare], g[rare]))
-        seg, pos, g = (np.concatenate(x) for x in zip(*rows))
+        seg, pos = (np.concatenate(x) for x in zip(*[(np.full(len(g), i), np.arange(len(g))) for i, g in enumerate(grams)]))
+        g = np.concatenate(grams)
         order = np.argsort(g, kind="stable")
         self.seg, self.pos, g = seg[order], pos[order], g[order]
         self.keys, self.first = np.unique(g, return_index=True)
         self.last = np.append(self.first[1:], len(g))
-        del self.all, self.place
 
     def matches(self, h: np.ndarray, rows: np.ndarray):
         """Text, segment and score of every alignment in a slice that counts as a copy."""
@@ -182,9 +162,8 @@ class Block:
         for a in range(0, len(doc), 2048):
             part = slice(a, a + 2048)
             score[part] = self._scores(h, rows, doc[part], seg[part], shift[part])
-        size = np.array([len(w) for w in self.words])[seg]
-        ok = score >= np.maximum(MIN_SHARE * size, np.minimum(MIN_SCORE, size))
-        return doc[ok], seg[ok], (score / size)[ok]
+        ok = score >= self.need[seg]
+        return doc[ok], seg[ok], (score / self.size[seg])[ok]
 
     def _scores(self, h, rows, doc, seg, shift):
         wide = SEGMENT + 3 * SLACK
@@ -195,7 +174,10 @@ class Block:
         col = start[:, None] + np.arange(wide)
         inside = (col >= rows[doc][:, None]) & (col < rows[doc + 1][:, None])
         windows = np.where(inside, h[np.clip(col, 0, len(h) - 1)], _U(1))
-        return align(items, windows)
+        score = np.zeros(len(seg))
+        open_ = np.flatnonzero(held(items, windows) >= self.need[seg])
+        score[open_] = align(items[open_], windows[open_])
+        return score
 
 
 def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
@@ -210,7 +192,6 @@ def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     while block := parts.where(F.col("part") > low).limit(BLOCK).collect():
         low = block[-1].part
         b = Block(np.array([r.item_id for r in block]), [np.frombuffer(r.words, _U) for r in block])
-        b.seed(gram_counts(texts, b.all))
         shared = spark.sparkContext.broadcast(b)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -65,3 +65,30 @@ def test_passage_in_every_document_and_empty_tables(spark, docs):
     assert len(got) == 40 and all(r.score == 1 for r in got)
     assert D.contaminated(docs(rows), bench(spark, [])).count() == 0
     assert D.contaminated(docs([]), bench(spark, [(1, item)])).count() == 0
+
+
+def test_every_copy_that_scores_enough_is_found(spark, docs):
+    rnd = random.Random(11)
+    item = [f"w{k}" for k in range(64)]
+    rows = []
+    for a, n in ((0, 26), (20, 28), (32, 32)):                  # passages of 0.41 to 0.5 of the segment
+        rows.append([f"x{k}" for k in range(40)] + item[a:a + n] + [f"y{k}" for k in range(40)])
+    for start in range(5):                                      # one word in five replaced
+        rows.append([f"z{k}" if k % 5 == start else w for k, w in enumerate(item)])
+    rows += [[f"r{k}" if rnd.random() < share else w for k, w in enumerate(item)] for share in (0.2, 0.25, 0.3) for _ in range(40)]
+    size = len(item)
+    want = {i: plain_align(item, r) / size for i, r in enumerate(rows)}
+    want = {i: s for i, s in want.items() if s >= 0.4}
+    assert len(want) > 60 and set(range(8)) <= set(want)
+    table = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    # alone, and beside exact copies, which make every gram present and the kept ones the commoner
+    for extra in ([], [(1000 + k, " ".join(item)) for k in range(3)]):
+        got = {r.doc_id: r.score for r in D.contaminated(docs(table + extra), bench(spark, [(1, " ".join(item))])).collect()}
+        assert got == want | {i: 1.0 for i, _ in extra}
+
+
+def test_words_held_bound_the_alignment():
+    g = np.random.default_rng(4)
+    items = g.integers(10, 30, (200, 12)).astype(np.uint64)
+    windows = g.integers(10, 30, (200, 25)).astype(np.uint64)
+    assert (D.held(items, windows) >= D.align(items, windows)).all()
