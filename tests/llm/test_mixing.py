@@ -84,3 +84,26 @@ def test_columns_that_clash_are_kept(spark):
     got = M.mix(df, block=4).collect()
     assert sorted((r.doc_id, r.s, r.mix_row) for r in got) == [(i, f"s{i}", f"mix_row{i}") for i in range(40)]
     assert sorted({r.mix_slot for r in got}) == list(range(10))
+
+
+@pytest.mark.parametrize("case", ["thirds", "few", "many", "early"])
+def test_mix_stays_with_the_target_weights(docs, case):
+    sizes, weights = {
+        "thirds": ({"a": 1300, "b": 520, "c": 270}, {"a": .6283, "b": .2471, "c": .1246}),
+        "few": ({"a": 1500, "b": 12}, {"a": .996, "b": .004}),
+        "many": ({f"s{k}": 3 for k in range(300)} | {"hot": 450}, {f"s{k}": 3. for k in range(300)} | {"hot": 450.}),
+        "early": ({"a": 40, "b": 300, "c": 100}, {"a": 5., "b": 1., "c": 2.}),
+    }[case]
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    got = M.mix(docs([(i, "t", s) for i, s in enumerate(names)]), weights, block=1).select("source", "mix_slot").collect()
+    order = [s for _, s in sorted((r.mix_slot, r.source) for r in got)]
+    assert sorted(order) == sorted(names)
+    # slots passed and targets at each moment of the ideal mix, a step at a time between the ends of sources
+    moments = [0.0, *sorted({sizes[s] / weights[s] for s in sizes})]
+    passed = [sum(min(sizes[s], weights[s] * x) for s in sizes) for x in moments]
+    seen = collections.Counter()
+    for t, s in enumerate(order, 1):
+        seen[s] += 1
+        j = next(j for j in range(1, len(passed)) if t <= passed[j] + 1e-6)
+        x = moments[j - 1] + (t - passed[j - 1]) / (passed[j] - passed[j - 1]) * (moments[j] - moments[j - 1])
+        assert all(abs(seen[k] - min(sizes[k], weights[k] * x)) < 2.5 for k in sizes)
