@@ -39,6 +39,8 @@ BLOCK, CYCLE = 8, 200
 RESULT = ("mix_block", "mix_slot", "mix_place")
 #: Rows for a bucket of the hashed order.
 BUCKET_ROWS = 1000
+#: Slices planned by a task.
+SLICES = 8
 
 
 def _quotas(sizes: DataFrame, weights: Mapping[str, float] | None, cycle: int) -> DataFrame:
@@ -141,7 +143,8 @@ def plans(sources: DataFrame) -> DataFrame:
                 parts.append(np.stack([np.full(len(i), v) for v in (j, a.sum(), (b - a).sum())] + [i, (b - a)[i], a[i]]))
     table = pa.table(list(np.concatenate(parts, axis=1)), names=["first", "slot0", "slots", "i", "m", "had"])
     names = spark.createDataFrame([(i, r.s) for i, r in enumerate(every)], f"i long, s {sources.schema['s'].dataType.simpleString()}")
-    per = (spark.createDataFrame(table, schema).join(F.broadcast(names), "i")
+    # a given number of partitions, as slices are few bytes but long work
+    per = (spark.createDataFrame(table, schema).join(F.broadcast(names), "i").repartition(len(parts) // SLICES + 1, "first")
            .groupBy("first", "slot0", "slots").agg(F.array_sort(F.collect_list(F.struct("i", "m", "had", "s"))).alias("who")))
     slots = (per.withColumn("order", _first_due())
              .select("first", "slot0", "slots", "who", F.posexplode("order").alias("at", "j"))
