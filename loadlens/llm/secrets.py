@@ -1,13 +1,15 @@
 """Operator 1: secret scan with dictionary-primed zstandard novelty.
 
 Base spans come from three fixed patterns (kinds assign, access, hex).  The
-method adds spans of kind ``novel``: a string of 16 or more key characters with
-a sensitive word in the 48 characters before it is compressed with zstandard
+method adds spans of kind ``novel``: a string of 16 or more key characters that
+begins within the 48 characters behind a sensitive word is compressed with zstandard
 behind the text around it, under a dictionary of usual identifiers.  The bytes
 by which it lengthens the compressed surroundings are its novelty; natural
 words and repeats of the surroundings cost little, random keys cost about
 their entropy.  Strings of mixed characters with at least ``NOVEL`` marginal
-bytes per character that overlap no base span are reported.
+bytes per character that overlap no base span are reported.  A sensitive word
+may lie in a run of key characters itself, as in auth=KEY; what follows the word
+and its separator is then judged by itself, up to the next such word.
 
 Spans are in code points, end exclusive.  A null text is an empty one and has
 no spans; doc_id may be null; repeated rows give repeated rows.
@@ -15,6 +17,7 @@ no spans; doc_id may be null; repeated rows give repeated rows.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -37,6 +40,9 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?\b|pwd|secret|token|api[_-]?key|credential|bearer|private[_ -]?key|auth|signature", re.I | re.A)
 BEFORE, AROUND = 48, 256
+MIN_RUN = 16
+#: What stands between a sensitive word and the rest of its run: the end of a name with its "=", or separators.
+SEPARATOR = re.compile(r"[A-Za-z_-]{0,32}=+(?=[A-Za-z0-9+/_-])|[=_/+-]*")
 #: Marginal compressed bytes per character from which a string counts as incompressible.
 NOVEL = 0.9
 #: Keys mix letters with digits, or the cases of letters; a lone word does not.
@@ -78,18 +84,27 @@ class Novelty:
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no base span covers."""
     out = []
-    reach = -1
-    for m in SENSITIVE.finditer(text):
-        for c in CANDIDATE.finditer(text, max(m.end(), reach), min(len(text), m.end() + BEFORE)):
+    reach = far = -1
+    words = [(m, SEPARATOR.match(text, m.end())) for m in SENSITIVE.finditer(text)]
+    named = [m.start() for m, gap in words if "=" in gap[0]]   # a word and its "=" begin a piece of their own
+    for m, gap in words:
+        at = max(gap.end(), reach)
+        last = m.end() + BEFORE
+        while c := CANDIDATE.search(text, at, min(len(text), last + MIN_RUN)):
             start = c.start()
-            if start and CANDIDATE.match(text, start - 1):      # the run began earlier; it is judged whole
-                continue
-            end = CANDIDATE.match(text, start).end()
-            reach = end
-            if any(a < end and start < b for a, _, b in base):
-                continue
-            if MIXED.search(text[start:end]) and novelty.of(text, start, end) >= NOVEL:
-                out.append((start, 3, end))
+            if start >= far:
+                far = CANDIDATE.match(text, start).end()
+            end = far                                            # of the whole run
+            k = bisect.bisect_left(named, start)
+            cut = k < len(named) and named[k] < end              # the rest is judged behind its own word
+            if cut:
+                end = named[k]
+            at = reach = end
+            if end - start >= MIN_RUN and not any(a < end and start < b for a, _, b in base):
+                if MIXED.search(text[start:end]) and novelty.of(text, start, end) >= NOVEL:
+                    out.append((start, 3, end))
+            if cut:
+                break
     return out
 
 

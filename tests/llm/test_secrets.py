@@ -57,3 +57,18 @@ def test_redaction_takes_effect_and_keeps_rows_and_columns(docs):
     assert out.columns == docs(rows).columns and out.dtypes == docs(rows).dtypes
     got = sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str)
     assert got == sorted([(1, "my [SECRET] end", 15), (2, None, None), (3, "clean", 5), (3, "clean", 5), (None, "x [SECRET]", 10)], key=str)
+
+
+def report(text):
+    return [text[a:b] for a, k, b in S.spans_of(text, S.Novelty())[1] if k == 3]
+
+
+def test_words_within_the_run_and_keys_up_to_48_characters_off():
+    key = base64.b64encode(random.Random(5).randbytes(24)).decode()
+    for lead in ("auth=", "signature=", "PWD=", "private_key=", "https://a.b/c?x=1&auth=", "x auth-", "authorization_code=", "bearer auth=", "token signature="):
+        assert report(f"{lead}{key} end") == [key], lead
+    other = base64.b64encode(random.Random(6).randbytes(24)).decode()
+    assert report(f"auth={key}&signature={other}") == [key, other]
+    for off in range(1, 60):
+        assert report(f"see signature{(' of it' * 10)[:off - 1]} {key}\n") == ([key] if off <= 48 else []), off
+    assert report("the authorization of understandability-notwithstanding and auth=internationalization") == []
