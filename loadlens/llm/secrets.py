@@ -3,11 +3,14 @@
 Base spans come from three fixed patterns (kinds assign, access, hex).  The
 method adds spans of kind ``novel``: a string of 16 or more key characters that
 begins within the 48 characters behind a sensitive word is compressed with zstandard
-behind the text around it, under a dictionary of usual identifiers.  The bytes
-by which it lengthens the compressed surroundings are its novelty; natural
-words and repeats of the surroundings cost little, random keys cost about
-their entropy.  Strings of mixed characters with at least ``NOVEL`` marginal
-bytes per character that overlap no base span are reported.  A sensitive word
+behind the text before it, under a dictionary of usual identifiers.  The bytes
+by which it lengthens the compressed text are its novelty; natural words and
+repeats of the text cost little, random keys cost about their entropy.  Strings
+of mixed characters that overlap no base span are reported when they cost at
+least ``NOVEL`` bytes per character, or that share of what random strings of
+their alphabet and length cost in the same place.  A string that was reported
+once in a text, or that ends a base span of it, is reported wherever it has a
+sensitive context; a first copy without one makes the next compressible.  A sensitive word
 may lie in a run of key characters itself, as in auth=KEY; what follows the word
 and its separator is then judged by itself, up to the next such word.
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -43,10 +47,12 @@ BEFORE, AROUND = 48, 256
 MIN_RUN = 16
 #: What stands between a sensitive word and the rest of its run: the end of a name with its "=", or separators.
 SEPARATOR = re.compile(r"[A-Za-z_-]{0,32}=+(?=[A-Za-z0-9+/_-])|[=_/+-]*")
-#: Marginal compressed bytes per character from which a string counts as incompressible.
+#: Marginal compressed bytes per character, or share of a random string's, from which a string counts as incompressible.
 NOVEL = 0.9
+#: Random strings that a string is compared with.
+CONTROLS = 4
 #: Keys mix letters with digits, or the cases of letters; a lone word does not.
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|[a-z][A-Z]")
+MIXED = re.compile(r"\A(?=.*[0-9])(?=.*[A-Za-z])|[a-z][A-Z]")
 
 # Usual identifiers that prime the compressor.
 IDENTIFIERS = """
@@ -75,15 +81,34 @@ class Novelty:
         primed = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=6, dict_data=primed, write_checksum=False, write_content_size=False)
 
+    def _cost(self, before: bytes, key: str) -> int:
+        return len(self.press.compress(before + key.encode())) - len(self.press.compress(before))
+
     def of(self, text: str, start: int, end: int) -> float:
-        around = (text[max(0, start - AROUND):start] + "\n" + text[end:end + AROUND]).encode()
-        key = text[start:end].encode()
-        return (len(self.press.compress(around + key)) - len(self.press.compress(around))) / (end - start)
+        """Marginal bytes per character, or per byte of the cheapest random string where that is less than a character's."""
+        before, key = text[max(0, start - AROUND):start].encode(), text[start:end]
+        own = self._cost(before, key)
+        if own >= NOVEL * len(key):
+            return own / len(key)
+        return own / max(1, min(len(key), *(self._cost(before, x) for x in controls(key))))
+
+
+def controls(key: str) -> list[str]:
+    """Fixed random strings of the length of ``key`` over the kinds of characters that it has."""
+    kinds = [("0123456789", "0123456789"), ("abcdef", "abcdefghijklmnopqrstuvwxyz"), ("ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")]
+    letters, rest = "", set(key)
+    for few, every in kinds:
+        own = rest & set(every)
+        letters += "" if not own else few if own <= set(few) else every
+        rest -= own
+    letters += "".join(sorted(rest))
+    rnd = random.Random(len(key))
+    return ["".join(rnd.choices(letters, k=len(key))) for _ in range(CONTROLS)]
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no base span covers."""
-    out = []
+    out, known = [], set()
     reach = far = -1
     words = [(m, SEPARATOR.match(text, m.end())) for m in SENSITIVE.finditer(text)]
     named = [m.start() for m, gap in words if "=" in gap[0]]   # a word and its "=" begin a piece of their own
@@ -101,7 +126,10 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
                 end = named[k]
             at = reach = end
             if end - start >= MIN_RUN and not any(a < end and start < b for a, _, b in base):
-                if MIXED.search(text[start:end]) and novelty.of(text, start, end) >= NOVEL:
+                key = text[start:end]
+                if MIXED.search(key) and (key in known or any(text.endswith(key, a, b) for a, _, b in base)
+                                          or novelty.of(text, start, end) >= NOVEL):
+                    known.add(key)
                     out.append((start, 3, end))
             if cut:
                 break

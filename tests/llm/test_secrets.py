@@ -72,3 +72,24 @@ def test_words_within_the_run_and_keys_up_to_48_characters_off():
     for off in range(1, 60):
         assert report(f"see signature{(' of it' * 10)[:off - 1]} {key}\n") == ([key] if off <= 48 else []), off
     assert report("the authorization of understandability-notwithstanding and auth=internationalization") == []
+
+
+def test_copies_of_a_key_are_all_reported():
+    key = base64.b64encode(random.Random(9).randbytes(24)).decode()
+    assert report(f"bearer {key} and bearer {key}") == [key, key]
+    assert report(f"auth={key}\nexport SIGNATURE={key}\n") == [key, key]
+    assert report(f"password={key}\nexport AUTH={key}\n") == [key]  # the first is a base span
+
+
+def test_random_strings_of_any_length_and_alphabet_are_novel_and_words_are_not():
+    rnd = random.Random(12)
+    words = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they".split()
+    lead = lambda: " ".join(rnd.choice(words) for _ in range(60)) + " bearer "
+    small, large = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for letters in ("0123456789ABCDEF", small + "0123456789", small + large + "0123456789+/"):
+        for n in (32, 64, 128, 200, 400, 1000):
+            keys = ["".join(rnd.choice(letters) for _ in range(n)) for _ in range(20)]
+            assert sum(report(lead() + k) == [k] for k in keys) >= 16, (letters, n)
+    for n in (64, 200, 400):
+        for sep in "-_":
+            assert report(lead() + sep.join(rnd.choice(words) for _ in range(n // 4)) + "24") == []
