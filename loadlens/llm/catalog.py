@@ -1,10 +1,10 @@
-"""Registered queries of the ten operators and the pipeline, with their SQL where SQL can express them."""
+"""Registered queries of the thirteen operators and the pipeline, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 import corpus_pipeline
-from loadlens.llm import (conversations, decontaminate, language_model, mixing, near_vectors, repeats, secrets, shingle_join,
-                          token_counts, toxicity)
+from loadlens.llm import (conversations, decontaminate, language_model, mixing, near_vectors, repeats, rule_quality, secrets,
+                          shingle_join, token_counts, toxicity, vector_codes, whitening)
 from loadlens.llm.tables import table
 
 
@@ -48,9 +48,22 @@ def op10_benchmark_alignment(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_rule_quality(spark, sf_dir):
+    return rule_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_polarisation_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_novelty, op2_chat_snapshots, op3_suffix_repeats, op4_near_vectors, op5_recurrent_lm, op6_unigram_token_counts,
-    op7_shingle_jaccard_join, op8_toxicity_nnpu, op9_pfair_mixing, op10_benchmark_alignment,
+    op7_shingle_jaccard_join, op8_toxicity_nnpu, op9_pfair_mixing, op10_benchmark_alignment, op11_vector_codes,
+    op12_rule_quality, op13_polarisation_whitening,
 )} | {"pipeline": corpus_pipeline.run}
 
-ORACLE: dict[str, str] = {"op2_chat_snapshots": conversations.SQL}
+ORACLE: dict[str, str] = {"op2_chat_snapshots": conversations.SQL, "op11_vector_codes": vector_codes.SQL}
