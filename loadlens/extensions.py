@@ -1,7 +1,8 @@
 """User extension points (UX1-UX3).
 
 * UX1 custom feature functions: any ``DataFrame -> DataFrame`` registered
-  here is applied after the built-in groups with ``df.transform``;
+  here is applied by ``engineer_features`` after the built-in groups, with
+  ``df.transform``;
 * UX2 custom models: any MLlib ``Estimator`` factory added to the menu;
 * UX3 custom objectives: a function returning a ``Column`` - the load
   search (:func:`loadplan.best_candidate`) minimises whatever column it
@@ -33,8 +34,9 @@ def register_model(problem: str, name: str, factory: Callable) -> None:
 
 
 def models_for(problem: str) -> dict[str, Callable]:
+    """The model menu of a problem, which holds the registered models."""
     from loadlens.operators.models import model_menu
-    return {**model_menu(problem), **CUSTOM_MODELS.get(problem, {})}
+    return model_menu(problem)
 
 
 def score_with(df: DataFrame, objective: Callable[[], Column], name: str = "objective") -> DataFrame:

@@ -107,7 +107,10 @@ def ensemble(df: DataFrame, columns: Sequence[str], key: str = "test_id", contam
     counts = {r["column"]: r["count"] for r in long.groupBy("column").count().collect()}
     columns = [c for c in columns if counts.get(c, 0) >= MIN_VALUES]
     long = long.where(F.col("column").isin(columns)) if columns else long.limit(0)
-    scored = detectors.isolation_forest(detectors.local_outlier_factor(long, key, contamination=contamination), key, contamination)
+    rows = detectors.numbered(long, key)                        # both detectors work on this numbering
+    scored = detectors.local_outlier_factor(rows, key, contamination=contamination)
+    forest = detectors.fit_isolation_forest(rows, key)
+    scored = detectors.flagged_forest(scored, forest, contamination)
     scored = robust_distance(statistical_flags(scored, thresholds(df, columns)), fit_robust(df, columns, contamination))
     flags = {"v_forest": "iforest_outlier", "v_lof": "lof_outlier", "v_envelope": "robust_outlier"}
     return vote(scored.withColumns({v: (~F.col(f)).cast("int") for v, f in flags.items()}), list(flags))
@@ -149,11 +152,11 @@ def anomaly_rates(scored: DataFrame) -> DataFrame:
         (F.count_if("is_anomaly") / F.count("*")).alias("anomaly_rate"))
 
 
-def anomaly_alerts(rates: DataFrame, alert_threshold: float = 0.1) -> DataFrame:
-    """AN5: alert per column with a rate above the threshold."""
+def anomaly_alerts(rates: DataFrame, alert_threshold: float = 0.1, by: Sequence[str] = ()) -> DataFrame:
+    """AN5: alert per column (and ``by``, as a time window) with a rate above the threshold."""
     msg = F.format_string("High anomaly rate detected in %s: %.2f%%", F.col("column"), F.col("anomaly_rate") * 100)
     return rates.where(F.col("anomaly_rate") > alert_threshold).select(
-        "column", "anomaly_rate", "anomaly_count",
+        *by, "column", "anomaly_rate", "anomaly_count",
         F.when(F.col("anomaly_rate") > 0.2, "high").otherwise("medium").alias("severity"),
         msg.alias("message"),
         F.array(*[F.lit(r) for r in ALERT_RECOMMENDATIONS]).alias("recommendations"))

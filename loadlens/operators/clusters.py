@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.operators.filters import mean_impute
-from loadlens.operators.quantiles import long_quantiles, long_values
+from loadlens.operators.ordering import join_keys
+from loadlens.operators.quantiles import long_values, quantile_rows
 from loadlens.operators.scaling import apply_scaler, fit_scaler
 from loadlens.schema import numeric_columns
 
@@ -52,10 +53,8 @@ def cluster_characteristics(labelled: DataFrame, features: Sequence[str]) -> Dat
     lv = long_values(labelled, features, ["cluster"]).where(F.col("value").isNotNull())
     mom = lv.groupBy("cluster", "column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                                               F.min("value").alias("min"), F.max("value").alias("max"))
-    med = long_quantiles(lv, ["cluster", "column"], "value", [0.5])
-    mdf = labelled.sparkSession.createDataFrame([(int(c), col, v) for (c, col, _), v in med.items()],
-                                                "cluster int, column string, median double")
-    return mom.join(mdf, ["cluster", "column"], "left").withColumnRenamed("column", "feature")
+    med = quantile_rows(lv, ["cluster", "column"], "value", [0.5]).select("cluster", "column", F.col("value").alias("median"))
+    return join_keys(mom, med, ["cluster", "column"], "left").withColumnRenamed("column", "feature")
 
 
 def performance_profile(labelled: DataFrame) -> DataFrame:

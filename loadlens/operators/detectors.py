@@ -34,6 +34,10 @@ SAMPLE_SIZE = 256
 # Rows of a column whose LOF one task computes at a time.
 BLOCK_ROWS = 20_000
 N_TREES = 100
+# Added to a mean reachability distance, so that repeated values have a density.
+EPS = 1e-10
+# A score is an outlier's if it exceeds the cut by more than the rounding of sums in another order.
+ROUNDING = 1e-9
 
 
 def _c(n):
@@ -83,6 +87,16 @@ def _path_length(x: np.ndarray, tree) -> np.ndarray:
     return depth[node] + _c(size[node])
 
 
+def numbered(long: DataFrame, key: str = "test_id") -> DataFrame:
+    """``long`` with each row's position among its column's values in ``_i``, stored; as it is if it has them already.
+
+    Detectors that work on the same rows share one numbering.
+    """
+    if "_i" in long.columns:
+        return long
+    return stored(row_index(long, ["value", key], ["column"], name="_i"), "numbered-values")
+
+
 def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N_TREES,
                          sample_size: int = SAMPLE_SIZE, seed: int = 42) -> dict:
     """Trees per column, grown on hash-drawn samples of ``sample_size`` values.
@@ -102,7 +116,7 @@ def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N
                              for x in (F.lit(c), F.lit(int(min(1.0, 2.0 * sample_size / max(n, 1)) * 2 ** 31)))])
     tid = F.sequence(F.lit(0), F.lit(n_trees - 1))
     k = F.col("_i")
-    long = row_index(long.select(key, "column", "value"), ["value", key], ["column"], name="_i")
+    long = numbered(long, key)
     picked = (long.withColumn("_thr", F.element_at(thr_map, F.col("column")))
                   .select("column", "value", k.alias("_k"), F.explode(F.filter(
                       tid, lambda t: F.pmod(F.xxhash64(k, t, F.lit(seed)), F.lit(2 ** 31)) < F.col("_thr"))).alias("tree")))
@@ -151,15 +165,19 @@ def isolation_scores(long: DataFrame, forest: dict) -> DataFrame:
 
 def isolation_forest(long: DataFrame, key: str = "test_id", contamination: float = 0.1, seed: int = 42) -> DataFrame:
     """AN2a: scores and outlier flag (score above its (1-contamination) quantile)."""
-    forest = fit_isolation_forest(long, key, seed=seed)
+    return flagged_forest(long, fit_isolation_forest(long, key, seed=seed), contamination)
+
+
+def flagged_forest(long: DataFrame, forest: dict, contamination: float = 0.1) -> DataFrame:
+    """Forest scores and outlier flag of the rows, with the cut of their own scores."""
     return _flagged(stored(isolation_scores(long, forest), "forest-scores"), "iforest_score", "iforest_outlier", contamination)
 
 
-def _lof_block(values: np.ndarray, k: int) -> np.ndarray:
-    """LOF of every value of a sorted block (self excluded from its neighbours)."""
+def _lof_block(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """LOF, k-distance and reachability density of every value of a sorted block (self excluded from its neighbours)."""
     n = len(values)
     if n <= 1:
-        return np.ones(n)
+        return np.ones(n), np.zeros(n), np.full(n, 1.0 / EPS)
     kk = min(k, n - 1)
     offs = np.concatenate([np.arange(-kk, 0), np.arange(1, kk + 1)])
     pos = np.arange(n)[:, None] + offs[None, :]
@@ -171,8 +189,17 @@ def _lof_block(values: np.ndarray, k: int) -> np.ndarray:
     nd = np.take_along_axis(dist, order, axis=1)
     kdist = nd[:, -1]
     reach = np.maximum(kdist[nb], nd)
-    lrd = 1.0 / (reach.mean(axis=1) + 1e-10)
-    return lrd[nb].mean(axis=1) / lrd
+    lrd = 1.0 / (reach.mean(axis=1) + EPS)
+    return lrd[nb].mean(axis=1) / lrd, kdist, lrd
+
+
+def blocks_with_halo(rows: DataFrame, halo: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Numbered rows with their own block ``_own``, once per block ``_home`` that they lie in or within ``halo`` rows of."""
+    size = max(block_rows, halo)
+    at, home = F.col("_i") % size, F.floor(F.col("_i") / size).cast("long")
+    homes = F.filter(F.array(home, F.when(at < halo, home - 1), F.when(at >= size - halo, home + 1)),
+                     lambda h: h.isNotNull() & (h >= 0))
+    return rows.select("*", home.alias("_own"), F.explode(homes).alias("_home"))
 
 
 def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, contamination: float = 0.1,
@@ -183,28 +210,26 @@ def local_outlier_factor(long: DataFrame, key: str = "test_id", k: int = 20, con
     length; a row also goes to the neighbouring block if it lies within 3k rows
     of it, which is as far as a value's LOF can see.
     """
-    halo = 3 * k
-    rows = max(block_rows, halo)
-    at = F.col("_i") % rows
-    home = F.floor(F.col("_i") / rows).cast("long")
-    homes = F.filter(F.array(home, F.when(at < halo, home - 1), F.when(at >= rows - halo, home + 1)),
-                     lambda h: h.isNotNull() & (h >= 0))
-    numbered = row_index(long, ["value", key], ["column"], name="_i")
-    dealt = numbered.select(*long.columns, "_i", home.alias("_own"), F.explode(homes).alias("_home"))
-    kept = list(long.columns)
+    kept = [c for c in long.columns if c != "_i"]
+    dealt = blocks_with_halo(numbered(long, key), 3 * k, block_rows).select(*kept, "_i", "_own", "_home")
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i", kind="stable").reset_index(drop=True)
-        pdf["lof"] = _lof_block(pdf["value"].to_numpy(dtype=float), k)
+        pdf["lof"] = _lof_block(pdf["value"].to_numpy(dtype=float), k)[0]
         return pdf[pdf["_own"] == pdf["_home"]][[*kept, "lof"]]
     scored = stored(dealt.groupBy("column", "_home").applyInPandas(
-        score, StructType([*long.schema.fields, StructField("lof", DoubleType())])), "lof")
+        score, StructType([*[long.schema[c] for c in kept], StructField("lof", DoubleType())])), "lof")
     return _flagged(scored, "lof", "lof_outlier", contamination)
 
 
 def _flagged(scored: DataFrame, score: str, flag: str, contamination: float) -> DataFrame:
     """``flag``: the score lies above the column's (1 - contamination) quantile."""
     cut = long_quantiles(scored, ["column"], score, [1 - contamination])
-    pairs = [x for (c, _), v in cut.items() for x in (F.lit(c), F.lit(v))]
+    return scored.withColumn(flag, above({c: v for (c, _), v in cut.items()}, score))
+
+
+def above(cuts: dict, score: str):
+    """Whether the score of a row's column lies above the column's cut, by more than rounding."""
+    pairs = [x for c, v in cuts.items() for x in (F.lit(c), F.lit(float(v)))]
     threshold = F.element_at(F.create_map(*pairs), F.col("column")) if pairs else F.lit(None).cast("double")
-    return scored.withColumn(flag, F.col(score) > threshold)
+    return F.col(score) > threshold * (1 + ROUNDING)

@@ -12,20 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.operators.quantiles import long_quantiles, long_values
+from loadlens.operators.ordering import join_keys, row_index, stored
+from loadlens.operators.quantiles import long_values, quantile_rows
 from loadlens.schema import numeric_columns
 
 EPS = 1e-8
 
 
+def occurrences(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``df`` with the number of each row among the rows of its key, by ``order``, in ``_occurrence``.
+
+    Only keys that repeat are numbered, through sorted ranges, so that a hot
+    key is split; a key that occurs once is 0 and isn't sorted.
+    """
+    keys = list(keys)
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    repeated = stored(repeated, "repeated-keys")
+    if not repeated.head(1):
+        return df.withColumn("_occurrence", F.lit(0).cast("long"))
+    hot = row_index(join_keys(df, repeated, keys, "left_semi"), [order], keys, name="_occurrence")
+    return join_keys(df, repeated, keys, "left_anti").withColumn("_occurrence", F.lit(0).cast("long")).unionByName(hot)
+
+
 def prediction_deviation(pred: DataFrame, actual: DataFrame, key: str = "test_id",
                          threshold: float = 0.2) -> DataFrame:
     """DR1: per (key, metric) deviation |p-a|/a (|p-a| when a=0), flagged above threshold.
 
     Inputs are long tables (key, metric, predicted) and (key, metric, actual);
-    only metrics present in both are compared (inner join, J5).
+    only metrics present in both are compared (J5).  A (key, metric) that
+    repeats is paired occurrence by occurrence, in the order of its values, so
+    that k rows on each side give k pairs; a null key matches a null key.
     """
-    j = pred.join(actual, [key, "metric"], "inner")
+    at = [key, "metric", "_occurrence"]
+    j = join_keys(occurrences(pred, [key, "metric"], "predicted"), occurrences(actual, [key, "metric"], "actual"), at).drop("_occurrence")
     dev = F.when(F.col("actual") != 0, F.abs(F.col("predicted") - F.col("actual")) / F.col("actual")) \
            .otherwise(F.abs(F.col("predicted") - F.col("actual")))
     return j.withColumn("deviation", dev).withColumn("is_anomaly", F.col("deviation") > threshold)
@@ -52,15 +71,9 @@ def profile_long(df: DataFrame, columns: Sequence[str] | None = None, by: Sequen
     mom = lv.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                                 F.min("value").alias("min"), F.max("value").alias("max"),
                                 F.count("value").alias("count"))
-    q = long_quantiles(lv, keys, "value", [0.25, 0.5, 0.75])
-    spark = df.sparkSession
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by]
-                       + ["column string", "q25 double", "median double", "q75 double"])
-    qrows = {}
-    for k, v in q.items():
-        qrows.setdefault(k[:-1], {})[k[-1]] = v
-    qdf = spark.createDataFrame([(*g, d.get(0.25), d.get(0.5), d.get(0.75)) for g, d in qrows.items()], schema)
-    return mom.join(qdf, keys, "left")
+    q = quantile_rows(lv, keys, "value", [0.25, 0.5, 0.75]).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))])
+    return join_keys(mom, q, keys, "left")
 
 
 def mean_shift(recent: DataFrame, baseline: DataFrame, threshold: float = 0.3,
@@ -106,7 +119,7 @@ def data_drift(current: DataFrame, baseline_profile: DataFrame, threshold: float
     cur = profile_long(current, cols, by)
     keys = [*by, "column"]
     b = baseline_profile.select(*keys, *[F.col(c).alias(f"b_{c}") for c in ("mean", "std", "q25", "q75")])
-    j = cur.join(b, keys, "inner")
+    j = join_keys(cur, b, keys)
 
     def shift(c):
         return F.abs(F.col(c) - F.col(f"b_{c}")) / (F.abs(F.col(f"b_{c}")) + EPS)

@@ -35,6 +35,13 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = (), actual: str = "act
     return out.withColumn("r2", 1 - div("_sse", "_sst")).drop("_sse", "_sst")
 
 
+def best_model(comparison: DataFrame) -> DataFrame:
+    """S3: the row of the model with the greatest R^2 (ties by name)."""
+    best = comparison.where(F.col("r2").isNotNull() & ~F.isnan("r2")).agg(
+        F.min_by(F.struct(*comparison.columns), F.struct((-F.col("r2")).alias("r"), "model")).alias("b"))
+    return best.where("b is not null").select("b.*")
+
+
 def confusion(df: DataFrame, by: Sequence[str] = (), actual: str = "actual",
               predicted: str = "predicted") -> DataFrame:
     """Confusion counts (by..., actual, predicted, n)."""

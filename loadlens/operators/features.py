@@ -16,8 +16,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.extensions import apply_custom_features
 from loadlens.functions.columns import cut, div, mean_of, sample_std_of
-from loadlens.operators.ordering import average_rank_pct, join_keys, running, stored
+from loadlens.operators.ordering import ROWS_PER_RANGE, average_rank_pct, join_keys, running, stored
 from loadlens.schema import BASE_FEATURES, SCORE_COLUMNS
 
 # Bin edges and labels of the categorical features.
@@ -59,11 +60,14 @@ def fit_feature_stats(df: DataFrame) -> FeatureStats:
         st.min_users, st.max_users = r.get("min_users"), r.get("max_users")
         st.min_rps = r.get("min_rps")
         st.payload_any = bool(r.get("payload_any", False))
-    for c in ("network_condition", "browser"):
-        if _has(df, c):
-            values = df.select(F.col(c).cast("string").alias("_cv")).where(F.col("_cv").isNotNull()).distinct()
-            codes = running(values, ["_cv"], (), {"_code": ("count", "_cv")})
-            st.codes[c] = stored(codes.select("_cv", (F.col("_code") - 1).cast("int").alias("_code")), "codes")
+    named = [c for c in ("network_condition", "browser") if _has(df, c)]
+    if named:
+        values = df.select(*[F.col(c).cast("string").alias(c) for c in named]).unpivot([], named, "column", "_cv").where("_cv is not null")
+        values = stored(values.distinct(), "categories")
+        ranges = values.count() // ROWS_PER_RANGE + 1
+        codes = running(values, ["_cv"], ["column"], {"_code": ("count", "_cv")}, ranges)   # both columns in one numbering
+        codes = codes.select("column", "_cv", (F.col("_code") - 1).cast("int").alias("_code"))
+        st.codes = {c: codes.where(F.col("column") == c).drop("column") for c in named}
     return st
 
 
@@ -224,7 +228,7 @@ def complexity_features(df: DataFrame, st: FeatureStats) -> DataFrame:
 
 
 def engineer_features(df: DataFrame, st: FeatureStats | None = None) -> DataFrame:
-    """All feature groups in the reference order; identity columns kept."""
+    """All feature groups in the reference order, then the user's own (UX1); identity columns kept."""
     st = st or fit_feature_stats(df)
     out = basic_features(df)
     out = load_features(out, st)
@@ -234,7 +238,19 @@ def engineer_features(df: DataFrame, st: FeatureStats | None = None) -> DataFram
     out = network_features(out, st)
     out = frontend_features(out, st)
     out = interaction_features(out, st)
-    return complexity_features(out, st)
+    return apply_custom_features(complexity_features(out, st))
+
+
+def feature_names(df: DataFrame) -> list[str]:
+    """The columns that :func:`engineer_features` adds, by the schema alone: nothing is fitted or read."""
+    nothing = FeatureStats(codes={})
+    out = load_features(basic_features(df), nothing, rank=False)
+    for group in (reliability_features, time_features):
+        out = group(out)
+    for group in (ratio_features, network_features, frontend_features, interaction_features, complexity_features):
+        out = group(out, nothing)
+    rank = ["load_progression"] if _has(df, "concurrent_users") else []
+    return [c for c in out.columns if c not in df.columns] + rank
 
 
 def feature_summary(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.operators.ordering import row_index, running
+from loadlens.operators.ordering import before, keys_at, running
 
 # Thresholds of the load search and the risk assessment.
 LATENCY_LIMIT_MS = 2000.0
@@ -215,25 +215,32 @@ def best_so_far(df: DataFrame, objective: str, order: Sequence[str], by: Sequenc
     return running(df, order, by, {"best_so_far": ("min", objective)})
 
 
-def timeseries_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5) -> DataFrame:
-    """Expanding-window folds; rows (fold, train_rows, test_rows, test_start, test_end).
+def fold_bounds(df: DataFrame, order: Sequence[str], n_splits: int = 5) -> list[tuple]:
+    """The order keys (begin, end) of each fold's test rows; None as end is the end of the table.
 
     Test size is n // (n_splits + 1); fold i trains on the first
     n - (n_splits - i) * test_size rows and tests on the next test_size.
+    Rows that tie on the whole key stay on one side of a bound.
     """
-    idx = row_index(df.select(*order), list(order), name="_i")
-    n = idx.count()
-    ts = n // (n_splits + 1)
-    folds = []
-    for i in range(n_splits):
-        end = n - (n_splits - i) * ts
-        folds.append((i, end, end + ts))
+    n = df.count()
+    size = n // (n_splits + 1)
+    if not size:
+        return []
+    starts = [n - (n_splits - i) * size for i in range(n_splits)]
+    keys = keys_at(df, order, starts)
+    found = [keys[s] for s in starts]
+    return list(zip(found, [*found[1:], None]))
+
+
+def timeseries_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5) -> DataFrame:
+    """Expanding-window folds; rows (fold, train_rows, test_rows, test_start, test_end), counted by the folds' predicates."""
+    bounds = fold_bounds(df, order, n_splits)
     aggs = []
-    for i, end, stop in folds:
-        aggs += [F.count_if(F.col("_i") < end).alias(f"tr{i}"),
-                 F.count_if((F.col("_i") >= end) & (F.col("_i") < stop)).alias(f"te{i}")]
-    r = idx.agg(*aggs).first()
-    rows = [(i, int(r[f"tr{i}"]), int(r[f"te{i}"]), end, stop - 1) for i, end, stop in folds]
+    for i, (begin, end) in enumerate(bounds):
+        train = before(order, begin)
+        aggs += [F.count_if(train).alias(f"tr{i}"), F.count_if(~train & before(order, end)).alias(f"te{i}")]
+    r = df.agg(*aggs).first() if aggs else {}
+    rows = [(i, r[f"tr{i}"], r[f"te{i}"], r[f"tr{i}"], r[f"tr{i}"] + r[f"te{i}"] - 1) for i in range(len(bounds))]
     return df.sparkSession.createDataFrame(rows, "fold int, train_rows long, test_rows long, test_start long, test_end long")
 
 

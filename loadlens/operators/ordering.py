@@ -111,6 +111,35 @@ def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
             .withColumn(name, (F.col(name) - 1).cast("long")))
 
 
+def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], num_ranges: int | None = None) -> dict[int, tuple]:
+    """The order keys at the given 0-based positions of ``df`` in ``order`` order (few positions; nulls first).
+
+    Only the order columns are dealt into sorted ranges; the ranges' counts
+    tell which of them hold a wanted position, and only those are numbered.
+    """
+    order = list(order)
+    rows = ranged(df.select(*order), order, (), num_ranges)
+    counts = rows.groupBy(RANGE).agg(F.count("*").alias("_cnt"))
+    first = F.coalesce(F.sum("_cnt").over(_earlier([])), F.lit(0)).cast("long")     # a row per range
+    wanted = F.array(*[F.lit(int(r)) for r in ranks]) if ranks else F.array().cast("array<long>")
+    held = counts.withColumn("_first", first).withColumn("_at", F.filter(
+        wanted, lambda r: (F.col("_first") <= r) & (r < F.col("_first") + F.col("_cnt")))).where(F.size("_at") > 0)
+    numbered = join_keys(rows, held, [RANGE]).withColumn(
+        "_pos", F.col("_first") + F.row_number().over(Window.partitionBy(RANGE).orderBy(*order)) - 1)
+    return {r["_pos"]: tuple(r[c] for c in order) for r in numbered.where(F.array_contains("_at", F.col("_pos"))).collect()}
+
+
+def before(order: Sequence[str], key: tuple | None):
+    """Whether a row comes before ``key`` in ``order`` order (nulls first); every row does if ``key`` is None."""
+    if key is None:
+        return F.lit(True)
+    out = F.lit(False)
+    for c, v in reversed(list(zip(order, key))):
+        less = F.lit(False) if v is None else F.col(c).isNull() | (F.col(c) < F.lit(v))
+        out = F.coalesce(less, F.lit(False)) | (F.col(c).eqNullSafe(F.lit(v)) & out)
+    return out
+
+
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
                 num_ranges: int | None = None) -> DataFrame:
     """Distinct non-null values with their row count and cumulative count.

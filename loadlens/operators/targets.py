@@ -43,3 +43,12 @@ def create_targets(df: DataFrame, approx: bool = False, wanted: Sequence[str] |
             new["anomaly_target"] = flag(F.col("avg_response_time") > F.lit(upper))
     new = {k: v for k, v in new.items() if wanted is None or k in wanted}
     return df.withColumns(new) if new else df
+
+
+def target_columns(df: DataFrame) -> list[str]:
+    """The columns that :func:`create_targets` adds, by the schema alone."""
+    has = set(df.columns)
+    names = {"avg_response_time": ["latency_target", "latency_log"], "requests_per_sec": ["throughput_target"],
+             "error_rate": ["failure_target", "reliability_target"]}
+    flags = ["performance_target", "anomaly_target"] if "avg_response_time" in has else []
+    return [t for c, targets in names.items() if c in has for t in targets] + flags

@@ -54,6 +54,20 @@ def metric_trends(df: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS, time_
         "start", "end", F.datediff("end", "start").alias("duration_days"))
 
 
+# Fixed value: the message for a missing time column.
+NO_TIME = "Time column '%s' not found"
+
+
+def trends_or_error(df: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS, time_col: str = "timestamp", key: str = "test_id",
+                    min_points: int = 10) -> DataFrame:
+    """TR1/TR2 with an ``error`` column: a missing time column gives one row that holds only the error."""
+    if time_col in df.columns:
+        return metric_trends(df, metrics, time_col, key, min_points).withColumn("error", F.lit(None).cast("string"))
+    empty = metric_trends(df.limit(0).withColumn(time_col, F.lit(None).cast("timestamp")), metrics, time_col, key, min_points)
+    row = df.sparkSession.createDataFrame([(NO_TIME % time_col,)], "error string")
+    return empty.limit(0).withColumn("error", F.lit(None).cast("string")).unionByName(row, allowMissingColumns=True)
+
+
 def overall_trend(trends: DataFrame, lower_is_better: Sequence[str] | None = None) -> DataFrame:
     """TR3: improving / degrading / stable lists and the majority direction.
 

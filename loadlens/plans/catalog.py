@@ -59,4 +59,4 @@ def register(key: str, sql: str | None = None, views: Sequence[str] = (), rnd: S
 
 def load_all() -> None:
     """Import every query module (each registers its keys)."""
-    from loadlens.plans import q_features, q_io, q_models, q_plan, q_profile, q_quality, q_runs  # noqa: F401
+    from loadlens.plans import q_features, q_insight, q_io, q_logs, q_models, q_plan, q_profile, q_quality, q_runs  # noqa: F401

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadlens.operators import features as FE
 from loadlens.operators import targets as TG
 from loadlens.plans.catalog import register
-from loadlens.sources.tables import order_configs, order_runs
+from loadlens.sources.tables import hourly_runs, order_configs, order_runs
 
 
 def _runs(spark, sf):
@@ -127,6 +127,19 @@ def features_time(spark, sf):
         "is_business_hours", "duration_minutes", "duration_category")
 
 
+@register("features_time_hourly", views=["hourly_runs"], sql="""
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS run_time, CAST(hour(window_start) AS INTEGER) AS hour_of_day,
+  CAST(isodow(window_start) - 1 AS INTEGER) AS day_of_week, CAST(isodow(window_start) - 1 IN (5, 6) AS INTEGER) AS is_weekend,
+  CAST(epoch(window_start) AS BIGINT) AS time_since_epoch,
+  CAST(hour(window_start) >= 9 AND hour(window_start) <= 17 AS INTEGER) AS is_business_hours
+FROM hourly_runs""")
+def features_time_hourly(spark, sf):
+    """FE15-FE18 on hourly runs, whose timestamps are strings and fall on every hour of the day."""
+    runs = hourly_runs(spark, sf).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("run_time"))
+    return FE.time_features(runs.withColumn("timestamp", F.col("run_time"))).select(
+        "run_time", "hour_of_day", "day_of_week", "is_weekend", "time_since_epoch", "is_business_hours")
+
+
 @register("features_network", views=["order_runs"], rnd=["network_speed_mbps", "network_speed_kbps", "network_performance_impact"], sql="""
 WITH codes AS (
   SELECT network_condition AS v, CAST(row_number() OVER (ORDER BY network_condition) - 1 AS INTEGER) AS code

@@ -94,7 +94,7 @@ def importances(spark, sf):
 
 def _clusters(spark, sf):
     r = order_runs(spark, sf)
-    return CL.cluster_runs(r.drop("total_failures"), k=3, seed=42)
+    return CL.cluster_runs(r, k=3, seed=42)
 
 
 @register("kmeans_clusters")
@@ -129,12 +129,76 @@ def isolation_forest(spark, sf):
     return DT.isolation_forest(long)
 
 
-@register("lof_1d")
+def _unpivoted(src, extra=""):
+    sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in KEY3)
+    return (f"(SELECT * FROM (UNPIVOT (SELECT test_id{extra}, {sel} FROM {src}) ON {', '.join(KEY3)} "
+            f"INTO NAME \"column\" VALUE value) WHERE value IS NOT NULL)")
+
+
+# Densities of the training values: neighbours are the 20 nearest of the 20 positions on either side, the lower position first.
+LOF_SQL = f"""
+t AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS i FROM {{source}}),
+around AS (SELECT "column" AS c, i, value, list({{{{'j': i, 'v': value}}}}) OVER (PARTITION BY "column" ORDER BY i ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS l FROM t),
+near AS MATERIALIZED (SELECT c, i, o.j AS j, abs(o.v - value) AS d FROM (SELECT c, i, value, unnest(l) AS o FROM around) WHERE o.j <> i
+  QUALIFY row_number() OVER (PARTITION BY c, i ORDER BY abs(o.v - value), o.j) <= 20),
+kd AS MATERIALIZED (SELECT c, i, max(d) AS kdist FROM near GROUP BY ALL),
+dens AS MATERIALIZED (SELECT n.c, n.i, 1 / (avg(greatest(k.kdist, n.d)) + 1e-10) AS lrd
+  FROM near n JOIN kd k ON k.c = n.c AND k.i = n.j GROUP BY ALL),
+around_lrd AS MATERIALIZED (SELECT n.c, n.i, avg(o.lrd) AS lrd FROM near n JOIN dens o ON o.c = n.c AND o.i = n.j GROUP BY ALL),
+lofs AS MATERIALIZED (SELECT a.c, a.i, a.lrd / s.lrd AS lof FROM around_lrd a JOIN dens s ON s.c = a.c AND s.i = a.i),
+lofcut AS (SELECT c, quantile_cont(lof, 0.9) * (1 + 1e-9) AS cut FROM lofs GROUP BY ALL)"""
+
+
+@register("lof_1d", views=["order_runs"], rnd=["value", "log_lof"], sql=f"""
+WITH {LOF_SQL.format(source=_unpivoted('order_runs'))}
+SELECT test_id, "column", value, ln(lof) AS log_lof, lof > cut AS lof_outlier
+FROM t JOIN lofs l ON l.c = t."column" AND l.i = t.i JOIN lofcut q ON q.c = t."column" """)
 def lof_1d(spark, sf):
-    """AN2b: exact one-dimensional local outlier factor (k=20) per run and key metric."""
+    """AN2b: exact one-dimensional local outlier factor (k=20) per run and key metric, as its logarithm."""
     r = order_runs(spark, sf)
     long = DT.long_values(r, KEY3, ["test_id"]).where(F.col("value").isNotNull())
-    return DT.local_outlier_factor(long)
+    return DT.local_outlier_factor(long).select("test_id", "column", "value", F.ln("lof").alias("log_lof"), "lof_outlier")
+
+
+@register("anomaly_score_new", views=["baseline_runs", "current_runs"], rnd=["value", "log_lof", "distance"], sql=f"""
+WITH {LOF_SQL.format(source=_unpivoted('baseline_runs'))},
+th AS (SELECT "column" AS c, avg(value) + 3 * stddev_pop(value) AS z3,
+    quantile_cont(value, 0.25) - 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) AS low,
+    quantile_cont(value, 0.5) AS m FROM t GROUP BY 1),
+sc AS (SELECT "column" AS c, 1.4826 * coalesce(nullif(quantile_cont(abs(value - m), 0.5), 0), 1) AS s
+  FROM t JOIN th ON th.c = t."column" GROUP BY 1),
+rcut AS (SELECT "column" AS c, quantile_cont(abs(value - m) / s, 0.9) AS q
+  FROM t JOIN th ON th.c = t."column" JOIN sc ON sc.c = t."column" GROUP BY 1),
+new AS (SELECT * FROM {_unpivoted('current_runs')}),
+place AS (SELECT "column", value, place_no FROM (SELECT "column", value, fresh, sum(1 - fresh) OVER (
+      PARTITION BY "column" ORDER BY value, fresh DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS place_no
+    FROM (SELECT DISTINCT "column", value, 1 AS fresh FROM new UNION ALL SELECT "column", value, 0 FROM t)) WHERE fresh = 1),
+nnear AS MATERIALIZED (SELECT p."column" AS c, p.value AS x, b.i AS j, abs(b.value - p.value) AS d
+  FROM (SELECT "column", value, place_no + o AS near_no FROM place, (SELECT unnest(range(-20, 20)) AS o)) p
+  JOIN t b ON b."column" = p."column" AND b.i = p.near_no
+  QUALIFY row_number() OVER (PARTITION BY p."column", p.value ORDER BY abs(b.value - p.value), b.i) <= 20),
+ofs AS MATERIALIZED (SELECT k.c, k.i, k.kdist, o.lrd FROM kd k JOIN dens o ON o.c = k.c AND o.i = k.i),
+nlof AS MATERIALIZED (SELECT n.c, n.x, avg(o.lrd) * (avg(greatest(o.kdist, n.d)) + 1e-10) AS lof
+  FROM nnear n JOIN ofs o ON o.c = n.c AND o.i = n.j GROUP BY ALL)
+SELECT test_id, "column", value, ln(lof) AS log_lof, CAST(NOT lof > cut AS INTEGER) AS v_lof, abs(value - m) / s AS distance,
+  CAST(NOT abs(value - m) / s > q AS INTEGER) AS v_envelope, value > z3 AS threshold_exceeded, true AS vote_holds
+FROM new JOIN nlof l ON l.c = new."column" AND l.x = new.value JOIN lofcut lc ON lc.c = new."column"
+JOIN th ON th.c = new."column" JOIN sc ON sc.c = new."column" JOIN rcut ON rcut.c = new."column" """)
+def anomaly_score_new(spark, sf):
+    """AN2 + AN3: detectors fitted on the baseline runs, kept, and applied to the current runs.
+
+    ``vote_holds`` checks the ensemble's verdict against the three votes and the statistical rule.
+    """
+    from loadlens.operators import kept
+    from loadlens.session import scratch_path
+    from loadlens.sources.tables import baseline_runs, current_runs
+    folder = kept.fit(baseline_runs(spark, sf), KEY3, scratch_path(spark, "detectors"))
+    scored = kept.score(current_runs(spark, sf), folder)
+    votes = F.col("v_forest") + F.col("v_lof") + F.col("v_envelope")
+    return scored.select(
+        "test_id", "column", "value", F.ln("lof").alias("log_lof"), "v_lof", "distance", "v_envelope", "threshold_exceeded",
+        ((F.abs(F.col("model_consensus") - votes / 3) < 1e-12)
+         & (F.col("is_anomaly") == ((votes < 2) | F.col("statistical")))).alias("vote_holds"))
 
 
 @register("load_model_search")

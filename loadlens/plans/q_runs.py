@@ -8,7 +8,7 @@ from loadlens.operators import runs as RS
 from loadlens.plans.catalog import register
 from loadlens.session import scratch_path
 from loadlens.sources import runstore as IO
-from loadlens.sources.tables import order_runs, request_stats, table
+from loadlens.sources.tables import order_runs, request_stats, run_store, table
 
 # after the last run of the data (orders are dated at midnight)
 AS_OF = "2001-08-01 12:00:00"
@@ -41,12 +41,19 @@ SELECT test_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS run_ts FROM order_runs
 WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1440 HOUR""")
 def run_recent(spark, sf):
     """runs of the last 60 days before a fixed as-of time, from the months of the run store that hold them."""
-    table_dir = scratch_path(spark, "recent_runs")
-    IO.store_runs(order_runs(spark, sf), table_dir)
-    r = IO.recent_runs(spark, table_dir, hours=24 * 60, as_of=AS_OF)
+    r = IO.recent_runs(spark, run_store(spark, sf), hours=24 * 60, as_of=AS_OF)
     return r.select("test_id", _ts().alias("run_ts"))
 
 
+@register("run_store_topn", views=["order_runs"], sql="""
+SELECT test_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS run_ts, avg_response_time FROM order_runs
+WHERE status = 'success' AND test_type = 'frontend' ORDER BY ts DESC, test_id DESC LIMIT 100""")
+def run_store_topn(spark, sf):
+    """IO1 + F1-F3 on the run store: the 100 newest matching runs (top-N is the feature), reading the newest months alone."""
+    r = IO.newest_runs(spark, run_store(spark, sf), 100, {"status": "success", "test_type": "frontend"})
+    return r.select("test_id", _ts().alias("run_ts"), "avg_response_time")
+
+
 @register("run_retention", views=["order_runs"], sql=f"""
 SELECT count(*) FILTER (WHERE NOT (ts < TIMESTAMP '{AS_OF}' - INTERVAL 1095 DAY)) AS kept_runs,
        count(*) FILTER (WHERE ts < TIMESTAMP '{AS_OF}' - INTERVAL 1095 DAY) AS deleted_runs
@@ -153,7 +160,7 @@ rep AS (
   FROM order_runs WHERE test_type = 'frontend')"""
 
 
-@register("audit_score_extract", views=["order_runs"], sql=f"""
+AUDIT_SQL = f"""
 WITH {REPORTS_SQL},
 lines AS (SELECT test_id, unnest(string_split(text, chr(10))) AS line,
                  generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM rep),
@@ -173,12 +180,23 @@ SELECT r.test_id,
   coalesce(max(CASE WHEN cat = 'accessibility' THEN score END), 0.0) AS accessibility_score,
   coalesce(max(CASE WHEN cat = 'best_practices' THEN score END), 0.0) AS best_practices_score,
   coalesce(max(CASE WHEN cat = 'seo' THEN score END), 0.0) AS seo_score
-FROM rep r LEFT JOIN last l ON r.test_id = l.test_id GROUP BY r.test_id""")
+FROM rep r LEFT JOIN last l ON r.test_id = l.test_id GROUP BY r.test_id"""
+
+
+@register("audit_score_extract", views=["order_runs"], sql=AUDIT_SQL)
 def audit_score_extract(spark, sf):
     """IO9 + SF1: scores parsed from audit text reports."""
     return RS.audit_scores(_reports(spark, sf))
 
 
+@register("audit_files_extract", views=["order_runs"], sql=AUDIT_SQL)
+def audit_files_extract(spark, sf):
+    """IO9 + SF1: audit reports written as packed text files of some 256 KB, read back and scored."""
+    path = scratch_path(spark, "audit-files")
+    IO.write_audit_reports(_reports(spark, sf), path, 256 << 10)
+    return IO.read_audit_files(spark, path)
+
+
 A1 = ["avg_response_time", "max_response_time", "min_response_time", "requests_per_sec", "error_rate"]
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.operators import runs as RS
+from loadlens.operators.ordering import join_keys, running, stored
 from loadlens.schema import BROWSERS, CONFIG_SCHEMA, LOAD_STATS_SCHEMA, NETWORK_CONDITIONS, RUN_SCHEMA, TEST_TYPES
 from loadlens.session import scratch_path
 
@@ -37,8 +38,7 @@ def conform(df: DataFrame, batch: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None) -> None:
     """Write one batch; a batch of the same name is replaced."""
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    (conform(df, batch or uuid.uuid4().hex).repartitionByRange(n, PARTITION, "test_id")
+    (conform(df, batch or uuid.uuid4().hex).repartitionByRange(PARTITION, "test_id")      # as many ranges as the data needs
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(table_dir))
 
 
@@ -63,6 +63,22 @@ def recent_runs(spark: SparkSession, table_dir: str, hours: float, as_of) -> Dat
     return RS.recent_runs(runs, hours, as_of)
 
 
+def newest_runs(spark: SparkSession, table_dir: str, limit: int, filters: dict | None = None) -> DataFrame:
+    """F1-F3 on the store: the newest ``limit`` runs that match, from the newest months alone.
+
+    Months are taken newest first, twice as many each time, until they hold
+    enough matching runs; older months are never read.
+    """
+    runs = read_runs(spark, table_dir)
+    months = [r[0] for r in runs.groupBy(PARTITION).agg(F.count("*")).orderBy(F.desc(PARTITION)).collect()]   # file footers only
+    take = 1
+    while take < len(months) and RS.filter_runs(runs.where(F.col(PARTITION) >= months[take - 1]), filters or {}).limit(limit).count() < limit:
+        take *= 2
+    if months:
+        runs = runs.where(F.col(PARTITION) >= months[min(take, len(months)) - 1])
+    return RS.get_results(runs, filters, limit=limit)
+
+
 def apply_retention(spark: SparkSession, table_dir: str, days: int, as_of) -> int:
     """delete rows older than ``as_of - days``; returns the deleted count.
 
@@ -116,9 +132,33 @@ def load_configs(spark: SparkSession, path: str, multiline: bool = False):
     return df.where(ok), df.where(~F.coalesce(ok, F.lit(False)))
 
 
+def pack_files(df: DataFrame, key: str, size, file_bytes: int) -> DataFrame:
+    """``df`` with the number of its file in ``file``: whole runs, in the order of their ids, in files of about ``file_bytes``.
+
+    ``size`` is the bytes a row takes.  A run's file is the file in which the
+    bytes of the runs before it end, so a file holds many small runs, and a
+    run larger than a file has one of its own (written in parts).
+    """
+    sizes = stored(df.groupBy(key).agg(F.sum(size).cast("long").alias("_bytes")), "run-sizes")
+    before = running(sizes, [key], (), {"_upto": ("sum", "_bytes")})
+    files = before.select(key, F.floor((F.col("_upto") - F.col("_bytes")) / F.lit(file_bytes)).cast("long").alias("file"))
+    return join_keys(df, files, [key])
+
+
+def write_load_stats(df: DataFrame, path: str, file_bytes: int = 8 << 20) -> DataFrame:
+    """IO8: statistics rows as CSV files of about ``file_bytes`` that hold many runs each; returns the manifest (run, file)."""
+    text = F.length(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])) + 1
+    packed = stored(pack_files(df, "test_id", text, file_bytes), "packed-stats")
+    rows = F.lit(max(1, file_bytes // 64))                      # a row has some 64 bytes at least; bounds the parts of a large run
+    sizes = packed.groupBy("file").agg(F.ceil(F.count("*") / rows).cast("long").alias("_parts"))
+    dealt = packed.join(sizes, "file").withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.col("_parts")))
+    (dealt.repartition("file", "_part").drop("_part", "_parts").write.partitionBy("file").option("header", True).csv(path))
+    return packed.select("test_id", "file").distinct()
+
+
 def read_load_stats(spark: SparkSession, path: str) -> DataFrame:
-    """IO8: load-generator statistics CSVs; the run id comes from the folder ``test_id=..`` (decoded by partition discovery)."""
-    schema = T.StructType([*LOAD_STATS_SCHEMA.fields, T.StructField("test_id", T.StringType())])
+    """IO8: load-generator statistics CSVs; a file holds rows of many runs, each with its run id."""
+    schema = T.StructType([T.StructField("test_id", T.StringType()), *LOAD_STATS_SCHEMA.fields])
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
@@ -130,6 +170,29 @@ def read_audit_reports(spark: SparkSession, path_glob: str, id_pattern: str = r"
     return RS.audit_scores(reports)
 
 
+# Between two reports of one text file: the record separator of ASCII.
+REPORT_END = "\x1e"
+
+
+def write_audit_reports(reports: DataFrame, path: str, file_bytes: int = 8 << 20) -> DataFrame:
+    """IO9: text reports (test_id, text) packed into text files of about ``file_bytes``; returns the manifest (run, file).
+
+    A report is a line with its run id, percent-encoded, and its text; a
+    separator byte that no report may hold ends it.
+    """
+    packed = stored(pack_files(reports.select("test_id", "text"), "test_id", F.octet_length("text"), file_bytes), "packed-reports")
+    record = F.concat(F.url_encode("test_id"), F.lit("\n"), F.translate("text", REPORT_END, ""))
+    (packed.repartition("file").select(record.alias("value"), "file").write.partitionBy("file")
+           .option("lineSep", REPORT_END).text(path))
+    return packed.select("test_id", "file").distinct()
+
+
+def read_audit_files(spark: SparkSession, path: str) -> DataFrame:
+    """IO9: the reports of packed text files -> (test_id, scores)."""
+    record = spark.read.option("lineSep", REPORT_END).text(path).select(F.split("value", "\n", 2).alias("r"))
+    return RS.audit_scores(record.select(F.url_decode(F.col("r")[0]).alias("test_id"), F.coalesce(F.get("r", F.lit(1)), F.lit("")).alias("text")))
+
+
 def export_report(report: DataFrame, path: str, fmt: str = "json") -> str:
     """IO10: write a (small) report frame as JSON; other formats are an error."""
     if fmt != "json":

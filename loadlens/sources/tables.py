@@ -39,6 +39,21 @@ def order_runs(spark: SparkSession, sf_dir: str, stored: bool = True) -> DataFra
     return spark.read.parquet(path)
 
 
+_PARTITIONED: dict = {}
+
+
+def run_store(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the run store (partitioned by month) that holds the run table; written once per application."""
+    from loadlens.session import scratch_path
+    from loadlens.sources import runstore
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PARTITIONED:
+        path = scratch_path(spark, "run-store")
+        runstore.store_runs(order_runs(spark, sf_dir), path, batch="all")
+        _PARTITIONED[key] = path
+    return _PARTITIONED[key]
+
+
 def order_runs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derivation of the run table from orders and line items."""
     li = table(spark, sf_dir, "lineitem")

@@ -94,25 +94,42 @@ def live_anomalies(events: DataFrame, thresholds: DataFrame, metric: str = "valu
                                 (F.col(metric) > F.col("z_score_3")).alias("threshold_exceeded"))
 
 
-def alert_batches(flagged_counts: DataFrame, out_dir: str, checkpoint: str, alert_threshold: float = 0.1,
-                  available_now: bool = True):
-    """ST3 + AN5: per micro-batch anomaly rate per column -> alert rows in ``out_dir``, by batch (a replayed one replaces itself).
+FLAG_SCHEMA = "ts timestamp, column string, is_anomaly boolean, batch string"
 
-    ``flagged_counts`` is a stream with ``column`` and boolean ``is_anomaly``.
+
+def flag_batches(events: DataFrame, thresholds_dir: str, out_dir: str, checkpoint: str, metric: str = "value", available_now: bool = True):
+    """ST3, first step: every event with its AN1 flag, by micro-batch (a replayed one replaces itself).
+
+    The thresholds (parquet: event_type, z_score_3, iqr_lower) are read anew
+    for each micro-batch, so a new fit takes effect without a restart.  An
+    event whose type has no thresholds isn't flagged.
     """
-    from loadlens.operators import anomaly as AN
 
     def write_batch(batch: DataFrame, batch_id: int):
-        rates = batch.groupBy("column").agg(F.count_if("is_anomaly").alias("anomaly_count"),
-                                            (F.count_if("is_anomaly") / F.count("*")).alias("anomaly_rate"))
-        (AN.anomaly_alerts(rates, alert_threshold).withColumn("batch_id", F.lit(batch_id))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
-    return _trigger(flagged_counts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint),
-                    available_now).start()
+        limits = batch.sparkSession.read.parquet(thresholds_dir).select("event_type", "z_score_3", "iqr_lower")
+        flagged = batch.join(limits, "event_type", "left").select(
+            "ts", F.col("event_type").alias("column"),
+            F.coalesce((F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower")), F.lit(False)).alias("is_anomaly"))
+        (flagged.withColumn("batch", F.lit(str(batch_id))).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out_dir))
+    return _trigger(events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), available_now).start()
 
 
-def flag_events(events: DataFrame, thresholds: DataFrame, metric: str = "value") -> DataFrame:
-    """Every event with its AN1 flag (stream-static join), for alerting."""
-    j = events.join(thresholds, "event_type", "inner")
-    return j.select(F.col("event_type").alias("column"),
-                    ((F.col(metric) > F.col("z_score_3")) | (F.col(metric) < F.col("iqr_lower"))).alias("is_anomaly"))
+def window_rates(flagged: DataFrame, window: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
+    """ST3 + AN5: anomaly count and rate per event-time window and column.
+
+    They depend on the events' times alone, not on how the stream was cut into
+    batches.  A window's rate is final once the watermark (the latest event
+    less the delay) has passed its end; later events for it are dropped.
+    """
+    return (flagged.withWatermark("ts", watermark).groupBy(F.window("ts", window).alias("w"), "column")
+            .agg(F.count_if("is_anomaly").alias("anomaly_count"), F.count("*").alias("events"))
+            .select(F.col("w.start").alias("window_start"), "column", "anomaly_count", "events",
+                    (F.col("anomaly_count") / F.col("events")).alias("anomaly_rate")))
+
+
+def alert_windows(flagged_dir: str, out_dir: str, checkpoint: str, spark: SparkSession, window: str = "1 hour",
+                  watermark: str = "1 hour", available_now: bool = True):
+    """ST3 + AN5, second step: the rates of closed windows, as a stream over the flagged events."""
+    flagged = spark.readStream.schema(FLAG_SCHEMA).parquet(flagged_dir).drop("batch")
+    return run_to_table(window_rates(flagged, window, watermark), out_dir, checkpoint, available_now=available_now)

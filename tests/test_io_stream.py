@@ -90,14 +90,40 @@ def test_recommendations_lines(spark):
     assert json.loads(rep)["title"] == "t" and len(json.loads(rep)["lines"]) == 4
 
 
-def test_stream_alert_batches(spark, sf):
+def test_live_alerts_do_not_depend_on_batches_and_reread_thresholds(spark):
+    """Rates per event-time hour are the same for any cut of the stream; late events are dropped; new thresholds take effect."""
     d = _dir()
-    th = spark.createDataFrame([("view", 0.0, -1.0), ("error", 1e9, -1.0)],
-                               "event_type string, z_score_3 double, iqr_lower double")
-    flagged = ST.flag_events(ST.event_stream(spark, f"{sf}/events.parquet"), th)
-    ST.alert_batches(flagged, d + "/alerts", d + "/ck").awaitTermination()
-    al = spark.read.parquet(d + "/alerts").collect()
-    assert {r.column for r in al} == {"view"} and all(r.severity == "high" for r in al)
+    schema = ST.EVENTS_SCHEMA
+    base = dt.datetime(2024, 1, 1)
+
+    def events(rows):
+        return spark.createDataFrame([(i, base + dt.timedelta(minutes=m), 1, "view", float(v), "{}") for i, (m, v) in enumerate(rows)], schema)
+
+    def limits(folder, high):
+        spark.createDataFrame([("view", high, -1.0)], "event_type string, z_score_3 double, iqr_lower double").coalesce(1).write.mode(
+            "overwrite").parquet(folder)
+    hours = [(10, 5), (20, 50), (70, 50), (80, 60), (130, 5), (190, 5), (400, 5)]
+    got = []
+    for k, cut in enumerate(([7], [1, 3, 7], [2, 4, 5, 7])):
+        f = f"{d}/{k}"
+        limits(f + "/th", 40.0)
+        at = 0
+        for end in cut:
+            events(hours[at:end]).coalesce(1).write.mode("append").parquet(f + "/in/events.parquet")
+            at = end
+            src = ST.event_stream(spark, f + "/in/events.parquet/*.parquet")
+            ST.flag_batches(src, f + "/th", f + "/flagged", f + "/ck1").awaitTermination()
+            ST.alert_windows(f + "/flagged", f + "/rates", f + "/ck2", spark).awaitTermination()
+        got.append(sorted((r.window_start, r.anomaly_count, r.events) for r in spark.read.parquet(f + "/rates").collect()))
+    assert got[0] == got[1] == got[2] == [(base, 1, 2), (base + dt.timedelta(hours=1), 2, 2), (base + dt.timedelta(hours=2), 0, 1),
+                                          (base + dt.timedelta(hours=3), 0, 1)]
+    f = f"{d}/0"
+    limits(f + "/th", 1.0)                                      # every event exceeds the new threshold
+    events([(30, 90), (401, 5), (900, 5)]).coalesce(1).write.mode("append").parquet(f + "/in/events.parquet")
+    ST.flag_batches(ST.event_stream(spark, f + "/in/events.parquet/*.parquet"), f + "/th", f + "/flagged", f + "/ck1").awaitTermination()
+    ST.alert_windows(f + "/flagged", f + "/rates", f + "/ck2", spark).awaitTermination()
+    now = sorted((r.window_start, r.anomaly_count, r.events) for r in spark.read.parquet(f + "/rates").collect())
+    assert now == got[0] + [(base + dt.timedelta(hours=6), 1, 2)]      # the event of the first hour came too late
 
 
 def test_retention_removes_a_cutoff_month_that_is_wholly_old(spark):

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from loadlens.operators import ordering, quantiles
 
@@ -44,14 +46,51 @@ def test_average_rank_pct_with_ties_and_nulls(spark):
     assert np.allclose(got, exp.to_numpy(), equal_nan=True)
 
 
-def test_exact_quantiles_grouped(spark):
+PROBS = [0, 0.1, 0.25, 0.5, 0.9, 1]
+
+
+@pytest.mark.parametrize(("sketch", "error", "open_rows"), [(400, 0.012, 200_000), (16, 0.2, 30), (8, 0.0, 200_000), (8, 0.001, 10)])
+def test_exact_quantiles_grouped(spark, monkeypatch, sketch, error, open_rows):
+    """Wide brackets, brackets that are narrowed, and brackets that miss their rank and are sorted instead."""
+    for name, value in (("SKETCH", sketch), ("ERROR", error), ("OPEN_ROWS", open_rows)):
+        monkeypatch.setattr(quantiles, name, value)
     pdf, sdf = _frame(spark)
-    tab = quantiles.quantile_table(sdf, ["v", "t"], [0, 0.1, 0.25, 0.5, 0.9, 1], by=["g"], num_ranges=9)
+    tab = quantiles.quantile_table(sdf, ["v", "t"], PROBS, by=["g"])
+    groups = {(g, c) for c in ("v", "t") for g in pdf[pdf[c].notna()].g.unique()}
+    assert set(tab) == {(*k, float(p)) for k in groups for p in PROBS}
     for (g, c, p), val in tab.items():
         x = pdf.loc[pdf.g == g, c].dropna()
         assert abs(np.percentile(x, p * 100) - val) < 1e-9
 
 
+@pytest.mark.parametrize("open_rows", [200_000, 300])
+def test_quantiles_of_many_rows_with_ties_nulls_and_null_groups(spark, monkeypatch, open_rows):
+    monkeypatch.setattr(quantiles, "OPEN_ROWS", open_rows)
+    r = np.random.default_rng(1)
+    v = np.concatenate([np.full(20_000, 3.0), r.lognormal(1, 1, 30_000), [np.inf, -np.inf, -0.0, 0.0]])
+    g = r.choice(["a", "b", ""], len(v))
+    df = spark.createDataFrame([(k or None, float(x)) for k, x in zip(g, v)] + [("a", None), ("a", float("nan")), ("none", None)],
+                               "g string, v double").repartition(7)
+    got = {(x.g, x.p): x.value for x in quantiles.quantiles(df, ["v"], [0.05, 0.5, 0.77, 0.999], ["g"]).collect()}
+    assert len(got) == 12
+    for (k, p), value in got.items():
+        assert np.isclose(np.percentile(v[g == (k or "")], p * 100), value, rtol=1e-12)
+
+
+def test_quantiles_shuffle_no_rows(spark):
+    """What the counting pass shuffles is a few percent of the values."""
+    df = spark.range(60_000).select((F.rand(3) * 1e6).alias("v"))
+    before = ordering.scratch_path
+    paths = []
+    ordering.scratch_path = lambda s, name: paths.append((name, before(s, name))) or paths[-1][1]
+    try:
+        assert 0 < quantiles.quantile_row(df, "v", [0.5])[0.5] < 1e6
+    finally:
+        ordering.scratch_path = before
+    (cells,) = [p for name, p in paths if name == "quantile-cells"]
+    assert spark.read.parquet(cells).count() < 60_000 * 0.04
+
+
 def test_quantiles_constant_and_single(spark):
     sdf = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 5.0)], "k long, v double")
     assert quantiles.quantile_row(sdf, "v", [0.25, 0.75]) == {0.25: 5.0, 0.75: 5.0}
