@@ -52,7 +52,7 @@ def training_blocks(rows: DataFrame, k: int = NEIGHBOURS, block_rows: int = DT.B
         lof, kdist, lrd = DT._lof_block(v, k)
         own = np.flatnonzero((pdf["_own"] == home).to_numpy())
         if not len(own):
-            return pd.DataFrame({c.split()[0]: [] for c in _BLOCK.split(", ")})
+            return pd.DataFrame(columns=[c.split()[0] for c in _BLOCK.split(", ")], dtype=object)
         near = slice(max(0, own[0] - 2 * k), own[-1] + 1 + 2 * k)
         return pd.DataFrame({"column": [pdf["column"].iloc[0]], "block": [home], "first": [v[own[0]]],
                              "values": [v[near]], "kdist": [kdist[near]], "lrd": [lrd[near]], "own": [v[own]], "lof": [lof[own]]})

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from loadlens.operators.ordering import RANGE, join_keys, range_totals, ranged, stored
 
 #: Size parameter of a sketch; its rank error stays under ERROR of the rows (twice the usual bound).
-SKETCH, ERROR = 400, 0.012
+SKETCH, ERROR = 1000, 0.006
 #: Ranks that a sketch is asked for when a bracket is narrowed.
 GRID = 64
 #: Rows of a bracket whose values are told apart.
@@ -58,20 +58,36 @@ def long_quantiles(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequen
     The groups come to the driver: for groups that are columns, or otherwise
     few.  For any number of groups use :func:`quantile_rows`.
     """
-    keys = list(keys)
-    return {(*[r[k] for k in keys], r["p"]): r["value"] for r in quantile_rows(lv, keys, value, probs, approx).collect()}
+    keys, probs = list(keys), sorted({float(p) for p in probs})
+    if approx:
+        rows = quantile_rows(lv, keys, value, probs, approx).collect()
+    else:
+        lv = _values(lv, keys, value)
+        rows = _by_sketch(lv, keys, probs).collect()
+        if any(r["_missed"] for r in rows):
+            rows = _by_ranges(lv.groupBy(*keys, "value").agg(F.count("*").alias("cnt")), keys, probs).collect()
+    return {(*[r[k] for k in keys], r["p"]): r["value"] for r in rows}
+
+
+def _values(lv: DataFrame, keys: list, value: str) -> DataFrame:
+    return (lv.select(*keys, F.col(value).cast("double").alias("value"))
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
 def quantile_rows(lv: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], approx: bool = False) -> DataFrame:
     """Quantiles of ``value`` per ``keys`` group of a long table, as rows (keys..., p, value); groups without values have none."""
     keys, probs = list(keys), sorted({float(p) for p in probs})
-    lv = (lv.select(*keys, F.col(value).cast("double").alias("value"))
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    lv = _values(lv, keys, value)
     if approx:
         values = F.percentile_approx("value", probs, 10000)
         return lv.groupBy(*keys).agg(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), values.alias("value")).alias("q")).select(
             *keys, F.inline("q"))
-    return _by_sketch(lv, keys, probs)
+    out = stored(_by_sketch(lv, keys, probs), "quantiles")
+    missed = out.where("_missed").select(*keys, "p")
+    if not missed.head(1):
+        return out.drop("_missed")
+    rest = join_keys(lv, missed.select(*keys).distinct(), keys).groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
+    return out.where(~F.col("_missed")).drop("_missed").unionByName(join_keys(_by_ranges(rest, keys, probs), missed, [*keys, "p"]))
 
 
 def _targets(probs: Sequence[float]):
@@ -92,10 +108,22 @@ def _sketches(rows: DataFrame, keys: list, ranks: Sequence[float]) -> DataFrame:
                          F.kll_sketch_get_quantile_double("s", F.array(*[F.lit(float(r)) for r in ranks])).alias("q"))
 
 
-def _cell():
-    """Number of the cell between the sorted ``edges``: 2i lies below edge i, 2i + 1 is edge i itself."""
-    v = F.col("value")
-    return F.size(F.filter("edges", lambda e: e < v)) + F.size(F.filter("edges", lambda e: e <= v))
+def _cell(edges: int):
+    """Number of the cell between the sorted ``edges`` (at most so many): 2i lies below edge i, 2i + 1 is edge i itself."""
+    v, out = F.col("value"), F.lit(0)
+    for i in range(edges):
+        edge = F.get("edges", F.lit(i))
+        out += F.when(edge < v, 2).when(edge == v, 1).otherwise(0)
+    return out
+
+
+def _inside(spans: int):
+    """Whether the value lies strictly within one of the ``spans`` (so many)."""
+    v, out = F.col("value"), F.lit(False)
+    for i in range(spans):
+        span = F.get("spans", F.lit(i))
+        out |= F.coalesce((span["low"] < v) & (v < span["high"]), F.lit(False))
+    return out
 
 
 def _brackets(fractions, n_ranks: int):
@@ -112,16 +140,15 @@ def _by_sketch(lv: DataFrame, keys: list, probs: list[float]) -> DataFrame:
                                F.element_at("q", place[min(p + ERROR, 1.0)]).alias("high")) for p in probs])
     state = _sketches(lv, keys, ranks).select(*keys, "n", spans.alias("spans"))
     state = stored(_with_edges(state.withColumn("edges", F.array().cast("array<double>"))), "quantile-brackets")
+    edges = 2 * len(probs)
     widest = (state.agg(F.max("n")).first()[0] or 0) * 2 * ERROR
     while widest > OPEN_ROWS:
-        state = stored(_narrowed(lv, state, keys, probs), "quantile-brackets")
+        state = stored(_narrowed(lv, state, keys, probs, edges), "quantile-brackets")
+        edges += 2 * len(probs)
         widest = widest * 2 * (ERROR + 1 / GRID)
     rows = join_keys(lv, state.select(*keys, "spans", "edges"), keys)
-    v = F.col("value")
-    inside = F.exists("spans", lambda s: (s["low"] < v) & (v < s["high"]))
-    cells = rows.select(*keys, _cell().alias("cell"), F.when(inside, v).alias("v"))
-    counted = stored(cells.groupBy(*keys, "cell", "v").agg(F.count("*").alias("cnt")), "quantile-cells")
-    return _picked(lv, counted, state, keys, probs)
+    cells = rows.select(*keys, _cell(edges).alias("cell"), F.when(_inside(len(probs)), F.col("value")).alias("v"))
+    return _picked(cells.groupBy(*keys, "cell", "v").agg(F.count("*").alias("cnt")), state, keys, probs)
 
 
 def _with_edges(state: DataFrame) -> DataFrame:
@@ -130,14 +157,12 @@ def _with_edges(state: DataFrame) -> DataFrame:
     return state.withColumn("edges", F.array_sort(F.array_distinct(F.concat("edges", ends))))
 
 
-def _narrowed(lv: DataFrame, state: DataFrame, keys: list, probs: list[float]) -> DataFrame:
+def _narrowed(lv: DataFrame, state: DataFrame, keys: list, probs: list[float], edges: int) -> DataFrame:
     """Brackets inside the cells that hold the wanted ranks, from sketches of those cells alone."""
-    rows = join_keys(lv, state.select(*keys, "spans", "edges"), keys).withColumn("cell", _cell())
-    v = F.col("value")
-    inside = F.exists("spans", lambda s: (s["low"] < v) & (v < s["high"]))
+    rows = join_keys(lv, state.select(*keys, "spans", "edges"), keys).withColumn("cell", _cell(edges))
     counts = rows.groupBy(*keys, "cell").agg(F.count("*").alias("cnt"))
     grid = [i / GRID for i in range(GRID + 1)]
-    sketched = _sketches(rows.where(inside), [*keys, "cell"], grid).withColumnRenamed("n", "_n")
+    sketched = _sketches(rows.where(_inside(len(probs))), [*keys, "cell"], grid).withColumnRenamed("n", "_n")
     upto = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = join_keys(counts, sketched, [*keys, "cell"], "left").withColumn("cum", F.sum("cnt").over(upto))  # a row per edge and gap
     wanted = state.select(*keys, F.explode(_targets(probs)).alias("t")).select(*keys, "t.p", "t.low")
@@ -151,28 +176,20 @@ def _narrowed(lv: DataFrame, state: DataFrame, keys: list, probs: list[float]) -
     return _with_edges(join_keys(state.select(*keys, "n", "edges"), new, keys))
 
 
-def _picked(lv: DataFrame, counted: DataFrame, state: DataFrame, keys: list, probs: list[float]) -> DataFrame:
-    """The values at the wanted ranks, interpolated; groups with a rank outside every opened bracket are sorted instead."""
+def _picked(counted: DataFrame, state: DataFrame, keys: list, probs: list[float]) -> DataFrame:
+    """The values at the wanted ranks, interpolated; ``_missed`` where a rank lies outside every opened bracket."""
     upto = Window.partitionBy(*keys).orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = join_keys(counted, state.select(*keys, "edges"), keys).select(
-        *keys, "cnt", F.sum("cnt").over(upto).alias("cum"),
-        F.when(F.col("cell") % 2 == 1, F.element_at("edges", F.floor(F.col("cell") / 2).cast("int") + 1)).otherwise(F.col("v")).alias("v"))
-    wanted = state.select(*keys, F.explode(_targets(probs)).alias("t")).select(*keys, "t.*")
+    ordered = counted.withColumn("cum", F.sum("cnt").over(upto))            # per group its edges, gaps, and values of open brackets
+    both = join_keys(ordered, state, keys).withColumn("v", F.when(
+        F.col("cell") % 2 == 1, F.get("edges", F.floor(F.col("cell") / 2).cast("int"))).otherwise(F.col("v")))
     first = F.col("cum") - F.col("cnt")
 
-    def holds(rank):
-        return (first <= F.col(rank)) & (F.col(rank) < F.col("cum"))
-    hits = join_keys(wanted, ordered, keys).where(holds("low") | holds("high"))
-    ends = hits.groupBy(*keys, "p", "share").agg(F.min(F.when(holds("low"), F.col("v"))).alias("a"),
-                                                 F.min(F.when(holds("high"), F.col("v"))).alias("b"))
-    out = stored(ends.select(*keys, "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"),
-                             (F.col("a").isNull() | F.col("b").isNull()).alias("_missed")), "quantiles")
-    if not out.where("_missed").head(1):
-        return out.drop("_missed")
-    missed = out.where("_missed").select(*keys).distinct()
-    rest = join_keys(lv, missed, keys).groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
-    return out.where(~F.col("_missed")).drop("_missed").unionByName(
-        join_keys(_by_ranges(rest, keys, probs), out.where("_missed").select(*keys, "p"), [*keys, "p"]))
+    def at(rank):
+        return F.min(F.when((first <= F.col(f"t.{rank}")) & (F.col(f"t.{rank}") < F.col("cum")), F.col("v")))
+    ends = (both.select(*keys, "cnt", "cum", "v", F.explode(_targets(probs)).alias("t")).groupBy(*keys, "t.p", "t.share")
+            .agg(at("low").alias("a"), at("high").alias("b")))
+    return ends.select(*keys, "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"),
+                       (F.col("a").isNull() | F.col("b").isNull()).alias("_missed"))
 
 
 def _by_ranges(counted: DataFrame, keys: list, probs: Sequence[float], num_ranges: int | None = None) -> DataFrame:

@@ -104,7 +104,7 @@ def explanation_lines(spark, sf):
 @register("load_recommendation_lines", views=["order_runs"], sql=f"""
 WITH bp AS ({_bp_sql('objective, concurrent_users, spawn_rate, duration, test_id')})
 SELECT CAST(0 AS INTEGER) AS line_no, printf('Safe load: %d users at %s users/sec', CAST(trunc(concurrent_users * 0.8E0) AS BIGINT),
-  CAST(round(spawn_rate * 0.8E0, 2) AS VARCHAR)) AS line FROM bp
+  CAST(spawn_rate * 0.8E0 AS VARCHAR)) AS line FROM bp
 UNION ALL SELECT 1, printf('Stress test: %d users at %s users/sec', CAST(trunc(concurrent_users * 1.1E0) AS BIGINT),
   CAST(round(spawn_rate * 1.1E0, 2) AS VARCHAR)) FROM bp
 UNION ALL SELECT 2, printf('Expected breaking point: %d users', concurrent_users) FROM bp

@@ -242,7 +242,7 @@ SELECT 3 AS total_cycles, 1 AS total_retrainings, 3 AS recent_cycles, (SELECT 2
 def retrain_cycle(spark, sf):
     """DR7 + M10 + IO12 + A11: three cycles: the first sets the baseline, the second finds drift and retrains, the third asks for an unknown baseline."""
     folder, reg = scratch_path(spark, "improvement"), scratch_path(spark, "registry")
-    cols = ["concurrent_users", "duration", "spawn_rate", "avg_response_time"]
+    cols = ["concurrent_users", "avg_response_time"]
     base, cur = baseline_runs(spark, sf).select("test_id", *cols), current_runs(spark, sf).select("test_id", *cols)
     models = {"latency_model": "avg_response_time", "no_target": "missing_column"}
     RP.improvement_cycle(base, folder, models, reg, "2001-07-30 12:00:00")

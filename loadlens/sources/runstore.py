@@ -6,7 +6,7 @@ runs of a day (few) do not make tiny files; rows are range-partitioned on
 (month, test_id) before the write, so a hot month is split over several tasks.
 A batch is written as a whole: writing it again (a replayed micro-batch)
 replaces it.  Retention drops whole months and rewrites only the batches of
-the cutoff month that lose some of their rows.
+the cutoff month that lose some of their rows; readers see it as one step.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import types as T
 from loadlens.operators import runs as RS
 from loadlens.operators.ordering import join_keys, running, stored
 from loadlens.schema import BROWSERS, CONFIG_SCHEMA, LOAD_STATS_SCHEMA, NETWORK_CONDITIONS, RUN_SCHEMA, TEST_TYPES
-from loadlens.session import scratch_path
 
 PARTITION, BATCH = "month", "batch"
+# Folder of the retention runs' commit records (hidden from readers of the table), and what ends the name of a batch before theirs.
+RETENTION, MARK = "_retention", "~"
 STORE_SCHEMA = T.StructType([*RUN_SCHEMA.fields, T.StructField("metadata", T.StringType()), T.StructField("date", T.DateType()),
                              T.StructField(PARTITION, T.StringType()), T.StructField(BATCH, T.StringType())])
 
@@ -37,9 +38,13 @@ def conform(df: DataFrame, batch: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None) -> None:
-    """Write one batch; a batch of the same name is replaced."""
+    """Write one batch; a batch of the same name is replaced, also what a retention run has left of it."""
+    if batch and MARK in batch:
+        raise ValueError(f"A batch name may not hold {MARK!r}")
     (conform(df, batch or uuid.uuid4().hex).repartitionByRange(PARTITION, "test_id")      # as many ranges as the data needs
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(table_dir))
+    for old in _glob(df.sparkSession, f"{table_dir}/{PARTITION}=*/{BATCH}={batch}{MARK}*") if batch else []:
+        _delete(df.sparkSession, old)
 
 
 def store_runs(df: DataFrame, table_dir: str, reject_dir: str | None = None, batch: str | None = None) -> dict:
@@ -52,8 +57,16 @@ def store_runs(df: DataFrame, table_dir: str, reject_dir: str | None = None, bat
 
 
 def read_runs(spark: SparkSession, table_dir: str) -> DataFrame:
-    """IO1: the stored run table (filters on ``month`` prune partitions)."""
-    return spark.read.schema(STORE_SCHEMA).parquet(table_dir)
+    """IO1: the stored run table as of the last committed retention (filters on ``month`` prune partitions)."""
+    runs = spark.read.schema(STORE_SCHEMA).parquet(table_dir)
+    names, pending = _retentions(spark, table_dir)
+    visible = ~F.col(BATCH).contains(MARK)
+    if names:
+        visible |= F.substring_index(F.col(BATCH), MARK, -1).isin(names)
+    for name in pending:
+        hidden = spark.read.schema(f"{PARTITION} string, {BATCH} string").json(f"{table_dir}/{RETENTION}/{name}")
+        runs = runs.join(hidden, [PARTITION, BATCH], "left_anti").select(runs.columns)
+    return runs.where(visible)
 
 
 def recent_runs(spark: SparkSession, table_dir: str, hours: float, as_of) -> DataFrame:
@@ -82,28 +95,62 @@ def newest_runs(spark: SparkSession, table_dir: str, limit: int, filters: dict |
 def apply_retention(spark: SparkSession, table_dir: str, days: int, as_of) -> int:
     """delete rows older than ``as_of - days``; returns the deleted count.
 
-    Months after the cutoff month are not read.  Batches of which nothing is
-    kept are removed as folders; those of the cutoff month that keep some rows
-    are rewritten by way of a copy in the shared folder, removed afterwards.
+    Months after the cutoff month are not read.  The young rows of batches that
+    lose only a part are first written as new batches that no reader sees yet;
+    then one commit record makes them visible and hides the old batches, all at
+    once; the hidden folders are removed last.  A run that ends before the
+    commit has changed nothing, one that ends after it is finished by the next.
     """
+    _finish(spark, table_dir)
     cutoff = _dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(days=int(days))
     runs = read_runs(spark, table_dir).where(F.col(PARTITION) <= cutoff.strftime("%Y-%m"))
     kept, deleted = RS.retention_split(runs, days, as_of)
     gone = (deleted.groupBy(PARTITION, BATCH).agg(F.count("*").alias("n"))
             .join(kept.groupBy(PARTITION, BATCH).agg(F.count("*").alias("left")), [PARTITION, BATCH], "left").collect())
+    if not gone:
+        return 0
+    name = uuid.uuid4().hex
     part = [r[BATCH] for r in gone if r["left"]]
     if part:
-        copy = scratch_path(spark, "retention")
-        kept.where((F.col(PARTITION) == cutoff.strftime("%Y-%m")) & F.col(BATCH).isin(part)).write.parquet(copy)
-        (spark.read.schema(STORE_SCHEMA).parquet(copy).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(PARTITION, BATCH).parquet(table_dir))
-        _delete(spark, copy)
-    for r in gone:
-        if not r["left"]:
-            _delete(spark, f"{table_dir.rstrip('/')}/{PARTITION}={r[PARTITION]}/{BATCH}={r[BATCH]}")
+        young = kept.where((F.col(PARTITION) == cutoff.strftime("%Y-%m")) & F.col(BATCH).isin(part))
+        new = F.concat(F.substring_index(F.col(BATCH), MARK, 1), F.lit(MARK + name))
+        (young.withColumn(BATCH, new).write.mode("append").partitionBy(PARTITION, BATCH).parquet(table_dir))
+    _commit(spark, table_dir, name, [(r[PARTITION], r[BATCH]) for r in gone])
+    _finish(spark, table_dir)
     return sum(r["n"] for r in gone)
 
 
+def _commit(spark: SparkSession, table_dir: str, name: str, hidden: list[tuple]) -> None:
+    """The commit record of a retention run; it counts from the moment its success mark exists."""
+    spark.createDataFrame(hidden, f"{PARTITION} string, {BATCH} string").coalesce(1).write.json(f"{table_dir}/{RETENTION}/{name}")
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [f.getPath().toString() for f in found or []]
+
+
+def _retentions(spark: SparkSession, table_dir: str) -> tuple[list[str], list[str]]:
+    """Names of the committed retention runs, and of those whose old folders are not yet known to be removed."""
+    names = [f.split("/")[-2] for f in _glob(spark, f"{table_dir}/{RETENTION}/*/_SUCCESS")]
+    done = {f.split("/")[-2] for f in _glob(spark, f"{table_dir}/{RETENTION}/*/_DONE")}
+    return names, [n for n in names if n not in done]
+
+
+def _finish(spark: SparkSession, table_dir: str) -> None:
+    """Remove what committed runs have hidden, and what runs that never committed have left."""
+    names, pending = _retentions(spark, table_dir)
+    for name in pending:
+        for r in spark.read.schema(f"{PARTITION} string, {BATCH} string").json(f"{table_dir}/{RETENTION}/{name}").collect():
+            _delete(spark, f"{table_dir.rstrip('/')}/{PARTITION}={r[PARTITION]}/{BATCH}={r[BATCH]}")
+        mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_dir}/{RETENTION}/{name}/_DONE")
+        mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark).close()
+    for folder in _glob(spark, f"{table_dir}/{PARTITION}=*/{BATCH}=*{MARK}*"):
+        if folder.rsplit(MARK, 1)[1] not in names:
+            _delete(spark, folder)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

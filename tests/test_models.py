@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loadlens.operators import clusters as CL
 from loadlens.operators import detectors as DT
+from loadlens.operators import features as FE
 from loadlens.operators import models as MD
 
 
@@ -20,7 +21,7 @@ def planted(spark):
 def test_lof_blocks_equal_single_block(spark, planted):
     dist = {r.test_id: r.lof for r in DT.local_outlier_factor(planted, block_rows=250).collect()}
     pdf = planted.toPandas().sort_values(["value", "test_id"], kind="stable").reset_index(drop=True)
-    exp = DT._lof_block(pdf["value"].to_numpy(), 20)
+    exp = DT._lof_block(pdf["value"].to_numpy(), 20)[0]
     got = np.array([dist[t] for t in pdf["test_id"]])
     assert np.allclose(got, exp)
     out = {r.test_id for r in DT.local_outlier_factor(planted, block_rows=250).where("lof_outlier").collect()}
@@ -72,7 +73,8 @@ def test_hyper_search_small(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(120, 2))
     df = spark.createDataFrame([(float(a), float(b), float(2 * a + b)) for a, b in x], "a double, b double, y double")
-    best, trials = MD.hyper_search(df, ["a", "b"], "y", "random_forest", trials=2, folds=2, parallelism=2)
+    small = {"numTrees": (2, 5), "maxDepth": (2, 4), "featureSubsetStrategy": ["all"]}
+    best, trials = MD.hyper_search(df, ["a", "b"], "y", "random_forest", trials=2, folds=2, parallelism=2, ranges=small)
     assert trials.count() == 2 and best is not None
     with pytest.raises(ValueError):
         MD.hyper_search(df, ["a", "b"], "y", "svm")
@@ -111,8 +113,15 @@ def test_explanations_and_extensions(spark):
     X.register_feature("double_a", lambda d: d.withColumn("a2", F.col("a") * 2))
     out = X.apply_custom_features(spark.createDataFrame([(1.0,)], "a double")).first()
     assert out.a2 == 2.0
-    X.register_model("regression", "my_lr", lambda: MD.LinearRegression(regParam=0.1))
-    assert "my_lr" in X.models_for("regression") and "random_forest" in X.models_for("regression")
+    try:
+        runs = spark.createDataFrame([("x", 1.0, 2)], "test_id string, a double, concurrent_users int")
+        assert FE.engineer_features(runs).first().a2 == 2.0         # registered functions take effect after the built-in groups
+        X.register_model("regression", "my_lr", lambda: MD.LinearRegression(regParam=0.1))
+        assert "my_lr" in X.models_for("regression") and "random_forest" in X.models_for("regression")
+        assert MD.model_menu("regression")["my_lr"]().getRegParam() == 0.1 and "my_lr" not in MD.model_menu("classification")
+    finally:
+        X.FEATURE_FUNCTIONS.clear()
+        X.CUSTOM_MODELS["regression"].clear()
 
 
 def test_recommendation_lines(spark):
