@@ -113,7 +113,7 @@ def _cell(edges: int):
     v, out = F.col("value"), F.lit(0)
     for i in range(edges):
         edge = F.get("edges", F.lit(i))
-        out += F.when(edge < v, 2).when(edge == v, 1).otherwise(0)
+        out += F.coalesce((edge < v).cast("int"), F.lit(0)) + F.coalesce((edge <= v).cast("int"), F.lit(0))
     return out
 
 
