@@ -33,6 +33,8 @@ from loadlens.llm.tables import crc_mod, store
 
 #: Words that the recurrent model knows one by one (and one id for all others).
 SHORTLIST = 2047
+#: Slices whose texts are scored side by side, so that a long text takes others along.
+TOGETHER = 8
 SLICE = 4 << 20
 #: Parameter sets that are averaged, and word lists that are merged, in one step.
 FAN = 16
@@ -225,13 +227,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Recurrent(words).load(shared.value)
         for batch in batches:
-            for row in batch.to_pylist():
-                size = T.unplanes(row["sizes"], 4)
-                token = np.frombuffer(row["tokens"], np.uint16).astype(np.int64)
-                score = model.score(token, np.concatenate([[0], np.cumsum(size)]), end) / np.log(10) + np.frombuffer(row["other"], np.float64)
-                yield pa.RecordBatch.from_arrays([
-                    _id_array(row["ids"]), pa.array(np.frombuffer(row["held"], np.uint8) == 1), pa.array(size),
-                    pa.array(np.frombuffer(row["known"], np.int64)), pa.array(np.full(len(size), n, np.int64)),
-                    pa.array(np.frombuffer(row["base"], np.float64)), pa.array(score)], names=[c.split()[0] for c in RESULT.split(", ")])
+            rows = batch.to_pylist()
+            for at in range(0, len(rows), TOGETHER):
+                some = rows[at:at + TOGETHER]
+                sizes = [T.unplanes(row["sizes"], 4) for row in some]
+                token = np.concatenate([np.frombuffer(row["tokens"], np.uint16) for row in some]).astype(np.int64)
+                scores = model.score(token, np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), end) / np.log(10)
+                for row, size, score in zip(some, sizes, np.split(scores, np.cumsum([len(x) for x in sizes])[:-1])):
+                    yield pa.RecordBatch.from_arrays([
+                        _id_array(row["ids"]), pa.array(np.frombuffer(row["held"], np.uint8) == 1), pa.array(size),
+                        pa.array(np.frombuffer(row["known"], np.int64)), pa.array(np.full(len(size), n, np.int64)),
+                        pa.array(np.frombuffer(row["base"], np.float64)), pa.array(score + np.frombuffer(row["other"], np.float64))],
+                        names=[c.split()[0] for c in RESULT.split(", ")])
 
     return resolved.mapInArrow(run, RESULT)
