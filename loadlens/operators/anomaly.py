@@ -52,14 +52,14 @@ def statistical_flags(long: DataFrame, th: dict) -> DataFrame:
         "threshold_exceeded": F.col("value") > z3})
 
 
-def fit_robust(df: DataFrame, columns: Sequence[str], contamination: float = 0.1) -> dict:
+def fit_robust(df: DataFrame, columns: Sequence[str], contamination: float = 0.1, q: dict | None = None) -> dict:
     """AN2c fit: median, MAD and the (1-contamination) quantile of the robust distance.
 
     One-dimensional robust envelope: d = |x - median| / (1.4826 * MAD),
     MAD = median |x - median| (1 when 0); outliers are d above the
-    contamination quantile of the fitted d.
+    contamination quantile of the fitted d.  ``q`` holds medians that are known already.
     """
-    med = quantile_table(df, columns, [0.5])
+    med = q or quantile_table(df, columns, [0.5])
     long = metric_values(df.select(*columns).withColumn("test_id", F.lit(0)), columns)
     mcol = _by_column({c: med.get((c, 0.5)) for c in columns}, "column")
     dev = long.withColumn("dev", F.abs(F.col("value") - mcol))
@@ -111,7 +111,8 @@ def ensemble(df: DataFrame, columns: Sequence[str], key: str = "test_id", contam
     scored = detectors.local_outlier_factor(rows, key, contamination=contamination)
     forest = detectors.fit_isolation_forest(rows, key)
     scored = detectors.flagged_forest(scored, forest, contamination)
-    scored = robust_distance(statistical_flags(scored, thresholds(df, columns)), fit_robust(df, columns, contamination))
+    q = quantile_table(df, columns, [0.25, 0.5, 0.75])
+    scored = robust_distance(statistical_flags(scored, thresholds(df, columns, q=q)), fit_robust(df, columns, contamination, q=q))
     flags = {"v_forest": "iforest_outlier", "v_lof": "lof_outlier", "v_envelope": "robust_outlier"}
     return vote(scored.withColumns({v: (~F.col(f)).cast("int") for v, f in flags.items()}), list(flags))
 
@@ -122,8 +123,9 @@ def detect(df: DataFrame, columns: Sequence[str], key: str = "test_id", contamin
 
     Votes: robust envelope (AN2c), IQR fence and 3-sigma z-score.
     """
-    th = thresholds(df, columns)
-    fit = fit_robust(df, columns, contamination)
+    q = quantile_table(df, columns, [0.25, 0.5, 0.75])
+    th = thresholds(df, columns, q=q)
+    fit = fit_robust(df, columns, contamination, q=q)
     long = metric_values(df, columns, key, carry)
     long = robust_distance(statistical_flags(long, th), fit)
     mean = _by_column({c: t["mean"] for c, t in th.items()}, "column")

@@ -30,7 +30,7 @@ from loadlens.operators import anomaly as AN
 from loadlens.operators import detectors as DT
 from loadlens.operators.ordering import join_keys, running, stored
 from loadlens.operators.profile import thresholds
-from loadlens.operators.quantiles import long_quantiles
+from loadlens.operators.quantiles import long_quantiles, quantile_table
 
 # Neighbours of the outlier factor, and the distinct new values that one task compares with a block at a time.
 NEIGHBOURS, CHUNK = 20, 20_000
@@ -88,12 +88,14 @@ def fit(df: DataFrame, columns: Sequence[str], folder: str, key: str = "test_id"
     lofs = spark.read.parquet(f"{folder}/blocks").select("column", F.explode("lof").alias("lof"))
     scores = DT.isolation_scores(rows.select("column", "value"), forest)
     at = 1 - contamination
-    cuts = {"lof_cut": long_quantiles(lofs, ["column"], "lof", [at]),
-            "forest_cut": long_quantiles(stored(scores, "forest-scores"), ["column"], "iforest_score", [at])}
-    th, robust = thresholds(df, columns), AN.fit_robust(df, columns, contamination)
+    both = (lofs.select(F.lit("lof_cut").alias("cut"), "column", F.col("lof").alias("score"))
+            .unionByName(scores.select(F.lit("forest_cut").alias("cut"), "column", F.col("iforest_score").alias("score"))))
+    cuts = long_quantiles(stored(both, "training-scores"), ["cut", "column"], "score", [at])
+    q = quantile_table(df, columns, [0.25, 0.5, 0.75])
+    th, robust = thresholds(df, columns, q=q), AN.fit_robust(df, columns, contamination, q=q)
     out = []
     for c in columns:
-        row = th[c] | robust[c] | {name: cut[(c, at)] for name, cut in cuts.items()} | {"column": c, "n": counts[c]}
+        row = th[c] | robust[c] | {cut: cuts[(cut, c, at)] for cut in ("lof_cut", "forest_cut")} | {"column": c, "n": counts[c]}
         out.append(tuple(row[f.split()[0]] for f in CONSTANTS.split(", ")))
     spark.createDataFrame(out, CONSTANTS).write.parquet(f"{folder}/constants")
     return folder

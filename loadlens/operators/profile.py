@@ -19,6 +19,8 @@ PROFILE_SCHEMA = ("column string, mean double, std double, min double, max doubl
 
 
 def _moments(df: DataFrame, cols: Sequence[str], pop: bool = False) -> dict:
+    if not cols:
+        return {}
     std = F.stddev_pop if pop else F.stddev_samp
     aggs = []
     for c in cols:
@@ -56,11 +58,11 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approx:
     return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
 
 
-def thresholds(df: DataFrame, columns: Sequence[str], approx: bool = False) -> dict:
-    """Statistical thresholds per column (A4): population std, z and IQR bounds."""
+def thresholds(df: DataFrame, columns: Sequence[str], approx: bool = False, q: dict | None = None) -> dict:
+    """Statistical thresholds per column (A4): population std, z and IQR bounds; ``q`` holds quantiles that are known already."""
     cols = [c for c in columns if c in df.columns]
     m = _moments(df, cols, pop=True)
-    q = quantile_table(df, cols, [0.25, 0.75], approx=approx)
+    q = q or quantile_table(df, cols, [0.25, 0.75], approx=approx)
     out = {}
     for c in cols:
         if not m[c]["count"]:

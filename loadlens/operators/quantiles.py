@@ -48,6 +48,8 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), approx: bool = False) -> dict:
     """Fitted constants {(group..., column, p): value}; bounded by groups x columns x probs."""
+    if not columns:
+        return {}
     lv = long_values(df, columns, by)
     return long_quantiles(lv, [*by, "column"], "value", probs, approx)
 
