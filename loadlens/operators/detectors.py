@@ -2,10 +2,11 @@
 
 Isolation forest (Liu, Ting, Zhou 2008): each tree is grown on a fixed-size
 sample (256 values), so building costs the same at any scale.  Samples are
-drawn by hash per (row, tree) without exploding the table; the trees are
-grown by ``groupBy(tree).applyInPandas`` and, being tiny (at most 511
-nodes each), collected and broadcast to a pandas UDF that scores every
-value with vectorised numpy traversal.
+drawn by hash per (row number, tree) without exploding the table; the trees
+are grown by ``groupBy(tree).applyInPandas`` and, being tiny (at most 511
+nodes each), collected.  A forest's score of one value is a step function of
+it, so its edges (every split of every tree) and steps are broadcast to a
+pandas UDF that looks each value up.
 
 Local outlier factor in one dimension (Breunig et al. 2000): the k nearest
 neighbours of a value are among the k values on either side in sorted
@@ -20,10 +21,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -97,32 +99,37 @@ def numbered(long: DataFrame, key: str = "test_id") -> DataFrame:
     return stored(row_index(long, ["value", key], ["column"], name="_i"), "numbered-values")
 
 
+def drawn_numbers(spark: SparkSession, n: int, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE, seed: int = 42) -> DataFrame:
+    """``(_n, _i, tree)``: the row numbers below ``n`` that form each tree's sample."""
+    threshold = int(min(1.0, 2.0 * sample_size / max(n, 1)) * 2 ** 31)
+    pairs = spark.range(n).select(F.col("id").alias("_i"), F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+    hashed = pairs.withColumn("_h", F.xxhash64("_i", "tree", F.lit(seed))).where(F.pmod("_h", F.lit(2 ** 31)) < threshold)
+    smallest = F.row_number().over(Window.partitionBy("tree").orderBy("_h", "_i"))
+    return hashed.withColumn("_r", smallest).where(F.col("_r") <= sample_size).select(F.lit(n).cast("long").alias("_n"), "_i", "tree")
+
+
 def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N_TREES,
                          sample_size: int = SAMPLE_SIZE, seed: int = 42) -> dict:
     """Trees per column, grown on hash-drawn samples of ``sample_size`` values.
 
     ``long`` is (key, column, value).  Rows are numbered in value order, so
-    that rows with one key are drawn apart.  Each (row, tree) pair is kept with
-    probability ~2*psi/n of its column (no explode of the table), the psi
-    smallest hashes per (column, tree) form the sample (a window bounded
-    by ~2*psi rows), and all trees of all columns grow in one
-    ``applyInPandas``.  Returns {column: {"psi", "trees"}}.
+    that rows with one key are drawn apart.  A draw is a hash of the number and
+    the tree, so the sample is known before any row is read: each (number,
+    tree) pair is kept with probability ~2*psi/n of its column (pairs are made
+    and dropped within one scan of the numbers, once for columns of one
+    length), the psi smallest hashes per tree form the sample (a window bounded
+    by ~2*psi rows), and its numbers meet the rows in a broadcast join.  All
+    trees of all columns grow in one ``applyInPandas``.  Returns
+    {column: {"psi", "trees"}}.
     """
     counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     limit = int(math.ceil(math.log2(sample_size)))
-    thr_map = F.create_map(*[x for c, n in counts.items()
-                             for x in (F.lit(c), F.lit(int(min(1.0, 2.0 * sample_size / max(n, 1)) * 2 ** 31)))])
-    tid = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    k = F.col("_i")
     long = numbered(long, key)
-    picked = (long.withColumn("_thr", F.element_at(thr_map, F.col("column")))
-                  .select("column", "value", k.alias("_k"), F.explode(F.filter(
-                      tid, lambda t: F.pmod(F.xxhash64(k, t, F.lit(seed)), F.lit(2 ** 31)) < F.col("_thr"))).alias("tree")))
-    picked = picked.withColumn("_h", F.xxhash64("_k", "tree", F.lit(seed)))
-    w = Window.partitionBy("column", "tree").orderBy("_h", "_k")
-    picked = picked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
+    length = F.element_at(F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(n).cast("long"))]), F.col("column"))
+    drawn = reduce(DataFrame.unionByName, [drawn_numbers(long.sparkSession, n, n_trees, sample_size, seed) for n in sorted(set(counts.values()))])
+    picked = long.withColumn("_n", length).join(F.broadcast(drawn), ["_n", "_i"]).select("column", "tree", "value")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
@@ -142,25 +149,28 @@ def fit_isolation_forest(long: DataFrame, key: str = "test_id", n_trees: int = N
     return trees
 
 
+def score_steps(trees: Sequence[tuple], psi: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest's score s = 2^(-E[h(x)] / c(psi)) of one value, which is a step function: its sorted edges, and the score on each step."""
+    splits = np.concatenate([t[0][t[1] >= 0] for t in trees])
+    edges = np.unique(splits[~np.isnan(splits)])
+    h = np.mean([_path_length(np.concatenate([[-np.inf], edges]), t) for t in trees], axis=0)
+    return edges, 2.0 ** (-h / _c(np.array([psi]))[0])
+
+
 def isolation_scores(long: DataFrame, forest: dict) -> DataFrame:
-    """Anomaly score s = 2^(-E[h(x)] / c(psi)) per (key, column, value)."""
-    spark = long.sparkSession
-    bc = spark.sparkContext.broadcast(forest)
+    """Anomaly score per (key, column, value); columns without trees have NaN."""
+    names = [c for c, f in forest.items() if f["trees"]]
+    bc = long.sparkSession.sparkContext.broadcast([score_steps(forest[c]["trees"], forest[c]["psi"]) for c in names])
+    place = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("column")) if names else F.lit(0)
 
     @F.pandas_udf("double")
-    def score(col: pd.Series, val: pd.Series) -> pd.Series:
-        out = np.full(len(val), np.nan)
-        f = bc.value
-        for name in col.unique():
-            m = (col == name).to_numpy()
-            spec = f.get(name)
-            if not spec or not spec["trees"]:
-                continue
-            x = val.to_numpy(dtype=float)[m]
-            h = np.mean([_path_length(x, t) for t in spec["trees"]], axis=0)
-            out[m] = 2.0 ** (-h / _c(np.array([spec["psi"]]))[0])
+    def score(at: pd.Series, val: pd.Series) -> pd.Series:
+        at, x, out = at.to_numpy(), val.to_numpy(dtype=float), np.full(len(val), np.nan)
+        for i, (edges, scores) in enumerate(bc.value, 1):
+            m = at == i
+            out[m] = scores[np.searchsorted(edges, x[m], "right")]
         return pd.Series(out)
-    return long.withColumn("iforest_score", score(F.col("column"), F.col("value")))
+    return long.withColumn("iforest_score", score(F.coalesce(place, F.lit(0)).cast("int"), F.col("value")))
 
 
 def isolation_forest(long: DataFrame, key: str = "test_id", contamination: float = 0.1, seed: int = 42) -> DataFrame:

@@ -142,3 +142,20 @@ def test_scenario_membership(spark):
     tr = MD.scenario_membership(runs, train_ids)
     te = MD.scenario_membership(runs, train_ids, keep=False)
     assert sorted(r.v for r in tr.collect()) == [1, 2, 4] and [r.v for r in te.collect()] == [3]
+
+
+def test_forest_scores_are_steps_of_the_walked_trees():
+    rng = np.random.default_rng(5)
+    trees = [DT._grow(rng.normal(size=256).round(2), rng, 8) for _ in range(30)]
+    edges, scores = DT.score_steps(trees, 256)
+    x = np.concatenate([rng.normal(size=500), edges, [np.inf, -np.inf, np.nan]])
+    walked = 2.0 ** (-np.mean([DT._path_length(x, t) for t in trees], axis=0) / DT._c(np.array([256]))[0])
+    assert np.allclose(scores[np.searchsorted(edges, x, "right")], walked, rtol=1e-12)
+
+
+def test_forest_draws_are_the_smallest_hashes_of_each_tree(spark):
+    drawn = DT.drawn_numbers(spark, 2000, n_trees=3, sample_size=16)
+    h = spark.range(2000).select("id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("tree")).withColumn("h", F.xxhash64("id", "tree", F.lit(42)))
+    kept = [r for r in h.collect() if r.h % 2 ** 31 < int(2.0 * 16 / 2000 * 2 ** 31)]
+    want = {(r.id, r.tree) for t in range(3) for r in sorted((r for r in kept if r.tree == t), key=lambda r: (r.h, r.id))[:16]}
+    assert {(r["_i"], r.tree) for r in drawn.collect()} == want
