@@ -23,6 +23,8 @@ from loadlens.operators.ordering import join_keys, running, stored
 from loadlens.schema import BROWSERS, CONFIG_SCHEMA, LOAD_STATS_SCHEMA, NETWORK_CONDITIONS, RUN_SCHEMA, TEST_TYPES
 
 PARTITION, BATCH = "month", "batch"
+# Rows that one task sorts and writes.
+ROWS_PER_RANGE = 200_000
 # Folder of the retention runs' commit records (hidden from readers of the table), and what ends the name of a batch before theirs.
 RETENTION, MARK = "_retention", "~"
 STORE_SCHEMA = T.StructType([*RUN_SCHEMA.fields, T.StructField("metadata", T.StringType()), T.StructField("date", T.DateType()),
@@ -37,11 +39,21 @@ def conform(df: DataFrame, batch: str) -> DataFrame:
                        .cast(f.dataType).alias(f.name) for f in STORE_SCHEMA])
 
 
-def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None) -> None:
+def dealt(df: DataFrame, batch: str, metadata: bool = False) -> DataFrame:
+    """The store's rows in sorted ranges of ``ROWS_PER_RANGE`` rows; what follows from a run's columns is made after the shuffle.
+
+    ``metadata`` packs the run's fields into the metadata, a text far longer than the fields.
+    """
+    order = [F.date_format("timestamp", "yyyy-MM"), *[F.col(c) for c in ("test_id",) if c in df.columns]]
+    rows = df.repartitionByRange(df.count() // ROWS_PER_RANGE + 1, *order)
+    return conform(RS.pack_metadata(rows) if metadata else rows, batch)
+
+
+def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None, metadata: bool = False) -> None:
     """Write one batch; a batch of the same name is replaced, also what a retention run has left of it."""
     if batch and MARK in batch:
         raise ValueError(f"A batch name may not hold {MARK!r}")
-    (conform(df, batch or uuid.uuid4().hex).repartitionByRange(PARTITION, "test_id")      # as many ranges as the data needs
+    (dealt(df, batch or uuid.uuid4().hex, metadata)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(table_dir))
     for old in _glob(df.sparkSession, f"{table_dir}/{PARTITION}=*/{BATCH}={batch}{MARK}*") if batch else []:
         _delete(df.sparkSession, old)
@@ -49,10 +61,9 @@ def write_partitioned(df: DataFrame, table_dir: str, batch: str | None = None) -
 
 def store_runs(df: DataFrame, table_dir: str, reject_dir: str | None = None, batch: str | None = None) -> dict:
     """IO2/IO3: validate a batch, write valid rows by month, rejects aside."""
-    valid, rejects = RS.split_batch(df)
-    write_partitioned(valid, table_dir, batch)
+    write_partitioned(df.where(RS.validity(df)), table_dir, batch, metadata=True)
     if reject_dir:
-        rejects.write.mode("append").parquet(reject_dir)
+        RS.split_batch(df)[1].write.mode("append").parquet(reject_dir)
     return {"reject_dir": reject_dir}
 
 

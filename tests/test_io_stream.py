@@ -199,3 +199,14 @@ def test_recent_runs_read_only_their_months(spark):
         assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ >= 2024-04", recent._jdf.queryExecution().toString())
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_metadata_is_packed_after_the_shuffle(spark):
+    rows = [(f"r{m}", "api", dt.datetime(2024, m, 1), "x" * 10) for m in range(1, 7)]
+    df = spark.createDataFrame(rows, "test_id string, test_type string, timestamp timestamp, note string")
+    plan = IO.dealt(df, "all", metadata=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "metadata#" in plan and "metadata" not in plan[plan.index("Exchange"):]
+    d = _dir() + "/packed"
+    IO.store_runs(df, d, batch="all")
+    assert sorted((r.test_id, r.month, r.metadata) for r in IO.read_runs(spark, d).collect()) == \
+        [(f"r{m}", f"2024-{m:02d}", '{"note":"xxxxxxxxxx"}') for m in range(1, 7)]
