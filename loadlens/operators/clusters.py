@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.operators.filters import mean_impute
-from loadlens.operators.ordering import join_keys
+from loadlens.operators.ordering import fit_rows, join_keys, task_per_file
 from loadlens.operators.quantiles import long_values, quantile_rows
 from loadlens.operators.scaling import apply_scaler, fit_scaler
 from loadlens.schema import numeric_columns
@@ -36,7 +36,9 @@ def cluster_runs(df: DataFrame, k: int = 3, seed: int = 42, exclude: Sequence[st
     z = apply_scaler(x.select(*[F.col(c).alias(f"_z_{c}") for c in feats], *df.columns),
                      stats.withColumn("column", F.concat(F.lit("_z_"), "column")))
     vec = VectorAssembler(inputCols=[f"_z_{c}" for c in feats], outputCol="_features").transform(z)
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(vec)
+    rows = fit_rows(vec.select("_features"))
+    with task_per_file(df.sparkSession):
+        model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(rows)
     labelled = model.transform(vec).drop("_features", *[f"_z_{c}" for c in feats])
     return labelled, model, feats
 

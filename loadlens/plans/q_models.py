@@ -29,8 +29,9 @@ def _engineered(spark, sf):
 
 
 def _frame(spark, sf, target):
+    """The target's framed rows, assembled and stored once, and the names of their features."""
     fr, feats = frame_problem(_engineered(spark, sf), target, exclude=[c for c in LEAK if c != target])
-    return fr, feats
+    return MD.assembled(fr, feats, target, ["test_id"]), feats
 
 
 @register("group_split", views=["order_runs"], sql="""
@@ -80,7 +81,7 @@ def baseline_models(spark, sf):
 def cross_validate(spark, sf):
     """M6: 5-fold time-series cross-validation of the latency forest."""
     fr, feats = _frame(spark, sf, "latency_target")
-    fr = fr.join(order_runs(spark, sf).select("test_id", "timestamp"), "test_id")
+    fr = MD.fit_rows(fr.join(order_runs(spark, sf).select("test_id", "timestamp"), "test_id"))
     return MD.cross_validate(fr, feats, "latency_target", ["timestamp", "test_id"], "regression")
 
 

@@ -159,3 +159,23 @@ def test_forest_draws_are_the_smallest_hashes_of_each_tree(spark):
     kept = [r for r in h.collect() if r.h % 2 ** 31 < int(2.0 * 16 / 2000 * 2 ** 31)]
     want = {(r.id, r.tree) for t in range(3) for r in sorted((r for r in kept if r.tree == t), key=lambda r: (r.h, r.id))[:16]}
     assert {(r["_i"], r.tree) for r in drawn.collect()} == want
+
+
+def test_a_fit_reads_bounded_files(spark, monkeypatch):
+    from loadlens.operators import ordering as OR
+    monkeypatch.setattr(OR, "ROWS_PER_FILE", 100)
+    rows = MD.assembled(spark.range(1000).select("id", F.rand(1).alias("a"), F.rand(2).alias("y")).coalesce(1), ["a"], "y")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    with OR.task_per_file(spark):
+        parts = rows.select("y").rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert max(parts) <= 100 and sum(parts) == 1000 and spark.conf.get("spark.sql.files.openCostInBytes") == cost
+    assert MD.assembled(rows, ["a"], "y") is rows
+
+
+def test_searches_share_their_rows(spark):
+    df = spark.range(300).select("id", (F.rand(7) * 10).alias("a"), F.rand(8).alias("b")).withColumn("y", F.col("a") * 3).withColumn("z", (F.col("a") > 5).cast("int"))
+    small = {"numTrees": (3, 5), "maxDepth": (2, 3), "minInstancesPerNode": (1, 5), "featureSubsetStrategy": ["all"]}
+    table = MD.search_rows(df, ["a", "b"], ["y", "z"], 2, ["id"])
+    for target, problem in (("y", "regression"), ("z", "classification")):
+        _, trials = MD.hyper_search(table, ["a", "b"], target, "random_forest", problem, 1, 2, ranges=small)
+        assert trials.first().score > 0
