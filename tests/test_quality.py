@@ -100,3 +100,15 @@ def test_trend_against_polyfit(spark):
     o = TR.overall_trend(TR.metric_trends(df.withColumn("error_rate", F.col("m")), ["m", "error_rate"])).first()
     assert o.improving_metrics == "m" and o.degrading_metrics == "error_rate"
     assert o.overall_performance_direction == "Stable"
+
+
+def test_classification_metrics_read_predictions_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (None, 1.0)], "actual double, p double")
+    m = EV.classification_metrics(df.select("actual", counted.asNondeterministic()("p").alias("predicted"))).first()
+    assert seen.value == 4 and m.accuracy == pytest.approx(2 / 3)
