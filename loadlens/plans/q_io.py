@@ -175,12 +175,13 @@ def _model_insights(spark, sf):
     from loadlens.plans import q_models as QM
     r = order_runs(spark, sf).select(*[c for c in QM.LOAD_FEATURES if c != "network_condition_encoded"], "total_requests", "avg_response_time")
     feats = [c for c in r.columns if c != "avg_response_time"]
+    r = MD.assembled(r, feats, "avg_response_time")
     model, metrics = MD.train_regression(r, r, feats, "avg_response_time", MD.RandomForestRegressor(numTrees=10, maxDepth=4, seed=MD.SEED))
     imp = MD.ranked(MD.feature_importances(model, feats).select("feature", "importance"))
     return MD.top_features(imp, 10), MD.explanation_summary(imp), metrics.where("split = 'test'").drop("split")
 
 
-def _report_parts(spark, sf):
+def _report_parts(spark, sf, insights=None):
     """Every part of the comprehensive report (RP1): data, models, trends, clusters, recommendations."""
     from loadlens.operators import clusters as CL
     from loadlens.operators import profile as PR
@@ -192,7 +193,7 @@ def _report_parts(spark, sf):
     lab = stored(lab, "report-clusters")
     prof = stored(CL.performance_profile(lab), "report-profiles")
     types = CL.cluster_types(prof)
-    top, lines, _ = _model_insights(spark, sf)
+    top, lines, _ = insights or _model_insights(spark, sf)
     return {
         "data_summary": PR.data_summary(r),
         "missing_data": FE.feature_summary(r).select("column", "missing_values"),
@@ -266,7 +267,8 @@ def workflow_report(spark, sf):
     from loadlens.operators import targets as TG
     from loadlens.plans.q_profile import KEY3
     r = order_runs(spark, sf)
-    parts = _report_parts(spark, sf)
+    insights = _model_insights(spark, sf)                       # one fit serves both phases
+    parts = _report_parts(spark, sf, insights)
     derived = TG.target_columns(r) + FE.feature_names(r)
     log = ANM.anomaly_log(ANM.detect(r, KEY3))
     base = DR.profile_long(baseline_runs(spark, sf), NUMERIC)
@@ -280,7 +282,7 @@ def workflow_report(spark, sf):
         "data_collection": counts,
         "feature_engineering": spark.createDataFrame([(len(derived), len(derived) + len(r.columns))],
                                                      "derived_features int, total_columns int"),
-        "models": _model_insights(spark, sf)[2].withColumn("model_name", F.lit("latency")),
+        "models": insights[2].withColumn("model_name", F.lit("latency")),
         "anomalies": log.agg(F.count("*").alias("anomalies_detected"),
                              F.count_if("threshold_exceeded").alias("threshold_violations")),
         "drift": drift.agg(F.first("significant_drift").alias("significant_drift"),
