@@ -16,8 +16,11 @@ only those at word starts:
    bytes a key, and neighbours are compared.  Equal leading bytes never
    straddle a splitter, so no string has to be compared across a boundary.
 4. An anchor with very many different regions (the end of a line that a third
-   of the documents share) isn't left to one bucket: its strings are dealt
-   singly, reduced to their least doc_id before the shuffle, and joined back.
+   of the documents share) isn't left to one bucket: its strings go through a
+   sieve of their own, each dealt by itself, as packed hashes of 96 bits and
+   more; of the equal strings a task holds, only the least doc_id's is dealt.
+   A task that holds very many regions of an anchor tells the anchor's bucket
+   of them by one entry.
 
 Nulls: a null text is an empty one; a document with a null doc_id neither
 loses bytes nor makes others lose them.  Rows with equal doc_id never remove
@@ -44,6 +47,10 @@ SPAN, GRAM = 50, 20
 SLICE = 1 << 20
 #: Text bytes for a bucket of the sieve.
 BUCKET_BYTES = 4 << 20
+#: Regions or strings that a task packs at once.
+HELD = 1 << 18
+#: Strings dealt singly for a bucket of their sieve.
+BUCKET_STRINGS = 1 << 16
 #: Different regions of one anchor beyond which its strings are dealt singly.
 HEAVY = 256
 #: Regions that a sorting step takes on (some 15 strings each).
@@ -121,46 +128,69 @@ def _reply(ids, th, at) -> pa.RecordBatch:
                                       names=["doc_id", "th", "marks"])
 
 
+def _packed(entries: Iterator[tuple], buckets: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Entries by bucket, packed; those that a smaller document among the ones held at once has too are answered at once.
+
+    So are those of a first hash that has very many second ones; its bucket gets one entry of no strings as a sign.
+    An entry is a doc_id, th, first string start, number of strings, evenly spread hash (a bucket keeps its lower half)
+    and second hash (``width`` bytes are kept).
+    """
+
+    def pack(ids, th, at, size, h, r) -> pa.RecordBatch:
+        order = np.lexsort((ids, r, h))
+        new_h = np.append(True, h[order[1:]] != h[order[:-1]])
+        new = new_h | np.append(True, r[order[1:]] != r[order[:-1]])
+        least = ids[order][new][np.cumsum(new) - 1]
+        kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_h))[np.cumsum(new_h) - 1]
+        code = np.zeros(len(order), np.int64)
+        code[order] = np.where(ids[order] > least, WHOLE, np.where(kinds > HEAVY, SINGLE, 0))
+        told = code > 0
+        d, s, m = _by_doc(ids[told], th[told], at[told], size[told], code[told])
+        sign = order[new_h & (kinds > HEAVY)]
+        size = size.copy()
+        size[sign] = 0
+        told[sign] = False
+        h, r, ids, th, at, size = (x[~told] for x in (h, r, ids, th, at, size))
+        bucket = ((h >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")               # text order within a bucket, so ids and places are close
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        some = np.flatnonzero(edge[1:] > edge[:-1])
+        cols: list[list] = [[] for _ in range(6)]
+        for k in some.tolist():
+            o = order[edge[k]:edge[k + 1]]
+            for c, x in zip(cols, (T.planes(h[o].view(np.int64), 4), T.planes(r[o].view(np.int64), width), _delta(ids[o]),
+                                   _delta(th[o]), T.planes(at[o], 4), T.planes(size[o], 4))):
+                c.append(x)
+        k = len(d)
+        blank = [None] * k
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([np.abs(s) % buckets, some]).astype(np.int32)),
+            pa.array([True] * k + [False] * len(some)),
+            pa.array(np.concatenate([d, np.zeros(len(some), np.int64)])), pa.array(np.concatenate([s, np.zeros(len(some), np.int64)]).astype(np.int32)),
+            pa.array(m + [None] * len(some), pa.binary()),
+            *(pa.array(blank + c, pa.binary()) for c in cols)], names=[c.split()[0] for c in SIEVE.split(", ")])
+
+    held: list[tuple] = []
+    for entry in entries:
+        held.append(entry)
+        if sum(len(e[0]) for e in held) >= HELD:
+            yield pack(*map(np.concatenate, zip(*held)))
+            held = []
+    if held:
+        yield pack(*map(np.concatenate, zip(*held)))
+
+
 def _sieve(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed regions by bucket; those that a smaller document of the same slice holds are answered at once."""
+    """Packed regions by bucket, and answers to those that a smaller document of the same task holds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for t in T.slices(batches, limit=SLICE):
             data, off = T.utf8(t["text"])
-            ids_of, th_of = t["doc_id"].to_numpy(), t["th"].to_numpy().astype(np.int64)
             first, last, h, r, doc = regions(data, off)
-            if not len(first):
-                continue
-            ids, th, at, size = ids_of[doc], th_of[doc], first - off[doc], last - first + 1
-            order = np.lexsort((ids, r, h))
-            new = np.ones(len(order), bool)
-            new[1:] = (h[order[1:]] != h[order[:-1]]) | (r[order[1:]] != r[order[:-1]])
-            least = ids[order][new][np.cumsum(new) - 1]
-            whole = np.zeros(len(order), bool)
-            whole[order] = ids[order] > least
-            d, s, m = _by_doc(ids[whole], th[whole], at[whole], size[whole], np.full(int(whole.sum()), WHOLE))
-            rest = ~whole
-            h, r, ids, th, at, size = (x[rest] for x in (h, r, ids, th, at, size))
-            bucket = ((h >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")           # text order within a bucket, so ids and places are close
-            edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            some = np.flatnonzero(edge[1:] > edge[:-1])
-            cols: list[list] = [[] for _ in range(6)]
-            for k in some.tolist():
-                o = order[edge[k]:edge[k + 1]]
-                for c, x in zip(cols, (T.planes(h[o].view(np.int64), 4), T.planes(r[o].view(np.int64), 5), _delta(ids[o]),
-                                       _delta(th[o]), T.planes(at[o], 4), T.planes(size[o], 4))):
-                    c.append(x)
-            k = len(d)
-            blank = [None] * k
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.abs(s) % buckets, some]).astype(np.int32)),
-                pa.array([True] * k + [False] * len(some)),
-                pa.array(np.concatenate([d, np.zeros(len(some), np.int64)])), pa.array(np.concatenate([s, np.zeros(len(some), np.int64)]).astype(np.int32)),
-                pa.array(m + [None] * len(some), pa.binary()),
-                *(pa.array(blank + c, pa.binary()) for c in cols)], names=[c.split()[0] for c in SIEVE.split(", ")])
+            if len(first):                                      # an anchor's hash is a least one, so it isn't evenly spread
+                yield (t["doc_id"].to_numpy()[doc], t["th"].to_numpy().astype(np.int64)[doc], first - off[doc], last - first + 1, T.mix(h), r)
 
-    return docs.mapInArrow(run, SIEVE)
+    return docs.mapInArrow(lambda batches: _packed(entries(batches), buckets, 5), SIEVE)
 
 
 def _answer(t: pa.Table) -> pa.Table:
@@ -174,10 +204,12 @@ def _answer(t: pa.Table) -> pa.Table:
         return np.concatenate([read(x.as_py()).astype(kind) for x in t[name]])
 
     h = column("h", lambda x: T.unplanes(x, 4), np.uint32)
-    r = column("r", lambda x: T.unplanes(x, 5), np.int64)
+    width = len(t["r"][0].as_py()) * 4 // len(t["h"][0].as_py())
+    r = column("r", lambda x: T.unplanes(x, width), np.int64)
     ids = column("doc", _undelta, np.int64)
+    size = column("size", lambda x: T.unplanes(x, 4), np.uint32)
     order = np.lexsort((ids, r, h))
-    hs, rs, ds = h[order], r[order], ids[order]
+    hs, rs, ds, sign = h[order], r[order], ids[order], size[order] == 0
     del h, r, ids
     new_h = np.append(True, hs[1:] != hs[:-1])
     new_r = new_h | np.append(True, rs[1:] != rs[:-1])
@@ -188,13 +220,14 @@ def _answer(t: pa.Table) -> pa.Table:
     least = ds[np.flatnonzero(new_r)][np.cumsum(new_r) - 1]
     code = np.zeros(len(order), np.int64)
     code[several & (ds > least)] = WHOLE
-    open_ = several & (ds == least) & (kinds > 1)
-    code[open_] = np.where(kinds[open_] > HEAVY, SINGLE, LIGHT)
-    told = code > 0
+    signed = np.logical_or.reduceat(sign, begin)[group]
+    open_ = (ds == least) & (several & (kinds > 1) | signed)
+    code[open_] = np.where(signed[open_] | (kinds[open_] > HEAVY), SINGLE, LIGHT)
+    told = (code > 0) & ~sign
     order, code = order[told], code[told]
     th = column("ths", _undelta, np.int32)[order].astype(np.int64)
-    at, size = (column(c, lambda x: T.unplanes(x, 4), np.uint32)[order].astype(np.int64) for c in ("at", "size"))
-    d, s, m = _by_doc(ds[told], th, at, size, code)
+    at = column("at", lambda x: T.unplanes(x, 4), np.uint32)[order].astype(np.int64)
+    d, s, m = _by_doc(ds[told], th, at, size[order].astype(np.int64), code)
     return pa.concat_tables([out, pa.table({"doc_id": pa.array(d), "th": pa.array(s.astype(np.int32)), "marks": pa.array(m, pa.binary())})])
 
 
@@ -301,26 +334,33 @@ def _bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+def _single_strings(touched: DataFrame) -> int:
+    """Number of strings that are to be dealt singly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = _unmark(b"".join(batch.column("marks").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([int(m[m[:, 2] == SINGLE, 1].sum())], pa.int64())], names=["n"])
+
+    return touched.select("marks").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def _single(touched: DataFrame) -> DataFrame:
     """The same for anchors with very many regions: string by string."""
+    buckets = _single_strings(touched) // BUCKET_STRINGS + 1
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for t in T.slices(batches, limit=SLICE):
             data, row, at, place, size = _open(t, SINGLE)
             if len(row):
-                each, place = np.repeat(row, size), _each(place, size)
-                yield pa.RecordBatch.from_arrays([
-                    _binary(sliding_window_view(data, SPAN)[place], np.full(len(each), SPAN)), t["doc_id"].combine_chunks().take(pa.array(each)),
-                    t["th"].combine_chunks().take(pa.array(each)), pa.array(_each(at, size))], names=["s", "doc_id", "th", "at"])
-
-    cuts = store(touched.select("doc_id", "th", "text", "marks").mapInArrow(cut, "s binary, doc_id long, th int, at long"), "single-strings")
-    least = store(cuts.groupBy("s").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("s", "low"), "least-strings")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _reply(*(batch.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "th", "at")))
-
-    return cuts.join(least, "s").where("doc_id > low").select("doc_id", "th", "at").mapInArrow(pack, REPLY)
+                rolling, each, place = T.RollingHash(data), np.repeat(row, size), _each(place, size)
+                half = place + SPAN // 2
+                a, b = rolling.ranges(place, half), rolling.ranges(half, place + SPAN)
+                yield (t["doc_id"].to_numpy()[each], t["th"].to_numpy().astype(np.int64)[each], _each(at, size), np.ones(len(each), np.int64),
+                       T.mix(a + T.mix(b)), T.mix(b + T.mix(a)))
+
+    sieve = touched.select("doc_id", "th", "text", "marks").mapInArrow(lambda batches: _packed(entries(batches), buckets, 8), SIEVE)
+    return sieve.groupBy("bucket").applyInArrow(_answer, REPLY)
 
 
 def removed_bytes(size: int, marks: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loadlens.llm import repeats as R
@@ -74,3 +75,51 @@ def test_kept_text_holds_the_rest(docs):
     rows = [(1, shared), (2, "before " + shared + " after")]
     got = {r.doc_id: r.kept_text for r in R.remove_repeats(docs(rows)).collect()}
     assert got == {1: None, 2: "before  after"} or got[2] == "before  after"
+
+
+def passages(n, seed=5):
+    """Documents of random letters that share a line whose surroundings differ everywhere."""
+    rnd = random.Random(seed)
+    text = lambda k: "".join(rnd.choice("abcdefgh ") for _ in range(k))
+    line = text(64)
+    return [(i, text(rnd.randrange(60)) + line + text(rnd.randrange(60, 120))) for i in rnd.sample(range(10 * n), n)]
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_strings_dealt_singly_equal_brute_force(docs, parts):
+    rows = passages(700) + [(9000 + i, t) for i, t in corpus(1)] + [(9900, "x" * 70), (9901, "x" * 70)]
+    d = docs(rows).repartition(parts).sortWithinPartitions("doc_id")
+    got = sorted((tuple(r)[:5] for r in R.remove_repeats(d).collect()), key=str)
+    assert got == brute(rows)
+
+
+def packed(rows, buckets, monkeypatch, held):
+    """The sieve's rows and a bucket's answers, without Spark."""
+    monkeypatch.setattr(R, "HELD", held)
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            t = pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "th": pa.array([0] * len(rows), pa.int32()),
+                          "text": pa.array([t for _, t in rows])})
+            return pa.Table.from_batches(run(iter(t.to_batches(max_chunksize=100))))
+
+    return R._sieve(Docs(), buckets)
+
+
+def test_buckets_of_the_sieve_are_even(monkeypatch):
+    rnd = random.Random(3)
+    rows = [(i, "".join(rnd.choice("abcdefgh") for _ in range(2000))) for i in range(200)]
+    t = packed(rows, 50, monkeypatch, 1 << 18)
+    size = np.zeros(50)
+    for b, at in zip(t["bucket"].to_pylist(), t["at"].to_pylist()):
+        size[b] += len(at or b"") // 4
+    assert size.sum() > 10_000 and size.max() < 2 * size.mean()       # a third of all regions in the first one before
+
+
+def test_an_anchor_with_very_many_regions_sends_one_sign(monkeypatch):
+    rows = passages(700)
+    t = packed(rows, 1, monkeypatch, 1 << 18)
+    sizes = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel() for x in t["size"].drop_null().to_pylist()])
+    assert 1 <= (sizes == 0).sum() <= 60
+    told = np.concatenate([R._unmark(m) for m in R._answer(t)["marks"].to_pylist()])
+    assert (told[:, 1] > 0).all() and (told[:, 2] == R.SINGLE).sum() > 700
