@@ -179,3 +179,21 @@ def test_searches_share_their_rows(spark):
     for target, problem in (("y", "regression"), ("z", "classification")):
         _, trials = MD.hyper_search(table, ["a", "b"], target, "random_forest", problem, 1, 2, ranges=small)
         assert trials.first().score > 0
+
+
+def test_clusters_are_fitted_on_bounded_files(spark, monkeypatch):
+    from loadlens.operators import clusters as CL
+    from loadlens.operators import ordering as OR
+    monkeypatch.setattr(OR, "ROWS_PER_FILE", 100)
+    seen = []
+
+    class Spy(CL.KMeans):
+        def fit(self, rows):
+            seen.extend(rows.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect())
+            return super().fit(rows)
+
+    monkeypatch.setattr(CL, "KMeans", Spy)
+    df = spark.range(1000).select(F.col("id").cast("string").alias("test_id"), F.rand(1).alias("a"), F.rand(2).alias("b")).coalesce(1)
+    labelled, model, feats = CL.cluster_runs(df, k=3)
+    assert max(seen) <= 100 and sum(seen) == 1000
+    assert sum(r.size for r in CL.cluster_sizes(labelled).collect()) == 1000 and feats == ["a", "b"]
