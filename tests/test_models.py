@@ -197,3 +197,28 @@ def test_clusters_are_fitted_on_bounded_files(spark, monkeypatch):
     labelled, model, feats = CL.cluster_runs(df, k=3)
     assert max(seen) <= 100 and sum(seen) == 1000
     assert sum(r.size for r in CL.cluster_sizes(labelled).collect()) == 1000 and feats == ["a", "b"]
+
+
+@pytest.mark.parametrize("name", ["report_json"])
+def test_queries_with_clusters_fit_on_bounded_files(spark, monkeypatch, tmp_path, name):
+    import __spark_entry__ as E
+    from pyspark.ml.base import Estimator
+
+    from loadlens.operators import ordering as OR
+    i = F.col("id")
+    spark.range(300).select(
+        i.alias("o_orderkey"), (i % 97).alias("o_custkey"), F.element_at(F.array(*map(F.lit, "FOP")), (i % 3 + 1).cast("int")).alias("o_orderstatus"),
+        (F.rand(1) * 1000).alias("o_totalprice"), F.timestamp_seconds(i * 86400).alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(900).select(
+        (i % 300).alias("l_orderkey"), (1 + i % 50).cast("double").alias("l_quantity"), (F.rand(2) * 90000).alias("l_extendedprice"),
+        (i % 11 / 100).alias("l_discount"), (i % 9 / 100).alias("l_tax"), F.lit("R").alias("l_returnflag")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(OR, "ROWS_PER_FILE", 100, raising=False)
+    seen, fit = [], Estimator.fit
+
+    def spy(self, rows, *params):
+        seen.append(rows.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect())
+        return fit(self, rows, *params)
+
+    monkeypatch.setattr(Estimator, "fit", spy)
+    E.queries()[name](spark, str(tmp_path))
+    assert max(map(max, seen)) <= 100 and {sum(s) for s in seen} == {300}
