@@ -199,7 +199,7 @@ def test_clusters_are_fitted_on_bounded_files(spark, monkeypatch):
     assert sum(r.size for r in CL.cluster_sizes(labelled).collect()) == 1000 and feats == ["a", "b"]
 
 
-@pytest.mark.parametrize("name", ["report_json"])
+@pytest.mark.parametrize("name", ["cluster_profile", "report_json"])
 def test_queries_with_clusters_fit_on_bounded_files(spark, monkeypatch, tmp_path, name):
     import __spark_entry__ as E
     from pyspark.ml.base import Estimator
